@@ -5,12 +5,19 @@ DataFrames.  Outputs have the canonical columns
 (report_date, issue_date, month, location, value); ``combined_vintage`` adds
 ``source``.  Densifying needs the location list when the plan is built: for
 the edition provider it is the series dimension; for the other two it is
-collected from the (checkpointed) cells, a bounded list like a pivot's.
+collected from the staged cells, a bounded list like a pivot's.
+
+Cells (one row per report, month and location) are staged once as a parquet
+table in the shared checkpoint folder: listing their locations, checking them
+and densifying them then read that compact table instead of recomputing the
+scans, and the lineage is cut, so a lost executor does not send the job back
+to the raw inputs.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +27,11 @@ from vintagelake.operators.calendar import report_calendar, snapped_dates
 from vintagelake.operators.combine import combine, to_vintage
 from vintagelake.operators.horizon import (cut_from_release, forecasts_only, latest_release_per_month,
                                            one_year_horizon, releases_since)
-from vintagelake.operators.joins import bounded, dim_join, lookup, rename_locations
+from vintagelake.operators.joins import dim_join, lookup, rename_locations
 from vintagelake.operators.limits import first_dims
 from vintagelake.operators.reshape import densify, observed_values, unique_cells
 from vintagelake.operators.rollup import apply_rollups
-from vintagelake.session import ensure_checkpoint_dir
+from vintagelake.session import shared_path
 from vintagelake.sources.dims import EDITION_FORECAST_FLAG, EDITION_SCALE, SOURCE_NAMES
 from vintagelake.sources.tables import scan_editions
 
@@ -32,12 +39,13 @@ KEYS = ["report_date", "month"]
 OUT = ["report_date", "issue_date", "month", "location", "value"]
 
 
-def _stable(df: DataFrame) -> DataFrame:
-    """Materialise cells once in the shared checkpoint folder, so that listing
-    their locations and densifying them do not compute them twice (and a lost
-    executor does not send the job back to the payload scan)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a parquet table in the shared checkpoint folder and
+    return a scan of it."""
+    spark = df.sparkSession
+    path = shared_path(spark, "stage", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 # ----------------------------------------------------------------------------
@@ -60,17 +68,15 @@ def edition_provider(editions: DataFrame, series_dim: DataFrame, flag: str = EDI
     sums = series_sum(rows, ["report_date", "month", "series_id"])
     dim = series_dim.select("series_id", "location")
     mapped = lookup(sums, dim, "series_id", "left")
-    cells = unique_cells(mapped, KEYS, "location").withColumn(
-        "issue_date", F.when(F.col("location").isNotNull(), F.col("report_date")))
+    cells = stage(unique_cells(mapped, KEYS, "location").withColumn(
+        "issue_date", F.when(F.col("location").isNotNull(), F.col("report_date"))), "edition-cells")
     locations = observed_values(dim, "location")
-    out = densify(cells, KEYS, locations, ("value", "issue_date"))
     if strict:
-        seen = cells.select("location").where(F.col("location").isNotNull()).distinct()
-        missing = dim.select("location").join(seen, "location", "left_anti").withColumn("_missing", F.lit(True))
-        out = out.join(F.broadcast(missing), "location", "left")
-        out = out.withColumn("value", F.when(F.col("_missing"), F.raise_error(
-            F.concat(F.lit("location never occurs: "), F.col("location")))).otherwise(F.col("value")))
-    return out.select(*OUT)
+        seen = set(observed_values(cells, "location"))
+        missing = [loc for loc in locations if loc not in seen]
+        if missing:
+            raise ValueError(f"locations never occur in the editions: {missing}")
+    return densify(cells, KEYS, locations, ("value", "issue_date")).select(*OUT)
 
 
 # ----------------------------------------------------------------------------
@@ -96,8 +102,8 @@ def release_provider(release_index: DataFrame, release_series: DataFrame, datase
     cells = lookup(points, dims.select("dataset_id", "location", "ord"), "dataset_id", "inner")
     cells = cells.select(F.col("release_month").alias("report_date"), F.col("target_date").alias("month"),
                          "location", "value", F.col("release_date").alias("issue_date"), "ord")
+    cells = stage(cells, "release-cells")
     if locations is None:
-        cells = _stable(cells)
         locations = observed_values(cells, "location")
     return densify(cells, KEYS, locations, ("value", "issue_date"), order_col="ord").select(*OUT)
 
@@ -133,9 +139,8 @@ def report_provider(report_rows: DataFrame, available: DataFrame, hierarchy: Dat
     cells = cell_mean(rows.select(F.col("reportDate").alias("report_date"), "month",
                                   F.col("subRegion").alias("location"), "value"),
                       ["report_date", "month", "location"])
-    cells = cells.withColumn("issue_date", F.col("report_date"))
+    cells = stage(cells.withColumn("issue_date", F.col("report_date")), "report-cells")
     if locations is None:
-        cells = _stable(cells)
         locations = observed_values(cells, "location")
     dense = densify(cells, KEYS, locations, ("value", "issue_date"))
     out = apply_rollups(dense, hierarchy, KEYS, rollup_columns={"issue_date": F.col("report_date")})
@@ -160,4 +165,4 @@ def combined_vintage(release: DataFrame | None = None, report: DataFrame | None
 
 
 __all__ = ["edition_provider", "release_provider", "report_provider", "report_dates",
-           "combined_vintage", "bounded"]
+           "combined_vintage", "stage"]

@@ -303,7 +303,7 @@ def _three_sources(spark, base):
 
     seg = combine.tag(by(j, "c_mktsegment"), "by_segment")
     typ = combine.tag(by(j.join(p, j.l_partkey == p.p_partkey), "p_type"), "by_type")
-    nat = combine.tag(by(j.join(joins.bounded(n), j.c_nationkey == n.n_nationkey), "n_name"), "by_nation")
+    nat = combine.tag(by(j.join(n, j.c_nationkey == n.n_nationkey), "n_name"), "by_nation")
     return combine.combine([seg, typ, nat]).select("source", "report_date", "month", "location", "value")
 
 

@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintagelake import schemas
-from vintagelake.operators.joins import bounded
 from vintagelake.sources.tables import read_table
 
 # Test parameters of the shapes (shared with the DuckDB oracles).
@@ -70,7 +69,7 @@ def order_lines(spark: SparkSession, base: str, order_cols=(), line_cols=()) ->
     c = read_table(spark, base, "customer", ["c_custkey", "c_nationkey"])
     n = nations(spark, base).select("n_nationkey", "n_name")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-    return j.join(bounded(n), j.c_nationkey == n.n_nationkey)
+    return j.join(n, j.c_nationkey == n.n_nationkey)
 
 
 def inject_nulls(value: F.Column, location: F.Column) -> F.Column:
