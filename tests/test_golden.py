@@ -1,0 +1,284 @@
+"""Golden cases: a few hand-written input rows with the expected output."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from vintagelake import schemas
+from vintagelake.functions import label, last_monday, month_label, week_start
+from vintagelake.operators import aggregate, calendar, combine, horizon, reshape, rollup
+from vintagelake.plans import providers
+from vintagelake.sources import dims
+from vintagelake.sources import payloads as P
+
+D = dt.date
+
+
+def d(s):
+    return dt.date.fromisoformat(s)
+
+
+# ---------------------------------------------------------------- nulls N1-N9
+def test_sum_all_null_group_is_zero_and_null_key_dropped(spark):
+    df = spark.createDataFrame([("x", None), ("x", None), ("y", 1.0), (None, 5.0)], "k string, value double")
+    out = aggregate.series_sum(df, ["k"])
+    assert rows(out) == [("x", 0.0), ("y", 1.0)]
+
+
+def test_nan_is_missing_in_sum_and_mean(spark):
+    df = spark.createDataFrame([('[{"data":{"2024-01-01":NaN}}]',)], "payload string")
+    df = df.select(F.lit("a").alias("dataset_id"), F.lit("r").alias("release_raw"), "payload")
+    pts = P.parse_release_series(df)
+    assert rows(pts, "value") == [(None,)]
+    cells = spark.createDataFrame([("x", float("nan")), ("x", 1.0)], "location string, value double")
+    cells = cells.withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
+    assert rows(aggregate.series_sum(cells, ["location"])) == [("x", 1.0)]
+    assert rows(aggregate.cell_mean(cells, ["location"])) == [("x", 1.0)]
+
+
+def _dense_pq(spark):
+    # rows: (1, 2), (-, 2), (-, -) over locations p and q
+    data = [(1, "p", 1.0), (1, "q", 2.0), (2, "p", None), (2, "q", 2.0), (3, "p", None), (3, "q", None)]
+    return spark.createDataFrame(data, "k int, location string, value double")
+
+
+def test_skip_policy_sums_present_values_zero_when_none(spark):
+    h = dims.hierarchy(spark, [("T", "skip", ["p", "q"])])
+    out = rollup.rollup_values(_dense_pq(spark), h, ["k"])
+    assert rows(out) == [(1, "T", 3.0), (2, "T", 2.0), (3, "T", 0.0)]
+
+
+def test_propagate_policy_needs_every_value(spark):
+    h = dims.hierarchy(spark, [("T", "propagate", ["p", "q"])])
+    out = rollup.rollup_values(_dense_pq(spark), h, ["k"])
+    assert rows(out) == [(1, "T", 3.0), (2, "T", None), (3, "T", None)]
+
+
+def test_mean_cell_rows_and_columns_without_values_vanish(spark):
+    data = [("r1", "p", 1.0), ("r1", "p", 3.0), ("r1", "q", None), ("r2", "q", None),
+            ("r3", "p", None), ("r3", "z", None)]
+    df = spark.createDataFrame(data, "r string, location string, value double")
+    cells = aggregate.cell_mean(df, ["r", "location"])
+    assert reshape.observed_values(cells) == ["p"]
+    wide = reshape.pivot_wide(cells, ["r"], reshape.observed_values(cells), agg="avg")
+    assert rows(wide) == [("r1", 2.0)]
+
+
+def test_pivot_then_melt_keeps_missing_cell(spark):
+    df = spark.createDataFrame([(1, "L1", 1.0)], "k int, location string, value double")
+    wide = reshape.pivot_wide(df, ["k"], ["L1", "L2"])
+    assert rows(reshape.melt(wide, ["k"])) == [(1, "L1", 1.0), (1, "L2", None)]
+    assert rows(reshape.densify(df, ["k"], ["L1", "L2"])) == [(1, "L1", 1.0), (1, "L2", None)]
+
+
+def test_sink_order_puts_missing_last(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",)], "location string")
+    got = [r[0] for r in combine.sink_order(df, ["location"]).collect()]
+    assert got == ["a", "b", None]
+
+
+def test_strict_pivot_rejects_duplicate_cell(spark):
+    df = spark.createDataFrame([(1, "p", 1.0), (1, "p", 2.0)], "k int, location string, value double")
+    with pytest.raises(Exception, match="duplicate cell"):
+        reshape.unique_cells(df, ["k"]).collect()
+
+
+def test_odd_location_names_survive_pivot_and_melt(spark):
+    names = ["U.S.", "Lower 48 (excl GOM)", "Wyoming Green/Wind/OT"]
+    df = spark.createDataFrame([(1, n, float(i)) for i, n in enumerate(names)], "k int, location string, value double")
+    wide = reshape.pivot_wide(df, ["k"], names)
+    assert sorted(wide.columns) == sorted(["k", *names])
+    assert rows(reshape.melt(wide, ["k"]), "location") == sorted((n,) for n in names)
+    assert rows(reshape.densify(df, ["k"], names), "location") == sorted((n,) for n in names)
+
+
+# ------------------------------------------------------- release selection
+def test_latest_release_by_text_order(spark):
+    stamps = ["2024-01-05T00:00:00", "2024-01-20T09:00:00", "2024-01-20T08:00:00", "2024-02-02"]
+    idx = spark.createDataFrame([("a", s) for s in stamps], "dataset_id string, release_raw string")
+    out = horizon.latest_release_per_month(idx)
+    assert rows(out, "release_month", "release_raw") == [
+        (D(2024, 1, 1), "2024-01-20T09:00:00"), (D(2024, 2, 1), "2024-02-02")]
+
+
+def test_start_date_compared_by_day(spark):
+    idx = spark.createDataFrame([("a", "2024-01-05T00:00:00"), ("a", "2024-01-04T23:00:00")],
+                                "dataset_id string, release_raw string")
+    assert rows(horizon.releases_since(idx, "2024-01-05"), "release_raw") == [("2024-01-05T00:00:00",)]
+
+
+def _series(spark, release, targets):
+    rel = spark.createDataFrame([("a", release)], "dataset_id string, release_raw string")
+    pts = spark.createDataFrame([("a", release, t, 1.0) for t in targets], schemas.RELEASE_SERIES)
+    return horizon.cut_from_release(pts, horizon.latest_release_per_month(rel))
+
+
+def test_horizon_from_release_mid_month(spark):
+    assert rows(_series(spark, "2024-03-15", ["2024-03-01", "2024-04-01"]), "target_raw") == [("2024-04-01",)]
+
+
+def test_horizon_release_on_first_keeps_own_month(spark):
+    assert rows(_series(spark, "2024-03-01", ["2024-03-01"]), "target_raw") == [("2024-03-01",)]
+
+
+def test_one_year_horizon_and_leap_day(spark):
+    months = ["2024-02-01", "2024-03-01", "2025-02-01", "2025-03-01"]
+    df = spark.createDataFrame([(d("2024-02-26"), d(m)) for m in months], "report_date date, month date")
+    out = horizon.one_year_horizon(horizon.forecasts_only(df, "report_date", "month"))
+    assert rows(out, "month") == [(D(2024, 3, 1),), (D(2025, 2, 1),)]
+    leap = spark.createDataFrame([(d("2024-02-29"),)], "d date")
+    assert leap.select(F.add_months("d", 12)).first()[0] == D(2025, 2, 28)
+
+
+def _release_provider(spark, releases, points):
+    idx = spark.createDataFrame(releases, "dataset_id string, release_raw string")
+    pts = spark.createDataFrame(points, schemas.RELEASE_SERIES)
+    dim = dims.dataset_dim(spark, [("a", "A"), ("b", "B")])
+    return providers.release_provider(idx, pts, dim, "2024-01-01")
+
+
+def test_vintage_key_is_release_month(spark):
+    rel = [("a", "2024-03-05"), ("b", "2024-03-20")]
+    pts = [(ds, r, t, 1.0) for ds, r in rel for t in ("2024-03-20", "2024-04-01")]
+    out = _release_provider(spark, rel, pts)
+    assert rows(out, "report_date", "month", "location", "value") == [
+        (D(2024, 3, 1), D(2024, 3, 20), "A", 1.0), (D(2024, 3, 1), D(2024, 3, 20), "B", 1.0),
+        (D(2024, 3, 1), D(2024, 4, 1), "A", 1.0), (D(2024, 3, 1), D(2024, 4, 1), "B", 1.0)]
+
+
+def test_vintage_key_each_dataset_cut_at_own_release(spark):
+    rel = [("a", "2024-03-05"), ("b", "2024-03-20")]
+    pts = [(ds, r, t, 1.0) for ds, r in rel for t in ("2024-03-10", "2024-04-01")]
+    out = _release_provider(spark, rel, pts)
+    assert rows(out, "month", "location", "value", "issue_date") == [
+        (D(2024, 3, 10), "A", 1.0, D(2024, 3, 5)), (D(2024, 3, 10), "B", None, None),
+        (D(2024, 4, 1), "A", 1.0, D(2024, 3, 5)), (D(2024, 4, 1), "B", 1.0, D(2024, 3, 20))]
+
+
+def test_release_provider_keeps_null_points(spark):
+    out = _release_provider(spark, [("a", "2024-03-05")], [("a", "2024-03-05", "2024-04-01", None)])
+    assert rows(out, "location", "value") == [("A", None)]
+
+
+def test_report_provider_drops_cells_without_value(spark):
+    rr = spark.createDataFrame([(d("2024-04-29"), d("2024-04-29"), d("2024-05-01"), "p", None),
+                                (d("2024-04-29"), d("2024-04-29"), d("2024-06-01"), "q", 2.0)],
+                               "report_date date, reportDate date, month date, subRegion string, value double")
+    avail = rr.select("report_date")
+    h = spark.createDataFrame([], schemas.HIERARCHY)
+    out = providers.report_provider(rr, avail, h, None, "2024-04-01", "2024-05-06")
+    assert rows(out, "month", "location", "value") == [(D(2024, 6, 1), "q", 2.0)]
+
+
+# ----------------------------------------------------------------- calendar
+def test_last_monday_and_week_start(spark):
+    df = spark.createDataFrame([(d("2024-04-10"),), (d("2024-02-10"),), (d("2023-12-01"),)], "m date")
+    assert rows(df.select(last_monday("m"))) == [(D(2023, 12, 25),), (D(2024, 2, 26),), (D(2024, 4, 29),)]
+    w = spark.createDataFrame([(d("2024-05-01"),), (d("2024-05-06"),)], "x date")
+    assert rows(w.select(week_start("x"))) == [(D(2024, 4, 29),), (D(2024, 5, 6),)]
+
+
+def _calendar(spark, start, as_of):
+    b = spark.createDataFrame([(d(start), d(as_of))], "start_date date, as_of date")
+    return [r[0] for r in rows(calendar.report_calendar(b))]
+
+
+def test_calendar_repeat_in_first_days_of_month(spark):
+    assert _calendar(spark, "2024-03-20", "2024-05-01") == [D(2024, 3, 25), D(2024, 4, 29)]
+
+
+def test_calendar_as_of_monday(spark):
+    assert _calendar(spark, "2024-04-01", "2024-05-06") == [D(2024, 4, 29), D(2024, 5, 6)]
+
+
+def test_snap_to_existing_or_week_before(spark):
+    cands = spark.createDataFrame([(d(x),) for x in ("2024-03-25", "2024-04-29", "2024-05-27")], "report_date date")
+    avail = spark.createDataFrame([(d("2024-03-25"),), (d("2024-04-22"),), (d("2024-04-22"),)], "report_date date")
+    out = calendar.snapped_dates(cands, avail)
+    assert rows(out) == [(D(2024, 3, 25),), (D(2024, 4, 22),)]
+
+
+# ------------------------------------------------------------------ rollups
+def test_guard_overwrite_overlap_and_last_rule(spark):
+    data = [(1, "a", 1.0), (1, "b", 2.0), (1, "T2", 9.0), (1, "c", 4.0)]
+    dense = spark.createDataFrame(data, "k int, location string, value double")
+    h = dims.hierarchy(spark, [("T0", "skip", ["a", "absent"]),   # guarded out
+                               ("T1", "skip", ["a", "b"]),        # a feeds T1 and T2
+                               ("T2", "skip", ["a", "c"]),        # overwrites base T2
+                               ("T3", "skip", ["a"]), ("T3", "skip", ["b", "c"])])  # later rule wins
+    out = rollup.apply_rollups(dense, h, ["k"])
+    assert rows(out) == [(1, "T1", 3.0), (1, "T2", 5.0), (1, "T3", 6.0),
+                         (1, "a", 1.0), (1, "b", 2.0), (1, "c", 4.0)]
+
+
+def test_deployed_hierarchy_writes_wyoming_into_utah(spark):
+    comps = ["Wyoming Big Horn", "Wyoming Green/Wind/OT", "Wyoming Powder", "Utah Other", "Utah Uinta"]
+    dense = spark.createDataFrame([(1, c, 1.0) for c in comps], "k int, location string, value double")
+    literal = rollup.rollup_values(dense, dims.hierarchy(spark, dims.REPORT_ROLLUPS_AS_DEPLOYED), ["k"])
+    assert rows(literal, "location", "value") == [("Utah", 3.0)]
+    fixed = rollup.rollup_values(dense, dims.hierarchy(spark), ["k"])
+    assert rows(fixed, "location", "value") == [("Utah", 2.0), ("Wyoming", 3.0)]
+
+
+# ------------------------------------------------------------------- labels
+def test_labels(spark):
+    df = spark.createDataFrame([(d("2024-03-05"),)], "x date")
+    assert df.select(label("x"), month_label("x")).first() == ("2024-03", "Mar-24")
+
+
+# ----------------------------------------------------------------- payloads
+def _series_payloads(spark, texts):
+    return spark.createDataFrame([(str(i), "2024-01-01", t) for i, t in enumerate(texts)],
+                                 schemas.RELEASE_SERIES_PAYLOADS)
+
+
+def test_payload_shapes_give_no_rows_and_one_status_each(spark):
+    texts = ["[]", "{}", "not json", "[{}]"]
+    df = _series_payloads(spark, texts)
+    assert P.parse_release_series(df).count() == 0
+    st = {r.payload_id.split("|")[0]: (r.outcome, r.n_rows) for r in P.release_series_status(df).collect()}
+    assert st == {"0": ("empty", 0), "1": ("no_data", 0), "2": ("unparseable", 0), "3": ("no_data", 0)}
+
+
+def test_one_bad_date_drops_payload_or_row(spark):
+    df = _series_payloads(spark, ['[{"data":{"2024-01-01":1.0,"2024-13-01":2.0}}]'])
+    assert P.parse_release_series(df, "drop_payload").count() == 0
+    assert rows(P.parse_release_series(df, "drop_row"), "target_raw") == [("2024-01-01",)]
+    idx = spark.createDataFrame([("a", '[{"metadata":{"release_dates":["2024-01-01","2024-13-01"]}}]')],
+                                schemas.RELEASE_INDEX_PAYLOADS)
+    assert P.parse_release_index(idx).count() == 0
+    assert P.parse_release_index(idx, "drop_row").count() == 1
+
+
+def test_map_null_value_and_duplicate_key(spark):
+    df = _series_payloads(spark, ['[{"data":{"2024-01-01":null}}]', '[{"data":{"a":1,"b":5,"a":2}}]'])
+    got = rows(P.parse_release_series(df, "drop_row").union(
+        P.parse_release_series(df.filter("dataset_id = '1'"), "drop_payload")), "target_raw", "value")
+    assert got == [("2024-01-01", None)]
+    entries = df.filter("dataset_id = '1'").select(P.last_key_wins(F.map_entries(
+        F.get(F.from_json("payload", schemas.RELEASE_SERIES_BODY), 0)["data"])).alias("e"))
+    assert [(x["key"], x["value"]) for x in entries.first()["e"]] == [("b", 5.0), ("a", 2.0)]
+
+
+def test_report_payload_records(spark):
+    body = ('{"data":[{"reportDate":"2024-04-29","month":"2024-05-01","subRegion":"p","value":1.5},'
+            '{"reportDate":"2024-04-29","month":"2024-03-01","subRegion":"q","value":2.0}]}')
+    df = spark.createDataFrame([("2024-04-29", body), ("2024-05-27", "[]")], schemas.REPORT_PAYLOADS)
+    assert P.parse_report_payloads(df).count() == 2
+    st = {r.payload_id: (r.outcome, r.n_records, r.n_rows) for r in P.report_status(df).collect()}
+    # a JSON array where an object is expected has no "data" field
+    assert st == {"2024-04-29": ("ok", 2, 1), "2024-05-27": ("no_data", 0, 0)}
+
+
+# ------------------------------------------------------------- empty source
+def test_empty_sources(spark):
+    empty = spark.createDataFrame([], "report_date date, issue_date date, month date, location string, value double")
+    one = spark.createDataFrame([(d("2024-01-01"), None, d("2024-02-01"), "x", 1.0)], empty.schema)
+    out = providers.combined_vintage(release=one, report=empty, edition=one)
+    assert out.count() == 2
+    with pytest.raises(ValueError):
+        providers.combined_vintage()
+    with pytest.raises(ValueError):
+        combine.refuse_empty(empty)
