@@ -1,0 +1,3 @@
+from vintagelake.streaming.landing import land, payload_stream
+
+__all__ = ["land", "payload_stream"]
