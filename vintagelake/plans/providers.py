@@ -143,7 +143,8 @@ def report_provider(report_rows: DataFrame, available: DataFrame, hierarchy: Dat
     if locations is None:
         locations = observed_values(cells, "location")
     dense = densify(cells, KEYS, locations, ("value", "issue_date"))
-    out = apply_rollups(dense, hierarchy, KEYS, rollup_columns={"issue_date": F.col("report_date")})
+    out = apply_rollups(dense, hierarchy, KEYS, rollup_columns={"issue_date": F.col("report_date")},
+                        locations=locations)
     if renames is not None:
         out = rename_locations(out, renames)
     return out.select(*OUT)

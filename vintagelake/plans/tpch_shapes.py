@@ -185,6 +185,11 @@ def report_rows(spark: SparkSession, base: str) -> DataFrame:
 
 def report_payloads(spark: SparkSession, base: str) -> DataFrame:
     """One JSON payload per feed order (a page of its report day)."""
+    return report_payloads_by_order(spark, base).select("report_date", "payload")
+
+
+def report_payloads_by_order(spark: SparkSession, base: str) -> DataFrame:
+    """report_date (the order key, naming the page), payload."""
     j = order_lines(spark, base, order_cols=("o_orderpriority", "o_orderstatus"))
     j = j.filter((F.col("o_orderpriority") == FEED_PRIORITY) & (F.col("o_orderstatus") == FEED_STATUS))
     rec = F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("reportDate"),
@@ -192,8 +197,7 @@ def report_payloads(spark: SparkSession, base: str) -> DataFrame:
                    F.col("n_name").alias("subRegion"),
                    inject_nulls(F.col("l_quantity"), F.col("n_name")).alias("value"))
     return (j.groupBy("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("report_date"))
-            .agg(F.to_json(F.struct(F.collect_list(rec).alias("data"))).alias("payload"))
-            .select("report_date", "payload"))
+            .agg(F.to_json(F.struct(F.collect_list(rec).alias("data"))).alias("payload")))
 
 
 def defect_payloads(spark: SparkSession, base: str) -> DataFrame:
