@@ -77,3 +77,15 @@ def densify(cells: DataFrame, keys: list[str], locations: list[str],
         F.struct(F.lit(loc).alias(location_col), *[qcol(name(loc, c)).alias(c) for c in value_cols])
         for loc in locations])
     return wide.select(*keys, F.inline(rows))
+
+
+def wide_view(long: DataFrame, keys: list[str], locations: list[str], fmt: str | None = None,
+              pivot_col: str = "location", value: str = "value") -> DataFrame:
+    """People's view: one column per location in list order, rows in true date
+    order, and (optionally) the date keys turned into labels as the very last
+    step, so ``Apr-24`` never sorts before ``Feb-24``."""
+    wide = pivot_wide(long.select(*keys, pivot_col, value), keys, locations, pivot_col, value)
+    wide = wide.orderBy(*[F.col(k).asc_nulls_last() for k in keys])
+    if fmt:
+        wide = wide.select(*[F.date_format(k, fmt).alias(k) for k in keys], *[qcol(loc) for loc in locations])
+    return wide

@@ -235,6 +235,7 @@ SELECT CAST(l_orderkey AS VARCHAR) || '|' || day AS payload_id,
                               f"WHERE location IN (SELECT n_name FROM nation ORDER BY n_nationkey "
                               f"LIMIT {S.DEBUG_DATASETS})")
     sql["release_provider"] = f"WITH {OL}, {RELEASE_LONG} SELECT * FROM rp"
+    sql["release_from_payloads"] = sql["release_provider"]
     sql["vintage_wide"] = f"WITH {OL}, {RELEASE_LONG} " + _wide("rp", ["report_date", "month"], NATIONS)
 
     sql["report_payload"] = (f"WITH {OL} SELECT CAST(o_orderdate AS DATE) AS report_date, "
@@ -275,6 +276,7 @@ LEFT JOIN ms m ON m.report_month = k.report_month AND m.month = k.month AND m.lo
                            f"WHERE location NOT IN (SELECT target FROM r_ch) "
                            f"UNION ALL SELECT report_month, month, location, round(value, 6) FROM r_v")
     sql["report_provider"] = f"WITH {OL}, {_report_long()} SELECT * FROM gp"
+    sql["report_from_payloads"] = sql["report_provider"]
 
     sql["iso_date_part"] = ("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts_text, "
                             "strftime(ts, '%Y-%m-%d') AS day_text, CAST(ts AS DATE) AS day FROM events")

@@ -150,6 +150,31 @@ def report_provider(report_rows: DataFrame, available: DataFrame, hierarchy: Dat
     return out.select(*OUT)
 
 
+# ----------------------------------------------------------------------------
+# From landed payloads
+# ----------------------------------------------------------------------------
+def release_provider_from_payloads(index_payloads: DataFrame, series_payloads: DataFrame,
+                                   dataset_dim: DataFrame, start_date, bad_rows: str = "drop_payload",
+                                   debug_first: int | None = None) -> DataFrame:
+    """Release provider over landed payloads: (dataset_id, payload) release
+    indexes and (dataset_id, release_raw, payload) series."""
+    from vintagelake.sources.payloads import parse_release_index, parse_release_series
+    return release_provider(parse_release_index(index_payloads, bad_rows),
+                            parse_release_series(series_payloads, bad_rows),
+                            dataset_dim, start_date, debug_first)
+
+
+def report_provider_from_payloads(report_payloads: DataFrame, hierarchy: DataFrame,
+                                  renames: DataFrame | None, start_date, as_of,
+                                  item: str | None = None, fallback_days: int = 7) -> DataFrame:
+    """Report provider over landed (report_date, payload) pages.  A report
+    exists on a day when a page for that day has at least one record."""
+    from vintagelake.sources.payloads import parse_report_payloads
+    rows = parse_report_payloads(report_payloads, item)
+    return report_provider(rows, rows.select("report_date"), hierarchy, renames, start_date, as_of,
+                           fallback_days)
+
+
 # ----------------------------------------------------------------------------
 # Union
 # ----------------------------------------------------------------------------
@@ -166,4 +191,4 @@ def combined_vintage(release: DataFrame | None = None, report: DataFrame | None
 
 
 __all__ = ["edition_provider", "release_provider", "report_provider", "report_dates",
-           "combined_vintage", "stage"]
+           "release_provider_from_payloads", "report_provider_from_payloads", "combined_vintage", "stage"]

@@ -88,12 +88,10 @@ def q_csv_snapshot(spark, base):
     written as a dated CSV snapshot and read back."""
     long = providers.edition_provider(S.editions(spark, base), S.series_dim(spark, base))
     locations = reshape.observed_values(S.series_dim(spark, base), "location")
-    wide = reshape.pivot_wide(long.select("report_date", "month", "location", "value"),
-                              ["report_date", "month"], locations)
-    wide = wide.select(month_label("report_date").alias("reportDate"), month_label("month").alias("month"),
-                       *[F.col(f"`{loc}`") for loc in locations])
+    wide = reshape.wide_view(long, ["report_date", "month"], locations, fmt="MMM-yy")
+    wide = wide.withColumnRenamed("report_date", "reportDate")
     path = shared_path(spark, "snapshots", uuid.uuid4().hex)
-    written = write_csv_snapshot(wide, path, run_date="20240101", sort_by=None)
+    written = write_csv_snapshot(wide, path, run_date="20240101")
     return read_csv_snapshot(spark, written, wide.schema)
 
 
@@ -146,6 +144,13 @@ def q_release_provider(spark, base):
     return _release_long(spark, base)
 
 
+@register("release_from_payloads")
+def q_release_from_payloads(spark, base):
+    return providers.release_provider_from_payloads(
+        S.release_index_payloads(spark, base), S.release_series_payloads(spark, base),
+        S.dataset_dim(spark, base), S.RELEASE_START)
+
+
 @register("vintage_wide")
 def q_vintage_wide(spark, base):
     long = _release_long(spark, base)
@@ -275,6 +280,14 @@ def q_report_provider(spark, base):
     return _report_long(spark, base).select("report_date", "issue_date", "month", "location", _r6("value"))
 
 
+@register("report_from_payloads")
+def q_report_from_payloads(spark, base):
+    out = providers.report_provider_from_payloads(
+        S.report_payloads(spark, base), S.rollups_df(spark, S.TEST_ROLLUPS), S.renames_df(spark),
+        S.CALENDAR_START, S.CALENDAR_AS_OF)
+    return out.select("report_date", "issue_date", "month", "location", _r6("value"))
+
+
 # ----------------------------------------------------------------- scalars --
 @register("iso_date_part")
 def q_iso_date_part(spark, base):
