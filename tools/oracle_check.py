@@ -36,9 +36,17 @@ def rows_of(cols, records):
 
 
 def main():
-    base = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    only = sys.argv[2:] or None
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    args = [a for a in sys.argv[1:] if a != "--vanilla"]
+    base = args[0] if args else "/root/testdata/sf0.01"
+    only = args[1:] or None
+    if "--vanilla" in sys.argv:
+        # the session a caller builds without this package's settings
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = get_spark("local[8]", shuffle_partitions=8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{base}/{t}.parquet')")

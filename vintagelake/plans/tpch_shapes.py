@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintagelake import schemas
+from vintagelake.session import local_frame
 from vintagelake.sources.tables import read_table
 
 # Test parameters of the shapes (shared with the DuckDB oracles).
@@ -223,8 +224,8 @@ def defect_payloads(spark: SparkSession, base: str) -> DataFrame:
 
 def rollups_df(spark: SparkSession, rollups) -> DataFrame:
     rows = [(t, c, p, i) for i, (t, p, comps) in enumerate(rollups) for c in comps]
-    return spark.createDataFrame(rows, schemas.HIERARCHY)
+    return local_frame(spark, rows, schemas.HIERARCHY)
 
 
 def renames_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TEST_RENAMES, schemas.RENAME_DIM)
+    return local_frame(spark, TEST_RENAMES, schemas.RENAME_DIM)

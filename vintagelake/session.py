@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Settings every job relies on.  Partition counts are left to AQE: the initial
 # shuffle partition count comes from the caller (cluster default or tests), and
@@ -63,3 +64,19 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder, for tables written mid-job."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), *parts) if "://" not in base else "/".join([base.rstrip("/"), *parts])
+
+
+def local_frame(spark: SparkSession, rows, schema: str | StructType) -> DataFrame:
+    """Small fixed data (dimensions, hierarchies, location lists) as a local
+    relation built from an Arrow table.  Catalyst then knows its exact size, so
+    its broadcast threshold decides the join without a hint or an extra job
+    (a frame made from a Python list is an RDD scan of unknown size)."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    struct = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    arrow_schema = to_arrow_schema(struct)
+    rows = [tuple(r) for r in rows]
+    columns = [pa.array([r[i] for r in rows], type=arrow_schema.field(i).type)
+               for i in range(len(struct.fields))]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow_schema), schema=struct)

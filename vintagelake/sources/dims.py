@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from vintagelake import schemas
+from vintagelake.session import local_frame
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the production configuration for equal results).
@@ -101,12 +102,11 @@ SOURCE_NAMES = {"release": "Energy Aspects", "report": "Genscape", "edition": "E
 
 def dataset_dim(spark: SparkSession, rows=None) -> DataFrame:
     rows = RELEASE_DATASETS if rows is None else rows
-    return spark.createDataFrame([(d, loc, i) for i, (d, loc) in enumerate(rows)],
-                                 schemas.DATASET_DIM)
+    return local_frame(spark, [(d, loc, i) for i, (d, loc) in enumerate(rows)], schemas.DATASET_DIM)
 
 
 def series_dim(spark: SparkSession, rows=None) -> DataFrame:
-    return spark.createDataFrame(EDITION_SERIES if rows is None else rows, schemas.SERIES_DIM)
+    return local_frame(spark, EDITION_SERIES if rows is None else rows, schemas.SERIES_DIM)
 
 
 def hierarchy(spark: SparkSession, rollups=None) -> DataFrame:
@@ -119,8 +119,8 @@ def hierarchy(spark: SparkSession, rollups=None) -> DataFrame:
     rows = [(target, comp, policy, rule)
             for rule, (target, policy, comps) in enumerate(rollups)
             for comp in comps]
-    return spark.createDataFrame(rows, schemas.HIERARCHY)
+    return local_frame(spark, rows, schemas.HIERARCHY)
 
 
 def rename_dim(spark: SparkSession, rows=None) -> DataFrame:
-    return spark.createDataFrame(REPORT_RENAMES if rows is None else rows, schemas.RENAME_DIM)
+    return local_frame(spark, REPORT_RENAMES if rows is None else rows, schemas.RENAME_DIM)
