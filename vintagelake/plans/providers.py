@@ -28,7 +28,7 @@ from vintagelake.operators.combine import combine, to_vintage
 from vintagelake.operators.horizon import (cut_from_release, forecasts_only, latest_release_per_month,
                                            one_year_horizon, releases_since)
 from vintagelake.operators.joins import dim_join, lookup, rename_locations
-from vintagelake.operators.limits import first_dims
+from vintagelake.operators.limits import cap_rows_per_group, first_dims
 from vintagelake.operators.reshape import densify, observed_values, unique_cells
 from vintagelake.operators.rollup import apply_rollups
 from vintagelake.session import shared_path
@@ -125,7 +125,7 @@ def report_dates(available: DataFrame, start_date, as_of, fallback_days: int = 7
 
 def report_provider(report_rows: DataFrame, available: DataFrame, hierarchy: DataFrame,
                     renames: DataFrame | None, start_date, as_of, fallback_days: int = 7,
-                    locations: list[str] | None = None) -> DataFrame:
+                    locations: list[str] | None = None, row_limit: int | None = None) -> DataFrame:
     """Report rows -> mean per cell, densified over the locations that have a
     value, plus regional rollups, with names renamed last.
 
@@ -135,7 +135,11 @@ def report_provider(report_rows: DataFrame, available: DataFrame, hierarchy: Dat
     dates = report_dates(available, start_date, as_of, fallback_days)
     # At most one date per calendar month: bounded by the calendar, safe to broadcast.
     rows = report_rows.join(F.broadcast(dates), "report_date")
-    rows = forecasts_only(one_year_horizon(rows, "report_date", "month"), "reportDate", "month")
+    rows = one_year_horizon(rows, "report_date", "month")
+    if row_limit is not None:
+        # the source's page limit, applied after its own filters; ours is ordered, not server order
+        rows = cap_rows_per_group(rows, ["report_date"], ["month", "subRegion", "reportDate", "value"], row_limit)
+    rows = forecasts_only(rows, "reportDate", "month")
     cells = cell_mean(rows.select(F.col("reportDate").alias("report_date"), "month",
                                   F.col("subRegion").alias("location"), "value"),
                       ["report_date", "month", "location"])
@@ -166,13 +170,14 @@ def release_provider_from_payloads(index_payloads: DataFrame, series_payloads: D
 
 def report_provider_from_payloads(report_payloads: DataFrame, hierarchy: DataFrame,
                                   renames: DataFrame | None, start_date, as_of,
-                                  item: str | None = None, fallback_days: int = 7) -> DataFrame:
+                                  item: str | None = None, fallback_days: int = 7,
+                                  row_limit: int | None = None) -> DataFrame:
     """Report provider over landed (report_date, payload) pages.  A report
     exists on a day when a page for that day has at least one record."""
     from vintagelake.sources.payloads import parse_report_payloads
     rows = parse_report_payloads(report_payloads, item)
     return report_provider(rows, rows.select("report_date"), hierarchy, renames, start_date, as_of,
-                           fallback_days)
+                           fallback_days, row_limit=row_limit)
 
 
 # ----------------------------------------------------------------------------
