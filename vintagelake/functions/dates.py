@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-# Label formats of the reference's outputs.
+# Label formats of the original outputs.
 LABEL_FORMATS = {"year_month": "yyyy-MM", "mon_yy": "MMM-yy"}
 
 

@@ -1,6 +1,6 @@
 """The whole job: landed payloads and editions -> combined vintage -> targets.
 
-Mirrors the reference's main program as one Spark application: each provider
+Mirrors the original main program as one Spark application: each provider
 is a lazy plan over landed tables, missing providers are skipped (an error if
 all are missing), the combined long table refreshes the target in full, the
 edition provider's wide table is written as a dated CSV snapshot, and a run

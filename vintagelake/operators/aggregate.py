@@ -1,4 +1,4 @@
-"""Aggregations with the reference's null rules made explicit.
+"""Aggregations with the original job's null rules made explicit.
 
 All of these group on their keys with partial (map-side) aggregation, so a
 hot key is folded on every map task before the shuffle.
