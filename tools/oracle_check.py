@@ -16,6 +16,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "benchmark labels conversations").split()
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "date": "DATE", "double": "DOUBLE", "bigint": "BIGINT",
+                 "int": "INTEGER", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def norm(v):
     if v is None:
         return "NULL"
@@ -71,6 +75,13 @@ def main():
             print(f"{name:28s} ERROR {type(e).__name__}: {str(e)[:600]}")
             continue
         same_cols = sorted(s_cols) == sorted(d_cols)
+        spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                       for f in sdf.schema.fields}
+        duck_types = {d[0]: str(d[1]) for d in cur.description}
+        type_diff = {c: (spark_types[c], duck_types.get(c)) for c in spark_types
+                     if c in duck_types and spark_types[c] != duck_types[c]}
+        if type_diff:
+            print(f"   types differ: {type_diff}")
         same = same_cols and s_rows == d_rows
         ok += same
         msg = "OK " if same else "DIFF"
