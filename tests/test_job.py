@@ -6,6 +6,7 @@ import tempfile
 from tests.conftest import SF_SMALL
 from vintagelake.job import JobConfig, run
 from vintagelake.operators.combine import sink_rows
+from vintagelake.plans import providers
 from vintagelake.plans import tpch_shapes as S
 from vintagelake.plans.queries import queries
 
@@ -24,7 +25,9 @@ def test_job_equals_flagship_query(spark):
     cfg = JobConfig(landing=landing, target=os.path.join(root, "target"), csv_folder=os.path.join(root, "csv"),
                     as_of=S.CALENDAR_AS_OF, run_date="20010801", release_start=S.RELEASE_START,
                     report_start=S.CALENDAR_START, dims_folder=dims_folder)
+    before = set(providers.STAGED)
     summary = {r.source: r.n_rows for r in run(spark, cfg).collect()}
+    assert set(providers.STAGED) <= before  # the run removed the cells it staged
     got = spark.read.parquet(cfg.target)
     expected = sink_rows(queries()["combined_vintage"](spark, SF_SMALL))
     rounded = [c if c != "value" else "round(value, 6) as value" for c in got.columns]

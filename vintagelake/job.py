@@ -86,6 +86,7 @@ def build(spark: SparkSession, cfg: JobConfig) -> tuple[dict[str, DataFrame], Da
 
 def run(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     """Run the job; returns the run summary (source, n_rows)."""
+    staged_before = set(providers.STAGED)
     parts, series_dim = build(spark, cfg)
     combined = providers.combined_vintage(**parts)
     rows = refuse_empty(sink_rows(combined, cfg.label_format))
@@ -93,14 +94,18 @@ def run(spark: SparkSession, cfg: JobConfig) -> DataFrame:
         opts = dict(cfg.jdbc)
         full_refresh_jdbc(rows, opts.pop("url"), opts.pop("dbtable"), opts)
     if cfg.target:
-        full_refresh_table(rows, cfg.target)
+        full_refresh_table(rows, cfg.target, partition_by=["source"])
     if cfg.csv_folder and "edition" in parts:
         locations = observed_values(series_dim, "location")
         wide = wide_view(parts["edition"], ["report_date", "month"], locations, fmt="MMM-yy")
         write_csv_snapshot(wide.withColumnRenamed("report_date", "reportDate"), cfg.csv_folder, cfg.run_date)
-    # count what was written rather than computing the union again
-    written = spark.read.parquet(cfg.target) if cfg.target else rows
-    return run_summary(written)
+    if cfg.target:
+        # count what was written rather than computing the union again, and
+        # remove this run's staged cells: nothing reads them any more
+        summary = run_summary(spark.read.parquet(cfg.target))
+        providers.drop_stages(spark, [p for p in providers.STAGED if p not in staged_before])
+        return summary
+    return run_summary(rows)
 
 
 def main(argv: list[str] | None = None) -> None:

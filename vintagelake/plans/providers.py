@@ -39,15 +39,31 @@ KEYS = ["report_date", "month"]
 OUT = ["report_date", "issue_date", "month", "location", "value"]
 
 
+STAGED: list[str] = []
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a parquet table in the shared checkpoint folder and
-    return a scan of it."""
+    return a scan of it.  The path is recorded in ``STAGED`` so that a job can
+    remove its stages once its targets are written (``drop_stages``)."""
     spark = df.sparkSession
     path = shared_path(spark, "stage", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    STAGED.append(path)
     return spark.read.parquet(path)
 
 
+def drop_stages(spark, paths: list[str]) -> None:
+    """Delete staged tables (only call when no plan reading them will run again)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+        if path in STAGED:
+            STAGED.remove(path)
+
+
 # ----------------------------------------------------------------------------
 # Edition provider
 # ----------------------------------------------------------------------------
