@@ -228,6 +228,18 @@ def test_labels(spark):
     assert df.select(label("x"), month_label("x")).first() == ("2024-03", "Mar-24")
 
 
+def test_strict_and_lenient_parse(spark):
+    from vintagelake.functions import parse_iso_date, parse_lenient_date
+    texts = ["2024-05-06", "2024-05-06T10:00:00", "2024-05-06 10:00:00", "2024-05", "2024-13-01", "junk"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: (r.s, r.l) for r in df.select("t", parse_iso_date("t").alias("s"),
+                                               parse_lenient_date("t").alias("l")).collect()}
+    assert got["2024-05-06T10:00:00"] == (D(2024, 5, 6), D(2024, 5, 6))
+    assert got["2024-05-06 10:00:00"][1] == D(2024, 5, 6)
+    assert got["2024-05"] == (None, D(2024, 5, 1))
+    assert got["2024-13-01"] == (None, None) and got["junk"] == (None, None)
+
+
 # ----------------------------------------------------------------- payloads
 def _series_payloads(spark, texts):
     return spark.createDataFrame([(str(i), "2024-01-01", t) for i, t in enumerate(texts)],

@@ -30,6 +30,13 @@ def parse_iso_date(raw: ColumnOrName) -> Column:
     return F.try_to_date(iso_date_part(raw), "yyyy-MM-dd")
 
 
+def parse_lenient_date(raw: ColumnOrName) -> Column:
+    """Date of ISO-like text: a day with an optional ``T`` or space time part, or a
+    bare year-month (read as its first day); NULL otherwise."""
+    day = F.split_part(iso_date_part(raw), F.lit(" "), F.lit(1))
+    return F.coalesce(F.try_to_date(day, "yyyy-MM-dd"), F.try_to_date(day, "yyyy-MM"))
+
+
 def first_of_month(d: ColumnOrName) -> Column:
     return F.trunc(_c(d), "MM")
 
