@@ -157,6 +157,13 @@ def test_vintage_key_each_dataset_cut_at_own_release(spark):
         (D(2024, 4, 1), "A", 1.0, D(2024, 3, 5)), (D(2024, 4, 1), "B", 1.0, D(2024, 3, 20))]
 
 
+def test_two_texts_of_one_day_are_one_target(spark):
+    body = '[{"data":{"2024-04-01T00:00:00":2.0,"2024-04-01":1.0,"2024-05-01":3.0}}]'
+    df = spark.createDataFrame([("a", "2024-03-05", body)], schemas.RELEASE_SERIES_PAYLOADS)
+    assert rows(P.parse_release_series(df), "target_raw", "value") == [
+        ("2024-04-01T00:00:00", 2.0), ("2024-05-01", 3.0)]
+
+
 def test_release_provider_keeps_null_points(spark):
     out = _release_provider(spark, [("a", "2024-03-05")], [("a", "2024-03-05", "2024-04-01", None)])
     assert rows(out, "location", "value") == [("A", None)]

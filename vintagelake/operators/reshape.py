@@ -56,17 +56,17 @@ def melt(df: DataFrame, ids: list[str], value_cols: list[str] | None = None,
 
 
 def densify(cells: DataFrame, keys: list[str], locations: list[str],
-            value_cols: tuple[str, ...] = ("value",), order_col: str | None = None,
+            value_cols: tuple[str, ...] = ("value",), order_col=None,
             location_col: str = "location") -> DataFrame:
     """keys x locations; a location without a cell in a key row gets NULL values.
 
     Rows of ``cells`` that share (keys, location) are resolved by ``order_col``
-    (the row with the greatest order wins, as a later assignment overwrites an
-    earlier one); without it, cells must be unique.
+    (a column name or expression; the row with the greatest order wins, as a
+    later assignment overwrites an earlier one); without it, cells must be unique.
     """
     if not locations:
         return cells.select(*keys, location_col, *value_cols).limit(0)
-    pick = (lambda c: F.max_by(c, order_col)) if order_col else (lambda c: F.first(c))
+    pick = (lambda c: F.max_by(c, order_col)) if order_col is not None else (lambda c: F.first(c))
     aggs = [pick(c).alias(c) for c in value_cols]
     wide = cells.groupBy(*keys).pivot(location_col, list(locations)).agg(*aggs)
 

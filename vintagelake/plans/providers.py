@@ -108,7 +108,8 @@ def release_provider(release_index: DataFrame, release_series: DataFrame, datase
     the release month, so datasets released on different days of one month
     share a row while each is cut at its own release day.  Points with a NULL
     value are kept.  If two datasets write one location, the later dataset
-    (greater ``ord``) wins.
+    (greater ``ord``) wins.  Series points must be one per target day (the
+    payload parser keeps the greater text when a payload writes one day twice).
     """
     dims = dataset_dim if debug_first is None else first_dims(dataset_dim, "ord", debug_first)
     idx = releases_since(release_index, start_date)
