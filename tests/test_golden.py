@@ -281,6 +281,31 @@ def test_map_null_value_and_duplicate_key(spark):
     assert [(x["key"], x["value"]) for x in entries.first()["e"]] == [("b", 5.0), ("a", 2.0)]
 
 
+def test_load_ranges(spark):
+    from vintagelake.operators.aggregate import load_ranges
+    df = spark.createDataFrame([(d("2024-04-29"), d("2024-05-01")), (d("2024-03-25"), d("2024-09-01"))],
+                               "reportDate date, month date")
+    r = load_ranges(df).first()
+    assert (r.min_report_date, r.max_report_date, r.min_month, r.max_month, r.n_rows) == (
+        D(2024, 3, 25), D(2024, 4, 29), D(2024, 5, 1), D(2024, 9, 1), 2)
+
+
+def test_duplicate_keys_resolve_like_a_decoded_dict(spark):
+    import json
+    import random
+    rnd = random.Random(7)
+    texts = []
+    for _ in range(40):
+        keys = [f"2024-0{rnd.randint(1, 4)}-01" for _ in range(rnd.randint(1, 6))]
+        body = "{" + ",".join(f'"{k}":{i}' for i, k in enumerate(keys)) + "}"
+        texts.append('[{"data":' + body + "}]")
+    df = spark.createDataFrame([(str(i), "r", t) for i, t in enumerate(texts)], schemas.RELEASE_SERIES_PAYLOADS)
+    got = sorted((r.dataset_id, r.target_raw, r.value) for r in P.parse_release_series(df).collect())
+    want = sorted((str(i), k, float(v)) for i, t in enumerate(texts)
+                  for k, v in json.loads(t)[0]["data"].items())
+    assert got == want
+
+
 def test_report_payload_records(spark):
     body = ('{"data":[{"reportDate":"2024-04-29","month":"2024-05-01","subRegion":"p","value":1.5},'
             '{"reportDate":"2024-04-29","month":"2024-03-01","subRegion":"q","value":2.0}]}')

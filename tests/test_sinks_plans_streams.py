@@ -112,3 +112,13 @@ def test_landing_stream_equals_batch_parse(spark):
     q = land(spark, src, os.path.join(out, "rows"), "release_series", checkpoint_dir=os.path.join(out, "ckpt"))
     q.awaitTermination(120)
     assert spark.read.parquet(os.path.join(out, "rows")).count() == 2
+
+
+def test_vintage_table_is_partitioned_and_pruned(spark):
+    from vintagelake.sinks import write_vintage_table
+    data = [("s1", dt.date(2024, 3, 5), None, dt.date(2024, 4, 1), "x", 1.0),
+            ("s2", dt.date(2024, 4, 5), None, dt.date(2024, 5, 1), "y", 2.0)]
+    path = write_vintage_table(spark.createDataFrame(data, schemas.VINTAGE), os.path.join(_tmp(), "v"))
+    assert [f for f in sorted(os.listdir(path)) if f.startswith("source=")] == ["source=s1", "source=s2"]
+    q = spark.read.parquet(path).filter("source = 's2' AND report_month = '2024-04'")
+    assert "PartitionFilters" in _plan(q) and q.count() == 1
