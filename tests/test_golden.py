@@ -271,6 +271,13 @@ def test_one_bad_date_drops_payload_or_row(spark):
     assert P.parse_release_index(idx, "drop_row").count() == 1
 
 
+def test_two_bad_keys_still_drop_the_payload(spark):
+    df = _series_payloads(spark, ['[{"data":{"2024-01-01":1.0,"x":2.0,"y":3.0}}]'])
+    assert P.parse_release_series(df, "drop_payload").count() == 0
+    assert rows(P.parse_release_series(df, "drop_row"), "target_raw") == [("2024-01-01",)]
+    assert [r.outcome for r in P.release_series_status(df).collect()] == ["bad_date"]
+
+
 def test_map_null_value_and_duplicate_key(spark):
     df = _series_payloads(spark, ['[{"data":{"2024-01-01":null}}]', '[{"data":{"a":1,"b":5,"a":2}}]'])
     got = rows(P.parse_release_series(df, "drop_row").union(
