@@ -1,5 +1,5 @@
 """Run every registered query once and print rows, columns and seconds."""
-import sys, time, traceback
+import sys, time
 sys.path.insert(0, ".")
 from vintagelake.session import get_spark
 from vintagelake.plans.queries import queries
