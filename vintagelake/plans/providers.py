@@ -67,26 +67,34 @@ def drop_stages(spark, paths: list[str]) -> None:
 # ----------------------------------------------------------------------------
 # Edition provider
 # ----------------------------------------------------------------------------
-def edition_provider(editions: DataFrame, series_dim: DataFrame, flag: str = EDITION_FORECAST_FLAG,
-                     scale: float = EDITION_SCALE, series_ids: list[str] | None = None,
-                     strict: bool = True) -> DataFrame:
-    """Edition table -> forecasts per (edition date, month, location).
+def edition_cells(editions: DataFrame, series_dim: DataFrame, flag: str = EDITION_FORECAST_FLAG,
+                  scale: float = EDITION_SCALE, series_ids: list[str] | None = None) -> DataFrame:
+    """Lazy plan of the edition cells: report_date, month, location, value, issue_date.
 
     Scan forecasts of the listed series (the ids, or the dimension's ids),
     scale, sum per (edition, month, series) with empty groups summing to 0,
     map series to locations (unmapped ids keep their row key but no column),
-    check that no cell is duplicated, then give every row key every location
-    of the dimension.  ``strict`` makes a dimension location that never occurs
-    an error, as selecting a missing column is.
+    and check that no cell is duplicated.
     """
     rows = scan_editions(editions, series_ids if series_ids is not None else series_dim, flag)
     rows = rows.withColumn("value", F.col("value") * F.lit(scale))
     sums = series_sum(rows, ["report_date", "month", "series_id"])
-    dim = series_dim.select("series_id", "location")
-    mapped = lookup(sums, dim, "series_id", "left")
-    cells = stage(unique_cells(mapped, KEYS, "location").withColumn(
-        "issue_date", F.when(F.col("location").isNotNull(), F.col("report_date"))), "edition-cells")
-    locations = observed_values(dim, "location")
+    mapped = lookup(sums, series_dim.select("series_id", "location"), "series_id", "left")
+    return unique_cells(mapped, KEYS, "location").withColumn(
+        "issue_date", F.when(F.col("location").isNotNull(), F.col("report_date")))
+
+
+def edition_provider(editions: DataFrame, series_dim: DataFrame, flag: str = EDITION_FORECAST_FLAG,
+                     scale: float = EDITION_SCALE, series_ids: list[str] | None = None,
+                     strict: bool = True) -> DataFrame:
+    """Edition table -> forecasts per (edition date, month, location).
+
+    The cells (``edition_cells``) are staged, then every row key gets every
+    location of the dimension.  ``strict`` makes a dimension location that
+    never occurs an error, as selecting a missing column is.
+    """
+    cells = stage(edition_cells(editions, series_dim, flag, scale, series_ids), "edition-cells")
+    locations = observed_values(series_dim, "location")
     if strict:
         seen = set(observed_values(cells, "location"))
         missing = [loc for loc in locations if loc not in seen]
@@ -98,18 +106,15 @@ def edition_provider(editions: DataFrame, series_dim: DataFrame, flag: str = EDI
 # ----------------------------------------------------------------------------
 # Release provider
 # ----------------------------------------------------------------------------
-def release_provider(release_index: DataFrame, release_series: DataFrame, dataset_dim: DataFrame,
-                     start_date, debug_first: int | None = None,
-                     locations: list[str] | None = None) -> DataFrame:
-    """Release index + release series -> one vintage per release month.
+def release_cells(release_index: DataFrame, release_series: DataFrame, dataset_dim: DataFrame,
+                  start_date, debug_first: int | None = None) -> DataFrame:
+    """Lazy plan of the release cells: report_date, month, location, value, issue_date, ord.
 
     Per mapped dataset: releases on/after the start day, the latest per month,
     its points on/after the release day.  Rows are keyed on the first day of
     the release month, so datasets released on different days of one month
     share a row while each is cut at its own release day.  Points with a NULL
-    value are kept.  If two datasets write one location, the later dataset
-    (greater ``ord``) wins.  Series points must be one per target day (the
-    payload parser keeps the greater text when a payload writes one day twice).
+    value are kept.
     """
     dims = dataset_dim if debug_first is None else first_dims(dataset_dim, "ord", debug_first)
     idx = releases_since(release_index, start_date)
@@ -117,9 +122,22 @@ def release_provider(release_index: DataFrame, release_series: DataFrame, datase
     chosen = latest_release_per_month(idx)
     points = cut_from_release(release_series, chosen)
     cells = lookup(points, dims.select("dataset_id", "location", "ord"), "dataset_id", "inner")
-    cells = cells.select(F.col("release_month").alias("report_date"), F.col("target_date").alias("month"),
-                         "location", "value", F.col("release_date").alias("issue_date"), "ord")
-    cells = stage(cells, "release-cells")
+    return cells.select(F.col("release_month").alias("report_date"), F.col("target_date").alias("month"),
+                        "location", "value", F.col("release_date").alias("issue_date"), "ord")
+
+
+def release_provider(release_index: DataFrame, release_series: DataFrame, dataset_dim: DataFrame,
+                     start_date, debug_first: int | None = None,
+                     locations: list[str] | None = None) -> DataFrame:
+    """Release index + release series -> one vintage per release month.
+
+    The cells (``release_cells``) are staged and densified over the locations
+    that occur.  If two datasets write one location, the later dataset
+    (greater ``ord``) wins.  Series points must be one per target day (the
+    payload parser keeps the greater text when a payload writes one day twice).
+    """
+    cells = stage(release_cells(release_index, release_series, dataset_dim, start_date, debug_first),
+                  "release-cells")
     if locations is None:
         locations = observed_values(cells, "location")
     return densify(cells, KEYS, locations, ("value", "issue_date"), order_col="ord").select(*OUT)
@@ -140,14 +158,15 @@ def report_dates(available: DataFrame, start_date, as_of, fallback_days: int = 7
     return snapped_dates(report_calendar(bounds), available, fallback_days, date_col)
 
 
-def report_provider(report_rows: DataFrame, available: DataFrame, hierarchy: DataFrame,
-                    renames: DataFrame | None, start_date, as_of, fallback_days: int = 7,
-                    locations: list[str] | None = None, row_limit: int | None = None) -> DataFrame:
-    """Report rows -> mean per cell, densified over the locations that have a
-    value, plus regional rollups, with names renamed last.
+def report_cells(report_rows: DataFrame, available: DataFrame, start_date, as_of,
+                 fallback_days: int = 7, row_limit: int | None = None) -> DataFrame:
+    """Lazy plan of the report cells: report_date, month, location, value, issue_date.
 
     report_rows: report_date (requested), reportDate, month, subRegion, value.
     available: rows whose ``report_date`` says a report exists on that day.
+    Calendar dates snapped to existing reports select the rows; the one-year
+    horizon and month >= reportDate cut them; the mean per cell skips missing
+    values, so cells, rows and locations without any value do not occur.
     """
     dates = report_dates(available, start_date, as_of, fallback_days)
     # At most one date per calendar month: bounded by the calendar, safe to broadcast.
@@ -160,7 +179,16 @@ def report_provider(report_rows: DataFrame, available: DataFrame, hierarchy: Dat
     cells = cell_mean(rows.select(F.col("reportDate").alias("report_date"), "month",
                                   F.col("subRegion").alias("location"), "value"),
                       ["report_date", "month", "location"])
-    cells = stage(cells.withColumn("issue_date", F.col("report_date")), "report-cells")
+    return cells.withColumn("issue_date", F.col("report_date"))
+
+
+def report_provider(report_rows: DataFrame, available: DataFrame, hierarchy: DataFrame,
+                    renames: DataFrame | None, start_date, as_of, fallback_days: int = 7,
+                    locations: list[str] | None = None, row_limit: int | None = None) -> DataFrame:
+    """Report rows -> mean per cell, densified over the locations that have a
+    value, plus regional rollups, with names renamed last."""
+    cells = stage(report_cells(report_rows, available, start_date, as_of, fallback_days, row_limit),
+                  "report-cells")
     if locations is None:
         locations = observed_values(cells, "location")
     dense = densify(cells, KEYS, locations, ("value", "issue_date"))
@@ -213,4 +241,5 @@ def combined_vintage(release: DataFrame | None = None, report: DataFrame | None
 
 
 __all__ = ["edition_provider", "release_provider", "report_provider", "report_dates",
+           "edition_cells", "release_cells", "report_cells",
            "release_provider_from_payloads", "report_provider_from_payloads", "combined_vintage", "stage"]
