@@ -66,21 +66,22 @@ def build(spark: SparkSession, cfg: JobConfig) -> tuple[dict[str, DataFrame], Da
     series_dim, custom_series = _dim(spark, cfg, "series_dim", schemas.SERIES_DIM, lambda: dims.series_dim(spark))
     hierarchy, _ = _dim(spark, cfg, "hierarchy", schemas.HIERARCHY, lambda: dims.hierarchy(spark, cfg.rollups))
     renames, _ = _dim(spark, cfg, "renames", schemas.RENAME_DIM, lambda: dims.rename_dim(spark))
-    out: dict[str, DataFrame] = {}
+    builders = {}
     if _exists(spark, cfg.path("release_index")) and _exists(spark, cfg.path("release_series")):
-        out["release"] = providers.release_provider_from_payloads(
+        builders["release"] = lambda: providers.release_provider_from_payloads(
             read_payloads(spark, cfg.path("release_index"), schemas.RELEASE_INDEX_PAYLOADS, cfg.payload_format),
             read_payloads(spark, cfg.path("release_series"), schemas.RELEASE_SERIES_PAYLOADS, cfg.payload_format),
             dataset_dim, cfg.release_start, debug_first=3 if cfg.debug else None)
     if _exists(spark, cfg.path("report")):
-        out["report"] = providers.report_provider_from_payloads(
+        builders["report"] = lambda: providers.report_provider_from_payloads(
             read_payloads(spark, cfg.path("report"), schemas.REPORT_PAYLOADS, cfg.payload_format),
             hierarchy, renames, cfg.report_start, cfg.as_of, item=dims.REPORT_ITEM)
     if _exists(spark, cfg.path("editions")):
         # fixed ids reach the scan as an IN filter; a custom dimension is a semi-join
         ids = None if custom_series else [s for s, _ in dims.EDITION_SERIES]
-        out["edition"] = providers.edition_provider(
+        builders["edition"] = lambda: providers.edition_provider(
             spark.read.schema(schemas.EDITIONS).parquet(cfg.path("editions")), series_dim, series_ids=ids)
+    out = providers.build_all(spark, builders)
     return out, series_dim
 
 

@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +33,7 @@ from vintagelake.operators.joins import dim_join, lookup, rename_locations
 from vintagelake.operators.limits import cap_rows_per_group, first_dims
 from vintagelake.operators.reshape import densify, observed_values, unique_cells
 from vintagelake.operators.rollup import apply_rollups
-from vintagelake.session import shared_path
+from vintagelake.session import ensure_checkpoint_dir, shared_path
 from vintagelake.sources.dims import EDITION_FORECAST_FLAG, EDITION_SCALE, SOURCE_NAMES
 from vintagelake.sources.tables import scan_editions
 
@@ -228,6 +230,25 @@ def report_provider_from_payloads(report_payloads: DataFrame, hierarchy: DataFra
 # ----------------------------------------------------------------------------
 # Union
 # ----------------------------------------------------------------------------
+def build_all(spark, builders: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Build independent provider plans at once.
+
+    Each provider stages its cells with its own Spark job; jobs submitted from
+    several threads run side by side on the cluster's free slots instead of
+    one after another.  The shared folder is resolved first so that the
+    threads do not race to set it.
+    """
+    ensure_checkpoint_dir(spark)
+    if len(builders) <= 1:
+        return {k: f() for k, f in builders.items()}
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        futures = {k: pool.submit(f) for k, f in builders.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
+# ----------------------------------------------------------------------------
+# Combined
+# ----------------------------------------------------------------------------
 def combined_vintage(release: DataFrame | None = None, report: DataFrame | None = None,
                      edition: DataFrame | None = None, names: dict[str, str] | None = None) -> DataFrame:
     """Tag each provider's long table with its source name and union them.
@@ -240,6 +261,6 @@ def combined_vintage(release: DataFrame | None = None, report: DataFrame | None
     return combine(frames)
 
 
-__all__ = ["edition_provider", "release_provider", "report_provider", "report_dates",
+__all__ = ["build_all", "edition_provider", "release_provider", "report_provider", "report_dates",
            "edition_cells", "release_cells", "report_cells",
            "release_provider_from_payloads", "report_provider_from_payloads", "combined_vintage", "stage"]

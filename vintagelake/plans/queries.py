@@ -336,10 +336,12 @@ def q_rows_per_source(spark, base):
 
 
 def _combined(spark, base):
-    release = _release_long(spark, base)
-    report = _report_long(spark, base).withColumn("value", F.round("value", 6))
-    edition = providers.edition_provider(S.editions(spark, base), S.series_dim(spark, base))
-    return providers.combined_vintage(release=release, report=report, edition=edition)
+    parts = providers.build_all(spark, {
+        "release": lambda: _release_long(spark, base),
+        "report": lambda: _report_long(spark, base).withColumn("value", F.round("value", 6)),
+        "edition": lambda: providers.edition_provider(S.editions(spark, base), S.series_dim(spark, base)),
+    })
+    return providers.combined_vintage(**parts)
 
 
 @register("combined_vintage")
