@@ -109,3 +109,26 @@ def test_calendar_and_snap_equal_python_loop(spark, seed):
         elif c - dt.timedelta(days=7) in avail:
             loop.add(c - dt.timedelta(days=7))
     assert snapped == sorted(loop)
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_sum_and_mean_follow_pandas_null_rules(spark, seed):
+    from vintagelake.operators import aggregate
+    rnd = random.Random(seed)
+    data = []
+    for _ in range(200):
+        k = rnd.choice(["a", "b", "c", None])
+        v = rnd.choice([None, float("nan"), float(rnd.randint(1, 9))])
+        data.append((k, rnd.choice(["p", "q"]), v))
+    pdf = pd.DataFrame(data, columns=["k", "loc", "value"])
+    df = spark.createDataFrame(data, "k string, loc string, value double")
+    df = df.withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
+    # groupby().sum(): NULL keys dropped, missing skipped, an all-missing group sums to 0
+    want_sum = {(k, l): float(v) for (k, l), v in pdf.groupby(["k", "loc"])["value"].sum().items()}
+    got_sum = {(r.k, r.loc): r.value for r in aggregate.series_sum(df, ["k", "loc"]).collect()}
+    assert got_sum == want_sum
+    # pivot_table mean: cells with no value vanish
+    wide = pdf.pivot_table(index="k", columns="loc", values="value", aggfunc="mean")
+    want_mean = {(k, l): round(float(v), 9) for (k, l), v in wide.stack().items()}
+    got_mean = {(r.k, r.loc): round(r.value, 9) for r in aggregate.cell_mean(df, ["k", "loc"]).collect()}
+    assert got_mean == want_mean
