@@ -333,3 +333,35 @@ def test_empty_sources(spark):
         providers.combined_vintage()
     with pytest.raises(ValueError):
         combine.refuse_empty(empty)
+
+
+def test_report_provider_with_production_hierarchy(spark):
+    import json
+    texas = ["Texas Dist 1", "Texas Dist 10", "Texas Dist 2", "Texas Dist 3", "Texas Dist 4", "Texas Dist 5",
+             "Texas Dist 6", "Texas Dist 7B", "Texas Dist 7C", "Texas Dist 8", "Texas Dist 8A", "Texas Dist 9"]
+    regions = texas + ["Permian New Mexico", "New Mexico San Juan", "United States", "Colorado Denver Julesberg"]
+    recs = [{"reportDate": "2024-04-29", "month": "2024-06-01", "subRegion": r, "value": 1.0,
+             "item": "crudeOilProduction"} for r in regions]
+    recs.append({"reportDate": "2024-04-29", "month": "2024-06-01", "subRegion": "Alaska", "value": 9.0,
+                 "item": "otherItem"})
+    df = spark.createDataFrame([("2024-04-29", json.dumps({"data": recs}))], schemas.REPORT_PAYLOADS)
+    out = providers.report_provider_from_payloads(df, dims.hierarchy(spark), dims.rename_dim(spark),
+                                                  "2024-04-01", "2024-05-06", item=dims.REPORT_ITEM)
+    got = {r.location: r.value for r in out.collect()}
+    assert got["Texas"] == 12.0 and got["Permian"] == 4.0 and got["New Mexico"] == 2.0
+    assert got["U.S."] == 1.0 and "United States" not in got
+    assert "DJ Basin" not in got and "Colorado" not in got and "Alaska" not in got  # guarded / other item
+
+
+def test_edition_provider_with_production_series(spark):
+    series = [s for s, _ in dims.EDITION_SERIES]
+    rows_ = [(s, d("2024-05-01"), 1.5, d("2024-04-09"), "Forecast") for s in series]
+    rows_.append(("OTHER", d("2024-05-01"), 7.0, d("2024-04-09"), "Forecast"))
+    rows_.append((series[0], d("2024-05-01"), 2.0, d("2024-04-09"), "History"))
+    ed = spark.createDataFrame(rows_, schemas.EDITIONS)
+    out = providers.edition_provider(ed, dims.series_dim(spark), series_ids=series)
+    got = {r.location: r.value for r in out.collect()}
+    assert len(got) == 10 and got["U.S."] == 1500.0 and got["Lower 48 (excl GOM)"] == 1500.0
+    with pytest.raises(ValueError, match="never occur"):
+        providers.edition_provider(ed.filter(F.col("series_id") != "COPRPUS"), dims.series_dim(spark),
+                                   series_ids=series)
