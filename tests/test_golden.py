@@ -290,11 +290,11 @@ def test_map_null_value_and_duplicate_key(spark):
 
 def test_load_ranges(spark):
     from vintagelake.operators.aggregate import load_ranges
-    df = spark.createDataFrame([(d("2024-04-29"), d("2024-05-01")), (d("2024-03-25"), d("2024-09-01"))],
-                               "reportDate date, month date")
+    df = spark.createDataFrame([(d("2024-04-29"), d("2024-05-01")), (d("2024-03-25"), d("2024-09-01")),
+                                (d("2024-03-25"), d("2024-06-15"))], "reportDate date, month date")
     r = load_ranges(df).first()
-    assert (r.min_report_date, r.max_report_date, r.min_month, r.max_month, r.n_rows) == (
-        D(2024, 3, 25), D(2024, 4, 29), D(2024, 5, 1), D(2024, 9, 1), 2)
+    assert (r.min_report_date, r.max_report_date, r.min_month, r.max_month, r.n_rows, r.n_not_first_of_month) == (
+        D(2024, 3, 25), D(2024, 4, 29), D(2024, 5, 1), D(2024, 9, 1), 3, 1)
 
 
 def test_duplicate_keys_resolve_like_a_decoded_dict(spark):

@@ -35,10 +35,12 @@ def cell_mean(df: DataFrame, keys: list[str], value: str = "value") -> DataFrame
 
 def load_ranges(df: DataFrame, report_col: str = "reportDate", month_col: str = "month",
                 by: list[str] | None = None) -> DataFrame:
-    """Min/max report date and month (per load, or per ``by`` key)."""
+    """Min/max report date and month (per load, or per ``by`` key), rows, and
+    rows whose target month is not the first day of a month (a quality count)."""
     aggs = [F.min(report_col).alias("min_report_date"), F.max(report_col).alias("max_report_date"),
             F.min(month_col).alias("min_month"), F.max(month_col).alias("max_month"),
-            F.count(F.lit(1)).alias("n_rows")]
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(F.dayofmonth(month_col) != 1).alias("n_not_first_of_month")]
     return df.groupBy(*(by or [])).agg(*aggs)
 
 
