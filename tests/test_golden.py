@@ -200,6 +200,10 @@ def test_calendar_as_of_monday(spark):
     assert _calendar(spark, "2024-04-01", "2024-05-06") == [D(2024, 4, 29), D(2024, 5, 6)]
 
 
+def test_calendar_start_after_as_of_is_empty(spark):
+    assert _calendar(spark, "2024-06-10", "2024-05-06") == []
+
+
 def test_snap_to_existing_or_week_before(spark):
     cands = spark.createDataFrame([(d(x),) for x in ("2024-03-25", "2024-04-29", "2024-05-27")], "report_date date")
     avail = spark.createDataFrame([(d("2024-03-25"),), (d("2024-04-22"),), (d("2024-04-22"),)], "report_date date")
