@@ -25,13 +25,20 @@ def read_table(spark: SparkSession, base: str, name: str, columns: list[str] | N
     return df.select(*columns) if columns else df
 
 
-def read_editions_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str],
+def read_editions_jdbc(spark: SparkSession, url: str, table: str | None = None,
+                       properties: dict[str, str] | None = None, query: str | None = None,
                        num_partitions: int | None = None, partition_column: str | None = None,
                        lower_bound: str | None = None, upper_bound: str | None = None) -> DataFrame:
-    """Edition table over JDBC.  Filters written on the result are pushed to the
-    database (``PushedFilters``); a partition column splits the read across tasks."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for key, value in properties.items():
+    """Edition table over JDBC, by table name or by SQL text (``query``).
+
+    Filters written on the result of a table read are pushed to the database
+    (``PushedFilters``); a partition column splits a table read across tasks.
+    """
+    if (table is None) == (query is None):
+        raise ValueError("give exactly one of table or query")
+    reader = spark.read.format("jdbc").option("url", url)
+    reader = reader.option("dbtable", table) if table is not None else reader.option("query", query)
+    for key, value in (properties or {}).items():
         reader = reader.option(key, value)
     if partition_column:
         reader = (reader.option("partitionColumn", partition_column)
