@@ -122,3 +122,16 @@ def test_vintage_table_is_partitioned_and_pruned(spark):
     assert [f for f in sorted(os.listdir(path)) if f.startswith("source=")] == ["source=s1", "source=s2"]
     q = spark.read.parquet(path).filter("source = 's2' AND report_month = '2024-04'")
     assert "PartitionFilters" in _plan(q) and q.count() == 1
+
+
+def test_series_landed_by_dataset_is_pruned_at_run_time(spark):
+    from pyspark.sql import functions as F
+    from vintagelake.operators import horizon
+    path = os.path.join(_tmp(), "series")
+    S.release_series(spark, SF_SMALL).write.partitionBy("dataset_id").parquet(path)
+    series = spark.read.schema(schemas.RELEASE_SERIES).parquet(path)
+    idx = horizon.releases_since(S.release_index(spark, SF_SMALL), "1996-01-01").filter(
+        F.col("dataset_id").isin("1", "2"))
+    out = horizon.cut_from_release(series, horizon.latest_release_per_month(idx))
+    assert "dynamicpruningexpression" in _plan(out)
+    assert out.select("dataset_id").distinct().count() <= 2
