@@ -102,7 +102,8 @@ def test_landing_stream_equals_batch_parse(spark):
         f.write("\n".join(json.dumps(p) for p in payloads))
     q = land(spark, src, os.path.join(out, "rows"), "release_series", checkpoint_dir=os.path.join(out, "ckpt"))
     q.awaitTermination(120)
-    landed = spark.read.parquet(os.path.join(out, "rows")).drop("landed_at")
+    landed = spark.read.schema(schemas.RELEASE_SERIES).parquet(os.path.join(out, "rows"))
+    assert os.path.isdir(os.path.join(out, "rows", "dataset_id=a"))  # landed by dataset
     batch = P.parse_release_series(spark.read.schema(schemas.RELEASE_SERIES_PAYLOADS).json(src))
     assert rows(landed) == rows(batch) == [("a", "2024-01-05", "2024-02-01", 1.0)]
     # a second file lands on restart; the first is not landed twice
