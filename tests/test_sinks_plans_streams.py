@@ -136,3 +136,14 @@ def test_series_landed_by_dataset_is_pruned_at_run_time(spark):
     out = horizon.cut_from_release(series, horizon.latest_release_per_month(idx))
     assert "dynamicpruningexpression" in _plan(out)
     assert out.select("dataset_id").distinct().count() <= 2
+
+
+@pytest.mark.parametrize("key", ["edition_provider", "release_provider", "report_provider"])
+def test_provider_plans_never_shuffle_on_location_alone(spark, key):
+    import re
+    from vintagelake.plans.queries import queries
+    plan = _plan(queries()[key](spark, SF_SMALL))
+    # a handful of locations would make a handful of hot partitions
+    assert not re.search(r"hashpartitioning\(location#\d+, ", plan)
+    # joins against dimensions, hierarchies and location lists are broadcast
+    assert "SortMergeJoin" not in plan
