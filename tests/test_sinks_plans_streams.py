@@ -147,3 +147,19 @@ def test_provider_plans_never_shuffle_on_location_alone(spark, key):
     assert not re.search(r"hashpartitioning\(location#\d+, ", plan)
     # joins against dimensions, hierarchies and location lists are broadcast
     assert "SortMergeJoin" not in plan
+
+
+def test_landed_report_rows_feed_the_provider_like_the_batch_path(spark):
+    from vintagelake.plans import providers
+    src, out = os.path.join(_tmp(), "payloads"), _tmp()
+    S.report_payloads(spark, SF_SMALL).write.json(src)
+    q = land(spark, src, os.path.join(out, "rows"), "report", checkpoint_dir=os.path.join(out, "ckpt"))
+    q.awaitTermination(180)
+    landed = spark.read.schema(schemas.REPORT_ROWS).parquet(os.path.join(out, "rows"))
+    hierarchy = S.rollups_df(spark, S.TEST_ROLLUPS)
+    streamed = providers.report_provider(landed, landed.select("report_date"), hierarchy, S.renames_df(spark),
+                                         S.CALENDAR_START, S.CALENDAR_AS_OF)
+    batch = providers.report_provider_from_payloads(S.report_payloads(spark, SF_SMALL), hierarchy,
+                                                    S.renames_df(spark), S.CALENDAR_START, S.CALENDAR_AS_OF)
+    assert streamed.count() > 0
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
