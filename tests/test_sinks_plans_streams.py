@@ -163,3 +163,15 @@ def test_landed_report_rows_feed_the_provider_like_the_batch_path(spark):
                                                     S.renames_df(spark), S.CALENDAR_START, S.CALENDAR_AS_OF)
     assert streamed.count() > 0
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_jdbc_refresh_refuses_empty_input_before_connecting(spark):
+    from vintagelake.sinks import full_refresh_jdbc
+    empty = spark.createDataFrame([], "location string, value double")
+    # the URL names no reachable database: reaching the writer would fail differently
+    with pytest.raises(ValueError, match="refusing to refresh"):
+        full_refresh_jdbc(empty, "jdbc:unreachable://nowhere/db", "t", {})
+    one = spark.createDataFrame([("a", 1.0)], empty.schema)
+    with pytest.raises(Exception) as err:
+        full_refresh_jdbc(one, "jdbc:unreachable://nowhere/db", "t", {})
+    assert not isinstance(err.value, ValueError)
