@@ -30,11 +30,16 @@ def main() -> None:
     registry = queries()
     names = wanted or list(registry)
     timings: dict[str, float] = {}
+    errors: dict[str, str] = {}
     # warm-up: JVM start, class loading and the first parquet footer reads
     registry["month_labels"](spark, base).write.format("noop").mode("overwrite").save()
     for name in names:
         t0 = time.perf_counter()
-        registry[name](spark, base).write.format("noop").mode("overwrite").save()
+        try:
+            registry[name](spark, base).write.format("noop").mode("overwrite").save()
+        except Exception as exc:  # noqa: BLE001 - one failing query must not hide the others
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            continue
         timings[name] = round(time.perf_counter() - t0, 3)
     m = re.search(r"sf([0-9.]+)", base)
     print(json.dumps({
@@ -45,6 +50,7 @@ def main() -> None:
         "headline": {HEADLINE: timings.get(HEADLINE)},
         "sf": float(m.group(1)) if m else base,
         "cpus": cpus,
+        **({"errors": errors} if errors else {}),
     }))
 
 
