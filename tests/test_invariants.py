@@ -1,0 +1,47 @@
+"""Invariants of the flagship output on the smallest test tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_SMALL
+from vintagelake.plans.queries import queries
+from vintagelake.sources.dims import SOURCE_NAMES
+
+
+@pytest.fixture(scope="module")
+def vintage(spark):
+    return queries()["combined_vintage"](spark, SF_SMALL).cache()
+
+
+def test_no_duplicate_cells(vintage):
+    keys = ["source", "report_date", "month", "location"]
+    assert vintage.groupBy(*keys).count().filter("count > 1").count() == 0
+
+
+def test_every_source_is_a_full_grid(vintage):
+    per = vintage.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("report_date", "month").alias("keys"),
+        F.countDistinct("location").alias("locations")).collect()
+    assert len(per) == 3
+    for r in per:
+        assert r.n == r.keys * r.locations, r
+
+
+def test_edition_issue_date_is_the_edition(vintage):
+    ed = vintage.filter(F.col("source") == SOURCE_NAMES["edition"])
+    assert ed.filter(F.col("issue_date").isNotNull() & (F.col("issue_date") != F.col("report_date"))).count() == 0
+    # edition cells always have a value (empty sums are 0), densified cells have neither
+    assert ed.filter(F.col("issue_date").isNull() != F.col("value").isNull()).count() == 0
+
+
+def test_release_points_are_cut_at_their_own_release(vintage):
+    rel = vintage.filter((F.col("source") == SOURCE_NAMES["release"]) & F.col("issue_date").isNotNull())
+    assert rel.filter(F.col("month") < F.col("issue_date")).count() == 0
+    assert rel.filter(F.trunc("issue_date", "MM") != F.col("report_date")).count() == 0
+
+
+def test_report_values_only_within_one_year(vintage):
+    rep = vintage.filter((F.col("source") == SOURCE_NAMES["report"]) & F.col("value").isNotNull())
+    assert rep.filter((F.col("month") < F.col("report_date"))
+                      | (F.col("month") > F.add_months("report_date", 12))).count() == 0
