@@ -369,3 +369,13 @@ def test_edition_provider_with_production_series(spark):
     with pytest.raises(ValueError, match="never occur"):
         providers.edition_provider(ed.filter(F.col("series_id") != "COPRPUS"), dims.series_dim(spark),
                                    series_ids=series)
+
+
+def test_edition_duplicate_location_still_raises(spark):
+    ed = spark.createDataFrame([("A", d("2024-05-01"), 1.0, d("2024-04-09"), "Forecast"),
+                                ("B", d("2024-05-01"), 2.0, d("2024-04-09"), "Forecast")], schemas.EDITIONS)
+    two_to_one = dims.series_dim(spark, [("A", "X"), ("B", "X")])
+    with pytest.raises(Exception, match="duplicate cell"):
+        providers.edition_provider(ed, two_to_one).collect()
+    one_to_one = dims.series_dim(spark, [("A", "X"), ("B", "Y")])
+    assert rows(providers.edition_provider(ed, one_to_one), "location", "value") == [("X", 1000.0), ("Y", 2000.0)]

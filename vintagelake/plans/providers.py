@@ -81,9 +81,27 @@ def edition_cells(editions: DataFrame, series_dim: DataFrame, flag: str = EDITIO
     rows = scan_editions(editions, series_ids if series_ids is not None else series_dim, flag)
     rows = rows.withColumn("value", F.col("value") * F.lit(scale))
     sums = series_sum(rows, ["report_date", "month", "series_id"])
-    mapped = lookup(sums, series_dim.select("series_id", "location"), "series_id", "left")
-    return unique_cells(mapped, KEYS, "location").withColumn(
-        "issue_date", F.when(F.col("location").isNotNull(), F.col("report_date")))
+    dim = series_dim.select("series_id", "location")
+    mapped = lookup(sums, dim, "series_id", "left")
+    # Sums are unique per series; when the dimension maps ids one-to-one onto
+    # locations and only its ids are scanned, cells are unique by construction
+    # and the small dimension is checked instead of every cell.
+    if not _one_to_one(dim, series_ids):
+        mapped = unique_cells(mapped, KEYS, "location")
+    return mapped.select(*KEYS, "location", "value",
+                         F.when(F.col("location").isNotNull(), F.col("report_date")).alias("issue_date"))
+
+
+def _one_to_one(dim: DataFrame, ids: list[str] | None) -> bool:
+    """Every scanned id maps to exactly one location and no location twice."""
+    r = dim.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("series_id").alias("ids"),
+                F.countDistinct("location").alias("locs")).first()
+    if not (r.n == r.ids == r.locs):
+        return False
+    if ids is None:
+        return True  # the scan is a semi-join with the dimension
+    known = set(observed_values(dim, "series_id"))
+    return set(ids) <= known
 
 
 def edition_provider(editions: DataFrame, series_dim: DataFrame, flag: str = EDITION_FORECAST_FLAG,
