@@ -379,3 +379,13 @@ def test_edition_duplicate_location_still_raises(spark):
         providers.edition_provider(ed, two_to_one).collect()
     one_to_one = dims.series_dim(spark, [("A", "X"), ("B", "Y")])
     assert rows(providers.edition_provider(ed, one_to_one), "location", "value") == [("X", 1000.0), ("Y", 2000.0)]
+
+
+def test_debug_mode_processes_the_first_three_datasets(spark):
+    ids = [i for i, _ in dims.RELEASE_DATASETS]
+    idx = spark.createDataFrame([(i, "2024-03-05") for i in ids], "dataset_id string, release_raw string")
+    pts = spark.createDataFrame([(i, "2024-03-05", "2024-04-01", 1.0) for i in ids], schemas.RELEASE_SERIES)
+    out = providers.release_provider(idx, pts, dims.dataset_dim(spark), "2024-01-01", debug_first=3)
+    assert rows(out, "location") == [("Alaska",), ("Hawaii",), ("Midland Texas",)]
+    full = providers.release_provider(idx, pts, dims.dataset_dim(spark), "2024-01-01")
+    assert full.count() == len(ids)
