@@ -175,3 +175,16 @@ def test_jdbc_refresh_refuses_empty_input_before_connecting(spark):
     with pytest.raises(Exception) as err:
         full_refresh_jdbc(one, "jdbc:unreachable://nowhere/db", "t", {})
     assert not isinstance(err.value, ValueError)
+
+
+def test_landing_status_table(spark):
+    src, out = _tmp(), _tmp()
+    body = json.dumps({"data": [{"reportDate": "2024-04-29", "month": "2024-06-01", "subRegion": "p", "value": 1.0}]})
+    with open(os.path.join(src, "r.json"), "w") as f:
+        f.write("\n".join(json.dumps(p) for p in [{"report_date": "2024-04-29", "payload": body},
+                                                   {"report_date": "2024-05-27", "payload": "oops"}]))
+    q = land(spark, src, os.path.join(out, "status"), "report", status=True,
+             checkpoint_dir=os.path.join(out, "ckpt"))
+    q.awaitTermination(120)
+    got = {r.payload_id: (r.outcome, r.n_rows) for r in spark.read.parquet(os.path.join(out, "status")).collect()}
+    assert got == {"2024-04-29": ("ok", 1), "2024-05-27": ("unparseable", 0)}
