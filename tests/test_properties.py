@@ -132,3 +132,14 @@ def test_sum_and_mean_follow_pandas_null_rules(spark, seed):
     want_mean = {(k, l): round(float(v), 9) for (k, l), v in wide.stack().items()}
     got_mean = {(r.k, r.loc): round(r.value, 9) for r in aggregate.cell_mean(df, ["k", "loc"]).collect()}
     assert got_mean == want_mean
+
+
+def test_one_year_bound_equals_pandas_date_offset(spark):
+    from vintagelake.functions import add_one_year
+    rnd = random.Random(11)
+    days = [dt.date(2020, 2, 29), dt.date(2024, 2, 29), dt.date(2023, 12, 31)]
+    days += [dt.date(2019, 1, 1) + dt.timedelta(days=rnd.randint(0, 2500)) for _ in range(200)]
+    df = spark.createDataFrame([(x,) for x in days], "d date")
+    got = {r.d: r.e for r in df.select("d", add_one_year("d").alias("e")).collect()}
+    want = {x: (pd.Timestamp(x) + pd.DateOffset(years=1)).date() for x in days}
+    assert got == want
