@@ -143,3 +143,12 @@ def test_one_year_bound_equals_pandas_date_offset(spark):
     got = {r.d: r.e for r in df.select("d", add_one_year("d").alias("e")).collect()}
     want = {x: (pd.Timestamp(x) + pd.DateOffset(years=1)).date() for x in days}
     assert got == want
+
+
+def test_labels_equal_python_strftime(spark):
+    from vintagelake.functions import label, month_label
+    rnd = random.Random(5)
+    days = [dt.date(1995, 1, 1) + dt.timedelta(days=rnd.randint(0, 12000)) for _ in range(200)]
+    df = spark.createDataFrame([(x,) for x in days], "d date")
+    got = {r.d: (r.a, r.b) for r in df.select("d", label("d").alias("a"), month_label("d").alias("b")).collect()}
+    assert got == {x: (x.strftime("%Y-%m"), x.strftime("%b-%y")) for x in days}
