@@ -45,3 +45,14 @@ def test_report_values_only_within_one_year(vintage):
     rep = vintage.filter((F.col("source") == SOURCE_NAMES["report"]) & F.col("value").isNotNull())
     assert rep.filter((F.col("month") < F.col("report_date"))
                       | (F.col("month") > F.add_months("report_date", 12))).count() == 0
+
+
+def test_sql_views_answer_like_the_dataframe_api(spark, vintage):
+    from vintagelake.operators.aggregate import rows_per_source
+    from vintagelake.plans.views import register_views
+    assert register_views(spark, vintage) == ["vintage", "vintage_sink"]
+    via_sql = spark.sql("SELECT source, count(*) AS n_rows FROM vintage GROUP BY ROLLUP (source)")
+    api = rows_per_source(vintage)
+    assert via_sql.exceptAll(api).count() == 0 and api.exceptAll(via_sql).count() == 0
+    labels = spark.sql("SELECT DISTINCT length(reportDate) AS n FROM vintage_sink").collect()
+    assert [r.n for r in labels] == [7]
