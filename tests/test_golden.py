@@ -323,6 +323,7 @@ def test_report_payload_records(spark):
     df = spark.createDataFrame([("2024-04-29", body), ("2024-05-27", "[]")], schemas.REPORT_PAYLOADS)
     assert P.parse_report_payloads(df).count() == 2
     st = {r.payload_id: (r.outcome, r.n_records, r.n_rows) for r in P.report_status(df).collect()}
+    assert {r.payload_id: r.n_removed for r in P.report_status(df).collect()} == {"2024-04-29": 1, "2024-05-27": 0}
     # a JSON array where an object is expected is not of the expected shape
     assert st == {"2024-04-29": ("ok", 2, 1), "2024-05-27": ("unparseable", 0, 0)}
 

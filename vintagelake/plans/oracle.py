@@ -244,7 +244,8 @@ SELECT CAST(l_orderkey AS VARCHAR) || '|' || day AS payload_id,
     sql["report_payload_status"] = f"""WITH {OL},
 rp AS (SELECT l_orderkey, {SHIP_MONTH} AS month, CAST(o_orderdate AS DATE) AS rd FROM ol WHERE {FEED})
 SELECT CAST(l_orderkey AS VARCHAR) AS payload_id, 'ok' AS outcome, count(*) AS n_records,
-  count(*) FILTER (WHERE month >= rd) AS n_rows, min(month) AS min_month, max(month) AS max_month
+  count(*) FILTER (WHERE month >= rd) AS n_rows, count(*) FILTER (WHERE NOT (month >= rd)) AS n_removed,
+  min(month) AS min_month, max(month) AS max_month
 FROM rp GROUP BY l_orderkey"""
     cal = _calendar("(SELECT CAST(min(o_orderdate) AS DATE) FROM orders)",
                     "(SELECT CAST(max(o_orderdate) AS DATE) FROM orders)")
