@@ -188,3 +188,21 @@ def test_landing_status_table(spark):
     q.awaitTermination(120)
     got = {r.payload_id: (r.outcome, r.n_rows) for r in spark.read.parquet(os.path.join(out, "status")).collect()}
     assert got == {"2024-04-29": ("ok", 1), "2024-05-27": ("unparseable", 0)}
+
+
+def test_cell_plans_shuffle_only_pre_aggregated_rows(spark):
+    from vintagelake.plans import providers
+    cells = {
+        "edition": providers.edition_cells(S.editions(spark, SF_SMALL), S.series_dim(spark, SF_SMALL)),
+        "release": providers.release_cells(S.release_index(spark, SF_SMALL), S.release_series(spark, SF_SMALL),
+                                           S.dataset_dim(spark, SF_SMALL), S.RELEASE_START),
+        "report": providers.report_cells(S.report_rows(spark, SF_SMALL), S.available_reports(spark, SF_SMALL),
+                                         S.CALENDAR_START, S.CALENDAR_AS_OF),
+    }
+    for name, df in cells.items():
+        lines = _plan(df).splitlines()
+        assert any("Exchange hashpartitioning" in line for line in lines), name
+        for i, line in enumerate(lines):
+            if "Exchange hashpartitioning" in line:
+                child = lines[i + 1]
+                assert "HashAggregate" in child or "SortAggregate" in child, (name, line, child)
