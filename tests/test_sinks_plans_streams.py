@@ -147,6 +147,11 @@ def test_provider_plans_never_shuffle_on_location_alone(spark, key):
     assert not re.search(r"hashpartitioning\(location#\d+, ", plan)
     # joins against dimensions, hierarchies and location lists are broadcast
     assert "SortMergeJoin" not in plan
+    # every shuffle moves pre-aggregated rows only (densify and rollups fold map-side)
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            assert "HashAggregate" in lines[i + 1] or "SortAggregate" in lines[i + 1], (line, lines[i + 1])
 
 
 def test_landed_report_rows_feed_the_provider_like_the_batch_path(spark):
