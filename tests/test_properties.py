@@ -152,3 +152,33 @@ def test_labels_equal_python_strftime(spark):
     df = spark.createDataFrame([(x,) for x in days], "d date")
     got = {r.d: (r.a, r.b) for r in df.select("d", label("d").alias("a"), month_label("d").alias("b")).collect()}
     assert got == {x: (x.strftime("%Y-%m"), x.strftime("%b-%y")) for x in days}
+
+
+@pytest.mark.parametrize("variant", ["fixed", "as_deployed"])
+@pytest.mark.parametrize("seed", SEEDS)
+def test_production_rollups_equal_sequential_wide_assignment(spark, seed, variant):
+    spec = dims.REPORT_ROLLUPS if variant == "fixed" else dims.REPORT_ROLLUPS_AS_DEPLOYED
+    comps = sorted({c for _, _, cs in spec for c in cs})
+    rnd = random.Random(seed)
+    present = [c for c in comps if rnd.random() < 0.85]
+    data = [(k, c, None if rnd.random() < 0.15 else float(rnd.randint(1, 9))) for k in range(6) for c in present]
+    df = spark.createDataFrame(data, "k int, location string, value double")
+    dense = reshape.densify(df, ["k"], present)
+    got = rows(rollup.rollup_values(dense, dims.hierarchy(spark, spec), ["k"]))
+    # wide model: columns assigned one rollup after another, later ones overwrite
+    wide = pd.DataFrame(data, columns=["k", "location", "value"]).pivot(index="k", columns="location",
+                                                                          values="value")
+    base_cols = set(wide.columns)
+    out = {}
+    for target, policy, cs in spec:
+        if not all(c in base_cols for c in cs):
+            continue
+        if policy == "skip":
+            col = wide[cs].sum(axis=1)
+        else:
+            col = wide[cs[0]]
+            for c in cs[1:]:
+                col = col + wide[c]
+        out[target] = col
+    expected = [(int(k), t, None if pd.isna(v) else float(v)) for t, col in out.items() for k, v in col.items()]
+    assert got == sorted(expected, key=lambda t: tuple((x is None, str(x)) for x in t))
