@@ -211,3 +211,12 @@ def test_cell_plans_shuffle_only_pre_aggregated_rows(spark):
             if "Exchange hashpartitioning" in line:
                 child = lines[i + 1]
                 assert "HashAggregate" in child or "SortAggregate" in child, (name, line, child)
+
+
+def test_path_helpers(spark):
+    from vintagelake.session import delete_path, path_exists
+    path = os.path.join(_tmp(), "t")
+    assert not path_exists(spark, path)
+    spark.range(3).write.parquet(path)
+    assert path_exists(spark, path)
+    assert delete_path(spark, path) and not path_exists(spark, path)

@@ -25,6 +25,7 @@ from vintagelake.operators.reshape import observed_values, wide_view
 from vintagelake.plans import providers
 from vintagelake.sinks import full_refresh_jdbc, full_refresh_table, run_summary, write_csv_snapshot
 from vintagelake.sources import dims
+from vintagelake.session import path_exists
 from vintagelake.sources.payloads import read_payloads
 
 
@@ -49,9 +50,7 @@ class JobConfig:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return path_exists(spark, path)
 
 
 def _dim(spark: SparkSession, cfg: JobConfig, name: str, schema: str, default):

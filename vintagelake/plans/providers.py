@@ -33,7 +33,7 @@ from vintagelake.operators.joins import dim_join, lookup, rename_locations
 from vintagelake.operators.limits import cap_rows_per_group, first_dims
 from vintagelake.operators.reshape import densify, observed_values, unique_cells
 from vintagelake.operators.rollup import apply_rollups
-from vintagelake.session import ensure_checkpoint_dir, shared_path
+from vintagelake.session import delete_path, ensure_checkpoint_dir, shared_path
 from vintagelake.sources.dims import EDITION_FORECAST_FLAG, EDITION_SCALE, SOURCE_NAMES
 from vintagelake.sources.tables import scan_editions
 
@@ -57,11 +57,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def drop_stages(spark, paths: list[str]) -> None:
     """Delete staged tables (only call when no plan reading them will run again)."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
     for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
+        delete_path(spark, path)
         if path in STAGED:
             STAGED.remove(path)
 

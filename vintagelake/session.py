@@ -35,7 +35,10 @@ def get_spark(master: str | None = None, app: str = "vintagelake",
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 - no SparkContext under Spark Connect
+        pass
     return spark
 
 
@@ -45,7 +48,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` must name a shared folder; a machine
     local temporary folder is used only when the master is local (tests).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext; the conf names the folder
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for it") from None
+        return named
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -80,3 +89,27 @@ def local_frame(spark: SparkSession, rows, schema: str | StructType) -> DataFram
     columns = [pa.array([r[i] for r in rows], type=arrow_schema.field(i).type)
                for i in range(len(struct.fields))]
     return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow_schema), schema=struct)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists (Hadoop file system; a read probe under Spark Connect)."""
+    try:
+        jvm = spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # noqa: BLE001 - no JVM gateway
+        try:
+            spark.read.format("binaryFile").load(path).limit(0).collect()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder recursively; False where no file system access exists."""
+    try:
+        jvm = spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+    except Exception:  # noqa: BLE001 - no JVM gateway (Spark Connect): leave it to housekeeping
+        return False
