@@ -29,7 +29,7 @@ from vintagelake.operators.calendar import report_calendar, snapped_dates
 from vintagelake.operators.combine import combine, to_vintage
 from vintagelake.operators.horizon import (cut_from_release, forecasts_only, latest_release_per_month,
                                            one_year_horizon, releases_since)
-from vintagelake.operators.joins import dim_join, lookup, rename_locations
+from vintagelake.operators.joins import MAX_BROADCAST_ROWS, dim_join, lookup, rename_locations, within_rows
 from vintagelake.operators.limits import cap_rows_per_group, first_dims
 from vintagelake.operators.reshape import densify, observed_values, unique_cells
 from vintagelake.operators.rollup import apply_rollups
@@ -123,8 +123,18 @@ def edition_provider(editions: DataFrame, series_dim: DataFrame, flag: str = EDI
 # ----------------------------------------------------------------------------
 # Release provider
 # ----------------------------------------------------------------------------
+def chosen_releases(release_index: DataFrame, dataset_dim: DataFrame, start_date,
+                    debug_first: int | None = None) -> DataFrame:
+    """Lazy plan: the latest release per mapped dataset and month, on/after the start day."""
+    dims = dataset_dim if debug_first is None else first_dims(dataset_dim, "ord", debug_first)
+    idx = releases_since(release_index, start_date)
+    idx = dim_join(idx, dims.select("dataset_id"), "dataset_id", "left_semi")
+    return latest_release_per_month(idx)
+
+
 def release_cells(release_index: DataFrame, release_series: DataFrame, dataset_dim: DataFrame,
-                  start_date, debug_first: int | None = None) -> DataFrame:
+                  start_date, debug_first: int | None = None, chosen: DataFrame | None = None,
+                  broadcast_chosen: bool | None = None) -> DataFrame:
     """Lazy plan of the release cells: report_date, month, location, value, issue_date, ord.
 
     Per mapped dataset: releases on/after the start day, the latest per month,
@@ -134,10 +144,9 @@ def release_cells(release_index: DataFrame, release_series: DataFrame, dataset_d
     value are kept.
     """
     dims = dataset_dim if debug_first is None else first_dims(dataset_dim, "ord", debug_first)
-    idx = releases_since(release_index, start_date)
-    idx = dim_join(idx, dims.select("dataset_id"), "dataset_id", "left_semi")
-    chosen = latest_release_per_month(idx)
-    points = cut_from_release(release_series, chosen)
+    if chosen is None:
+        chosen = chosen_releases(release_index, dataset_dim, start_date, debug_first)
+    points = cut_from_release(release_series, chosen, broadcast=broadcast_chosen)
     cells = lookup(points, dims.select("dataset_id", "location", "ord"), "dataset_id", "inner")
     return cells.select(F.col("release_month").alias("report_date"), F.col("target_date").alias("month"),
                         "location", "value", F.col("release_date").alias("issue_date"), "ord")
@@ -153,8 +162,12 @@ def release_provider(release_index: DataFrame, release_series: DataFrame, datase
     (greater ``ord``) wins.  Series points must be one per target day (the
     payload parser keeps the greater text when a payload writes one day twice).
     """
-    cells = stage(release_cells(release_index, release_series, dataset_dim, start_date, debug_first),
-                  "release-cells")
+    # the chosen releases (one per dataset and month) are staged once: their size
+    # check then reads that small table instead of computing the index twice
+    chosen = stage(chosen_releases(release_index, dataset_dim, start_date, debug_first), "release-chosen")
+    small = within_rows(chosen, MAX_BROADCAST_ROWS)
+    cells = stage(release_cells(release_index, release_series, dataset_dim, start_date, debug_first,
+                                chosen=chosen, broadcast_chosen=small), "release-cells")
     if locations is None:
         locations = observed_values(cells, "location")
     return densify(cells, KEYS, locations, ("value", "issue_date"), order_col="ord").select(*OUT)
