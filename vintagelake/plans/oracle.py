@@ -289,6 +289,7 @@ LEFT JOIN ms m ON m.report_month = k.report_month AND m.month = k.month AND m.lo
     sql["rows_per_source"] = (f"WITH {OL}, {_three_sources()} SELECT source, count(*) AS n_rows FROM cs "
                               f"GROUP BY ROLLUP (source)")
     sql["combined_vintage"] = f"{_combined()} SELECT * FROM cv"
+    sql["run_summary"] = f"{_combined()} SELECT source, count(*) AS n_rows FROM cv GROUP BY ROLLUP (source)"
     sql["full_refresh_sink"] = (f"{_combined()} SELECT strftime(report_date, '%Y-%m') AS reportDate, "
                                 f"strftime(month, '%Y-%m') AS month, location, value, source FROM cv")
     return sql

@@ -349,6 +349,12 @@ def q_combined_vintage(spark, base):
     return _combined(spark, base)
 
 
+@register("run_summary")
+def q_run_summary(spark, base):
+    """Rows per source of the combined vintage, and in total (the run summary)."""
+    return aggregate.rows_per_source(_combined(spark, base))
+
+
 @register("full_refresh_sink")
 def q_full_refresh_sink(spark, base):
     """Combined vintage as sink rows, refreshed in full into a table and read
