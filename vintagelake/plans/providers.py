@@ -141,7 +141,9 @@ def release_cells(release_index: DataFrame, release_series: DataFrame, dataset_d
     its points on/after the release day.  Rows are keyed on the first day of
     the release month, so datasets released on different days of one month
     share a row while each is cut at its own release day.  Points with a NULL
-    value are kept.
+    value are kept.  ``chosen`` (``chosen_releases``, for instance staged) and
+    ``broadcast_chosen`` (the caller's size check) may be passed in; otherwise
+    both are worked out here.
     """
     dims = dataset_dim if debug_first is None else first_dims(dataset_dim, "ord", debug_first)
     if chosen is None:
