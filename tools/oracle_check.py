@@ -34,13 +34,20 @@ def norm(v):
     return str(v)
 
 
+EXACT = "--exact" in sys.argv
+
+
 def rows_of(cols, records):
+    """Rows with columns in name order; values normalised (doubles to 6 places)
+    or, with --exact, compared by their exact Python repr."""
     order = sorted(range(len(cols)), key=lambda i: cols[i])
+    if EXACT:
+        return sorted(repr(tuple(r[i] for i in order)) for r in records)
     return sorted(tuple(norm(r[i]) for i in order) for r in records)
 
 
 def main():
-    args = [a for a in sys.argv[1:] if a != "--vanilla"]
+    args = [a for a in sys.argv[1:] if a not in ("--vanilla", "--exact")]
     base = args[0] if args else "/root/testdata/sf0.01"
     only = args[1:] or None
     if "--vanilla" in sys.argv:
