@@ -220,3 +220,11 @@ def test_path_helpers(spark):
     spark.range(3).write.parquet(path)
     assert path_exists(spark, path)
     assert delete_path(spark, path) and not path_exists(spark, path)
+
+
+def test_jdbc_reader_needs_exactly_one_of_table_or_query(spark):
+    from vintagelake.sources.tables import read_editions_jdbc
+    with pytest.raises(ValueError):
+        read_editions_jdbc(spark, "jdbc:unreachable://nowhere/db")
+    with pytest.raises(ValueError):
+        read_editions_jdbc(spark, "jdbc:unreachable://nowhere/db", table="t", query="select 1")
