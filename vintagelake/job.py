@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from vintagelake import schemas
+from vintagelake.schemas import SINK_COLUMNS
 from vintagelake.operators.combine import refuse_empty, sink_rows
 from vintagelake.operators.reshape import observed_values, wide_view
 from vintagelake.plans import providers
@@ -90,11 +91,13 @@ def run(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     parts, series_dim = build(spark, cfg)
     combined = providers.combined_vintage(**parts)
     rows = refuse_empty(sink_rows(combined, cfg.label_format))
+    if cfg.target:
+        full_refresh_table(rows, cfg.target, partition_by=["source"])
+        # later sinks read the written table instead of computing the union again
+        rows = spark.read.parquet(cfg.target).select(*SINK_COLUMNS)
     if cfg.jdbc:
         opts = dict(cfg.jdbc)
         full_refresh_jdbc(rows, opts.pop("url"), opts.pop("dbtable"), opts)
-    if cfg.target:
-        full_refresh_table(rows, cfg.target, partition_by=["source"])
     if cfg.csv_folder and "edition" in parts:
         locations = observed_values(series_dim, "location")
         wide = wide_view(parts["edition"], ["report_date", "month"], locations, fmt="MMM-yy")
