@@ -25,6 +25,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from vintagelake.llm.common import ship
 
 # White space as Unicode lists it (the tokenizer file's \s); fixed values.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -157,6 +158,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, text: str = "text", decode
     """Every row of ``docs`` with n_tokens (long), ids (binary: little-endian
     unsigned 32-bit) and decoded (string; null if ``decode`` is False)."""
 
+    ship(docs.sparkSession)
+
     @F.pandas_udf("n_tokens long, ids binary, decoded string")
     def encoded(texts: pd.Series) -> pd.DataFrame:
         bpe = codec(tokenizer)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +21,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package (``addPyFile``), once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_vintagelake_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = os.path.join(tempfile.mkdtemp(prefix="vintagelake-py-"), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(archive)  # Spark's own file server hands it to every executor
+    sc._vintagelake_shipped = True
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new folder of the shared checkpoint directory and read it back.
 
