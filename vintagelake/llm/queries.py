@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vintagelake.llm import bpe, simhash
+from vintagelake.llm import bpe, decontaminate, oracle, simhash
 from vintagelake.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -22,12 +22,20 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, bits=2)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=13))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
         "op5_simhash": op5_simhash,
+        "op8_decontamination": op8_decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_decontamination": oracle.OP8_DECONTAMINATION,
+    }
