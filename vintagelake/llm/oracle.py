@@ -3,6 +3,24 @@
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = f"regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+OP3_CHAT = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+out AS (
+  SELECT *, length(replace(replace(replace(replace(replace(role, '\', '\b'), '###', '\h'), '</turn>', '\e'), '<|', '\p'), ':', '\c'))
+    + length(replace(replace(replace(replace(text, '\', '\b'), '###', '\h'), '</turn>', '\e'), '<|', '\p'))
+    + length('### ' || ': ' || '</turn>' || chr(10)) AS n
+  FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       cast(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       cast(sum(n) AS BIGINT) AS formatted_chars
+FROM out GROUP BY conv_id
+"""
+
 OP8_DECONTAMINATION = f"""
 WITH item AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 bw AS (
