@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintagelake.llm import bpe, chat, decontaminate, oracle, sharding, simhash
+from vintagelake.llm import bpe, chat, decontaminate, imatch, oracle, sharding, simhash
 from vintagelake.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -42,6 +42,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(sharding.assign(table(spark, sf_dir, "documents"), shards=40, overhead=16))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.digest(imatch.fingerprints(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -49,6 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_simhash": op5_simhash,
         "op8_decontamination": op8_decontamination,
         "op9_sharding": op9_sharding,
+        "op10_fingerprints": op10_fingerprints,
     }
 
 

@@ -28,6 +28,8 @@ from vintagelake.llm.common import stage
 def greedy_cuts(ends: np.ndarray, capacity: int, shards: int) -> list[int] | None:
     """First bucket after each shard when every shard is filled up to the
     capacity; None if the buckets do not all fit.  ``ends``: running totals."""
+    if not len(ends):
+        return [0] * shards
     cuts, at, before = [], 0, 0
     for _ in range(shards):
         at = int(np.searchsorted(ends, before + capacity, side="right"))
@@ -50,7 +52,26 @@ def minimax_cuts(sizes: np.ndarray, shards: int) -> tuple[int, list[int]]:
             low = middle + 1
         else:
             high = middle
-    return low, greedy_cuts(ends, low, shards)
+    return low, even_cuts(ends, low, shards)
+
+
+def even_cuts(ends: np.ndarray, capacity: int, shards: int) -> list[int]:
+    """Cuts under the same capacity that leave no remainder shard: each shard
+    takes about its share of what is left, or as much as the others need it to."""
+    cuts, at, before = [], 0, 0
+    for left in range(shards, 0, -1):
+        furthest = int(np.searchsorted(ends, before + capacity, side="right"))
+        share = before + (int(ends[-1]) - before) / left
+        near = int(np.searchsorted(ends, share))  # the bucket in which the share ends
+        for cut in sorted((near, near + 1), key=lambda c: abs((int(ends[min(c, len(ends)) - 1]) if c else 0) - share)):
+            held = int(ends[cut - 1]) if 0 < cut <= len(ends) else 0
+            if at <= cut <= furthest and greedy_cuts(ends[cut:] - held, capacity, left - 1) is not None:
+                break
+        else:
+            cut = furthest
+        at, before = cut, int(ends[cut - 1]) if cut else 0
+        cuts.append(at)
+    return cuts
 
 
 def assign(docs: DataFrame, shards: int = 40, overhead: int = 16, buckets: int = 1 << 18, block: int = 2000,
