@@ -9,11 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintagelake.llm import bpe, chat, decontaminate, imatch, oracle, sharding, simhash
+from vintagelake.llm import bpe, chat, decontaminate, html_text, imatch, langid, oracle, sharding, simhash, tokens
 from vintagelake.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode_documents(table(spark, sf_dir, "documents"), WORD_BPE))
@@ -29,10 +31,23 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_turns(every.withColumn("parts", chat.text_part(F.col("text")))))
 
 
+def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokens.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN, rule="majority")
+    return tokens.per_section(counted)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, bits=2)
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"), folds=5)
+
+
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=13))
@@ -50,7 +65,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
         "op3_chat": op3_chat,
+        "op4_tokens": op4_tokens,
         "op5_simhash": op5_simhash,
+        "op6_language": op6_language,
+        "op7_html": op7_html,
         "op8_decontamination": op8_decontamination,
         "op9_sharding": op9_sharding,
         "op10_fingerprints": op10_fingerprints,
