@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintagelake.session import path_exists, shared_path
@@ -58,9 +59,11 @@ def drop_stage(df: DataFrame) -> None:
             delete_path(df.sparkSession, folder)
 
 
-def text_or_empty(col: str | Column = "text") -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(c, F.lit(""))
+def release(spark: SparkSession) -> None:
+    """Have Spark's cleaner drop the shuffle files of finished jobs now; without
+    it they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def text_bytes(docs: DataFrame, col: str = "text") -> int:

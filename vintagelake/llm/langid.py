@@ -112,14 +112,18 @@ def softmax(logits: np.ndarray) -> np.ndarray:
 
 
 def temperature(logits: np.ndarray, classes: np.ndarray) -> float:
-    """The divisor of logits with the least negative log likelihood, by golden section over its logarithm."""
+    """The divisor of logits with the least cross entropy, by golden section over
+    its logarithm.  The targets are those of one wrong label in len + 2, so that
+    a sample without errors does not end in certainty."""
     if not len(logits):
         return 1.0
+    wrong = 1 / (len(logits) + 2)
 
     def loss(log_t: float) -> float:
         scaled = logits / np.exp(log_t)
         top = scaled.max(axis=1)
-        return float((np.log(np.exp(scaled - top[:, None]).sum(axis=1)) + top - scaled[np.arange(len(classes)), classes]).sum())
+        target = (1 - wrong) * scaled[np.arange(len(classes)), classes] + wrong * scaled.mean(axis=1)
+        return float((np.log(np.exp(scaled - top[:, None]).sum(axis=1)) + top - target).sum())
 
     lo, hi, ratio = np.log(0.05), np.log(20.0), (5 ** 0.5 - 1) / 2
     while hi - lo > 1e-3:
@@ -174,7 +178,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
 
     def train(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["rank", "lang", "text"], ignore_index=True)
-        names = sorted(frame["lang"].unique())
+        names = sorted(set(frame["lang"]))
         y = frame["lang"].map({v: i for i, v in enumerate(names)}).to_numpy()
         x = [vector(t, idf) for t in frame["text"]]
         kept_back = (frame["rank"] % 5 == 0).to_numpy()
@@ -187,7 +191,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
         return pd.DataFrame({"feature": np.r_[at, -1].astype(np.int32),
                              "w": [*w[at].tolist(), [model.temperature]], "names": [None] * len(at) + [names]})
 
-    fitted = sample.groupBy(F.lit(0)).applyInPandas(train, "feature int, w array<double>, names array<string>").toPandas()
+    fitted = sample.withColumn("all", F.lit(True)).groupBy("all").applyInPandas(train, "feature int, w array<double>, names array<string>").toPandas()
     if fitted.empty:
         return Model([], idf, np.zeros((FEATURES + 1, 0)), 1.0)
     last = fitted[fitted["feature"] < 0].iloc[0]
