@@ -72,6 +72,7 @@ def text_bytes(docs: DataFrame, col: str = "text") -> int:
 
 
 def without_ids(docs: DataFrame, rejected: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose key is not in ``rejected``; a null key equals a null key."""
+    """Rows of ``docs`` whose key is not in ``rejected``.  A null key names no
+    row, so rows without a key stay."""
     gone = rejected.select(F.col(key).alias("__gone")).distinct()
-    return docs.join(gone, docs[key].eqNullSafe(gone["__gone"]), "left_anti")
+    return docs.join(gone, docs[key] == gone["__gone"], "left_anti")
