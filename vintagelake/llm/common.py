@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import uuid
@@ -36,15 +35,25 @@ def ship(spark: SparkSession) -> None:
     sc._vintagelake_shipped = True
 
 
+#: Spark drops a query's shuffle files at its end when this is set.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new folder of the shared checkpoint directory and read it back.
 
     This cuts the lineage: what follows survives the loss of any executor
-    without running the steps before it again.
+    without running the steps before it again, and the shuffle files of those
+    steps go at once.
     """
     spark = df.sparkSession
     path = shared_path(spark, "vintagelake-llm", f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -59,13 +68,6 @@ def drop_stage(df: DataFrame) -> None:
             delete_path(df.sparkSession, folder)
 
 
-def release(spark: SparkSession) -> None:
-    """Have Spark's cleaner drop the shuffle files of finished jobs now; without
-    it they stay until the driver happens to collect its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def text_bytes(docs: DataFrame, col: str = "text") -> int:
     """UTF-8 bytes of a text column, summed over all rows (one number comes back)."""
     return int(docs.agg(F.sum(F.octet_length(F.col(col))).alias("b")).first()["b"] or 0)

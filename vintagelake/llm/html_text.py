@@ -139,12 +139,14 @@ def smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
 
 
 def regions(ratios: np.ndarray, sigma: float = 1.0, deviations: float = 1.5) -> np.ndarray:
-    """Lines in a content region: those whose smoothed ratio is not more than
-    ``deviations`` below the mean, and lines between two of them."""
+    """Lines in a content region: those whose smoothed ratio reaches the threshold
+    (``deviations`` below the mean) and whose own ratio half of it, so that a
+    neighbour's ratio alone does not carry a line in, and lines between two of them."""
     if not len(ratios):
         return np.zeros(0, dtype=bool)
     level = smooth(ratios, sigma)
-    content = level >= min(level.mean(), max(level.mean() - deviations * level.std(), 0.15 * level.max()))
+    threshold = min(level.mean(), max(level.mean() - deviations * level.std(), 0.15 * level.max()))
+    content = (level >= threshold) & (ratios >= threshold / 2)
     at = np.flatnonzero(content)
     for a, b in zip(at[:-1], at[1:], strict=True):
         if b - a <= 3:  # a gap of one or two lines belongs to the region around it

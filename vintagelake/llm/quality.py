@@ -9,17 +9,18 @@ texts.  The rest is joins of count tables sharded by n-gram: counts, contexts'
 totals and discounts of each order, shorter orders (counted by distinct
 predecessors) by suffix.  The probabilities go back by block, where each
 document's are added up.  Texts are shuffled by block, once to
-count and once to score; the first shuffle's files are released in between.
+count and once to score; the first shuffle's files are gone by then.
 
 A document's score is its mean log loss per unit, as a distance from the middle
 of its language's trusted documents, shrunk for short texts, whose mean varies
 more by chance: z = (loss - median) * sqrt(n / (n + ``shrink``)).  It is
 rejected if z lies outside the quantiles ``tails`` of the trusted documents of
-its language, widened by ``margin`` of their range.  Both tails count: text of
+its language, widened by ``margin`` times their range.  Both tails count: text of
 a few repeated words is as far from the trusted as text of odd symbols.
 
-Part of the trusted documents (one in ``folds``, by id hash) is not trained on;
-the quantiles are taken from these, since trained texts look too good.  A
+Part of the trusted documents (one in ``folds``, by id hash) is not trained on.
+Median and upper quantile are taken from these, since trained texts look too
+good; the lower quantile, for the same reason, from those trained on.  A
 language with fewer than ``least`` of them takes those of all languages.
 
 Defined results: a null or empty text has no perplexity and is rejected;
@@ -38,7 +39,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vintagelake.llm.common import release, ship, stage, text_bytes
+from vintagelake.llm.common import ship, stage, text_bytes
 
 ORDER = 4  # units of 16 bits: an n-gram is one 64-bit number, its last unit lowest
 START, END = 2, 3  # control characters that stand before and after a text
@@ -186,7 +187,6 @@ def losses(docs: DataFrame, trusted: DataFrame, folds: int = 5, block_bytes: int
     by_block = own.groupBy("block")
     grams = by_block.cogroup(train.groupBy("block")).applyInPandas(distinct, "block long, gram long, n long")
     grams = stage(grams, "ngrams")
-    release(spark)
     types = stage(grams.groupBy("gram").agg(F.sum("n").alias("n")), "counts")
     known = grams.select("block", "gram").join(probabilities(types), "gram")
     id_type, lang_type = (own.schema[c].dataType.simpleString() for c in ("doc_id", "lang"))
@@ -197,7 +197,7 @@ def losses(docs: DataFrame, trusted: DataFrame, folds: int = 5, block_bytes: int
 
 
 def judge(docs: DataFrame, labels: DataFrame, folds: int = 5, shrink: int = 400, tails: tuple[float, float] = (0.005, 0.995),
-          margin: float = 0.5, least: int = 50, block_bytes: int = 12 << 20) -> DataFrame:
+          margin: float = 1.0, least: int = 50, block_bytes: int = 12 << 20) -> DataFrame:
     """doc_id, lang, units, perplexity, z and keep of every row of ``docs``
     (doc_id, text, lang); ``labels`` has doc_id, quality and toxic."""
     scored = losses(docs, trusted_ids(labels), folds, block_bytes)
@@ -220,8 +220,11 @@ def judge(docs: DataFrame, labels: DataFrame, folds: int = 5, shrink: int = 400,
     own, joined, (median,) = with_quantiles(scored, *by_language(some, "mean", [0.5]))
     z = (F.col("mean") - median) * F.sqrt(F.col("units") / (F.col("units") + F.lit(shrink)))
     scored = stage(joined.select(*own, z.alias("z")), "z")
-    _, joined, (low, high) = with_quantiles(
-        scored, *by_language(scored.where("trusted = 'check' AND z IS NOT NULL"), "z", list(tails)))
+    own, joined, (low,) = with_quantiles(
+        scored, *by_language(scored.where("trusted = 'train' AND z IS NOT NULL"), "z", [tails[0]]))
+    _, joined, (high,) = with_quantiles(
+        joined.select(*own, low.alias("low")), *by_language(scored.where("trusted = 'check' AND z IS NOT NULL"), "z", [tails[1]]))
+    low = F.col("low")
     wide = F.lit(margin) * (high - low)
     inside = F.coalesce(F.col("z").between(low - wide, high + wide), F.lit(True))
     return joined.select("doc_id", "lang", "units", F.exp("mean").alias("perplexity"), "z",

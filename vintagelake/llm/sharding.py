@@ -9,7 +9,7 @@ there.  No shard is larger than that capacity, and none could do with less as
 long as buckets are not split.
 
 Defined results: a null text has no bytes and CRC 0, as an empty one, and is
-in a group with other null texts; with fewer non-empty buckets than shards the
+in its group; with fewer non-empty buckets than shards the
 last shards stay empty; repeated rows get a slot each; an empty table gives no
 rows.  Every row counts its UTF-8 bytes plus ``overhead``.
 """
@@ -88,7 +88,7 @@ def assign(docs: DataFrame, shards: int = 40, overhead: int = 16, buckets: int =
         docs[doc_id].alias("doc_id"),
         (F.octet_length(body) + F.lit(overhead)).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
-        F.pmod(F.xxhash64(docs[text]), F.lit(buckets)).alias("bucket")), "sizes")
+        F.pmod(F.xxhash64(body), F.lit(buckets)).alias("bucket")), "sizes")
 
     held = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("size")).toArrow().sort_by("bucket")
     number, count = (held[c].to_numpy() for c in ("bucket", "n"))
