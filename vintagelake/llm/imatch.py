@@ -3,10 +3,10 @@
 The lexicon keeps the terms whose document frequency lies in a band (that is,
 whose inverse document frequency does): common words say little, and words of
 a few documents break on any edit.  Each of ``SUBSETS`` random subsets of the
-lexicon, of several densities, keeps some of a document's terms; the sorted
-distinct terms that are left are hashed.  The fingerprint is the list of these
-hashes; likeness is the share of equal hashes at the density where the two
-documents agree best.
+lexicon, of several densities, keeps some of a document's terms; the distinct
+terms that are left (as 64-bit hashes) are sorted and hashed.  The fingerprint
+is the list of these hashes; likeness is the share of equal hashes at the
+density where the two documents agree best.
 
 Everything is DataFrame functions.  The lexicon is broadcast; its size is
 bounded whatever the corpus, since at most (mean distinct terms of a document)
@@ -17,7 +17,7 @@ text, and a block's last row takes the first text of the following block.
 Defined results: a null text is empty; a text without terms has the marker of
 an empty subset in every place, and is like another such text (1.0); a text
 with fewer than ``FEW`` lexicon terms uses its other terms as well (all of
-them, or of more than 64 a share chosen by hash); rows are ordered by doc_id,
+them, or of more than 16 a share chosen by hash); rows are ordered by doc_id,
 nulls first, then by the text's hash; repeated rows are all returned; a single
 row is its own next.
 """
@@ -32,10 +32,11 @@ from pyspark.sql.window import Window
 
 from vintagelake.llm.common import stage
 
-SCALES = (2, 4, 6, 8, 10)  # a subset of scale s keeps one term in 2^s
 REPEATS = 8
+SCALES = (2, 4, 6, 8)  # a subset of scale s keeps one term in 2^s
 SUBSETS = 1 + len(SCALES) * REPEATS  # and the whole lexicon
 FEW = 4
+SPARE = 16
 EMPTY = "----"
 
 
@@ -51,39 +52,44 @@ def lexicon(docs: DataFrame, low: float, high: float, text: str = "text") -> Dat
     return stage(counts.where(F.col("df").between(max(2.0, low * n), max(2.0, high * n))).select("term"), "lexicon")
 
 
-def membership(term: Column) -> Column:
-    """Bit k set if the term is in subset k + 1."""
-    mask = F.lit(0).cast("long")
-    for r in range(REPEATS):
-        seeded = F.xxhash64(F.lit(r // 4), term)
-        field = F.shiftright(seeded, 10 * (r % 4)).bitwiseAND(F.lit(1023))
-        for i, s in enumerate(SCALES):
-            bit = F.when(field.bitwiseAND(F.lit((1 << s) - 1)) == 0, F.lit(1 << (i * REPEATS + r)).cast("long"))
-            mask = mask.bitwiseOR(F.coalesce(bit, F.lit(0).cast("long")))
-    return mask
-
-
 def hashes(kept: Column) -> Column:
-    """Hash of each subset's terms: ``kept`` is an array of (term, mask), sorted by term."""
+    """Hash of each subset's terms.  ``kept``: the sorted ids of a document's
+    terms, 64-bit hashes of which every repeat reads 8 bits of its own: a term is
+    in the repeat's subset of scale s if the lowest s of them are 0, so that a
+    subset is filtered from the next larger one."""
     def short(chosen: Column) -> Column:
         return F.when(F.size(chosen) == 0, F.lit(EMPTY)).otherwise(
-            F.lower(F.lpad(F.hex(F.xxhash64(chosen["term"]).bitwiseAND(F.lit(0xFFFF))), 4, "0")))
+            F.lower(F.lpad(F.hex(F.xxhash64(chosen).bitwiseAND(F.lit(0xFFFF))), 4, "0")))
+
+    def subsets(larger: Column, repeat: int, scales: tuple[int, ...]) -> Column:
+        mask = ((1 << scales[0]) - 1) << (8 * repeat)
+        mask = F.lit(mask - (1 << 64) if mask >= 1 << 63 else mask).cast("long")
+        chosen = F.filter(larger, lambda t: t.bitwiseAND(mask) == 0)
 
-    bits = F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 2)), lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k))
-    return F.concat(F.array(short(kept)), F.transform(
-        bits, lambda b: short(F.filter(kept, lambda t: t["mask"].bitwiseAND(b) != 0))))
+        def go_on(c: Column) -> Column:
+            own = F.array(short(c))
+            return F.concat(own, subsets(c, repeat, scales[1:])) if scales[1:] else own
+
+        return F.get(F.transform(F.array(chosen), go_on), F.lit(0))  # computed once, then used by name
+
+    return F.concat(F.array(short(kept)), *[subsets(kept, r, SCALES) for r in range(REPEATS)])
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Largest share of equal hashes at one density, among subsets that keep a
     term of either document (at least ``FEW`` of them); 1 for equal lists."""
     same = F.zip_with(a, b, lambda x, y: F.when((x != EMPTY) | (y != EMPTY), (x == y).cast("int")))
-    best = F.when(a == b, F.lit(1.0)).otherwise(F.lit(0.0))
-    for i in range(len(SCALES)):
-        seen = F.filter(F.slice(same, 2 + i * REPEATS, REPEATS), lambda x: x.isNotNull())
-        equal = F.size(F.filter(seen, lambda x: x == 1))
-        best = F.greatest(best, F.when(F.size(seen) >= FEW, equal / F.size(seen)).otherwise(F.lit(0.0)))
-    return best
+
+    def best(of: Column) -> Column:
+        out = F.lit(0.0)
+        for i in range(len(SCALES)):
+            each = [F.get(of, F.lit(1 + r * len(SCALES) + i)) for r in range(REPEATS)]
+            seen = sum((e.isNotNull().cast("int") for e in each), F.lit(0))
+            equal = sum((F.coalesce(e, F.lit(0)) for e in each), F.lit(0))
+            out = F.greatest(out, F.when(seen >= FEW, equal / seen).otherwise(F.lit(0.0)))
+        return out
+
+    return F.when(a == b, F.lit(1.0)).otherwise(F.get(F.transform(F.array(same), best), F.lit(0)))
 
 
 def in_blocks(docs: DataFrame, block_bytes: int, cells: int = 1 << 16) -> tuple[DataFrame, int]:
@@ -142,30 +148,30 @@ def fingerprints(docs: DataFrame, low: float = 0.002, high: float = 0.1, block_b
     each = rows.select("block", "place", "doc_id", "n_chars",
                        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
                        F.posexplode(versions).alias("version", "terms"))
-    each = each.withColumn("spare", F.greatest(F.lit(0), F.floor(F.log2(F.size("terms") / 64))).cast("int"))
+    # of the terms outside the lexicon, about SPARE are kept for documents with too few in it
+    each = each.withColumn("spare", F.greatest(F.lit(0), F.floor(F.log2(F.size("terms") / SPARE))).cast("int"))
     each = each.select("block", "place", "doc_id", "n_chars", "edited_sha256", "version", "spare",
                        F.explode(F.concat(F.array(F.lit("")), F.col("terms"))).alias("term"))
     known = words.select(F.col("term").alias("known"))
     each = each.join(F.broadcast(known), each["term"] == known["known"], "left")
-    rest = F.pmod(F.xxhash64("term"), F.call_function("shiftleft", F.lit(1), F.col("spare"))) == 0
-    each = each.where((F.col("term") == "") | F.col("known").isNotNull() | rest)
-    item = F.struct("version", "term", membership(F.col("term")).alias("mask"), F.col("known").isNotNull().alias("known"))
-    docs_terms = each.groupBy("block", "place").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"),
-        F.first("edited_sha256").alias("edited_sha256"), F.sort_array(F.collect_list(item)).alias("items"))
+    named, mid = F.col("term") != "", F.col("known").isNotNull()
+    rest = named & ~mid & (F.pmod(F.xxhash64("term", F.lit(1)), F.call_function("shiftleft", F.lit(1), F.col("spare"))) == 0)
+    each = each.where(~named | mid | rest)
 
-    def of_version(v: int) -> Column:
-        mine = F.filter("items", lambda t: (t["version"] == v) & (t["term"] != ""))
-        mid = F.filter("items", lambda t: (t["version"] == v) & t["known"])
-        return F.when(F.size(mid) >= FEW, mid).otherwise(mine)
+    def ids(condition: Column, v: int) -> Column:
+        return F.collect_list(F.when(condition & (F.col("version") == v), F.xxhash64("term")))
 
-    ends = F.exists("items", lambda t: t["version"] == 2)
-    prints = docs_terms.select(
-        "block", "place", "doc_id", "n_chars", "edited_sha256", of_version(0).alias("t0"), of_version(1).alias("t1"),
-        F.when(ends, of_version(2)).alias("t2"))
+    versions = range(3)
+    docs_terms = each.groupBy("block", "place").agg(
+        F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"),
+        F.first("edited_sha256").alias("edited_sha256"), F.max("version").alias("last"),
+        *[ids(mid, v).alias(f"mid{v}") for v in versions], *[ids(rest, v).alias(f"rest{v}") for v in versions])
+    kept = [F.sort_array(F.when(F.size(f"mid{v}") >= FEW, F.col(f"mid{v}")).otherwise(F.concat(f"mid{v}", f"rest{v}")))
+            .alias(f"t{v}") for v in versions]
+    prints = docs_terms.select("block", "place", "doc_id", "n_chars", "edited_sha256", "last", *kept)
     prints = prints.select("block", "place", "doc_id", "n_chars", "edited_sha256", hashes(F.col("t0")).alias("fingerprint"),
                            hashes(F.col("t1")).alias("edited_fingerprint"),
-                           F.when(F.col("t2").isNotNull(), hashes(F.col("t2"))).alias("after"))
+                           F.when(F.col("last") == 2, hashes(F.col("t2"))).alias("after"))
     by_place = Window.partitionBy("block").orderBy("place")
     prints = prints.withColumn("after", F.coalesce("after", F.lead("fingerprint").over(by_place)))
     return prints.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
