@@ -287,9 +287,80 @@ def test_map_null_value_and_duplicate_key(spark):
     got = rows(P.parse_release_series(df, "drop_row").union(
         P.parse_release_series(df.filter("dataset_id = '1'"), "drop_payload")), "target_raw", "value")
     assert got == [("2024-01-01", None)]
-    entries = df.filter("dataset_id = '1'").select(P.last_key_wins(F.map_entries(
-        F.get(F.from_json("payload", schemas.RELEASE_SERIES_BODY), 0)["data"])).alias("e"))
-    assert [(x["key"], x["value"]) for x in entries.first()["e"]] == [("b", 5.0), ("a", 2.0)]
+    twice = _series_payloads(spark, ['[{"data":{"2024-01-01":1,"2024-02-01":5,"2024-01-01":2}}]'])
+    assert rows(P.parse_release_series(twice), "target_raw", "value") == [("2024-01-01", 2.0), ("2024-02-01", 5.0)]
+
+
+def test_values_that_are_text_and_days_written_twice(spark):
+    df = _series_payloads(spark, ['[{"data":{"2024-02-01":"1.5","2024-3-1":2,"2024-04-01":"n/a","2024-04-02":"NaN"}}]',
+                                  '[{"data":{"2024-05-01T00:00:00":2,"2024-05-01":1}}]'])
+    assert rows(P.parse_release_series(df), "dataset_id", "target_raw", "value") == [
+        ("0", "2024-02-01", 1.5), ("0", "2024-04-01", None), ("0", "2024-04-02", None), ("0", "2024-3-1", 2.0),
+        ("1", "2024-05-01T00:00:00", 2.0)]
+    assert sorted((r.n_rows, r.n_bad_values, r.n_merged) for r in P.release_series_status(df).collect()) == [
+        (1, 0, 1), (4, 1, 0)]
+    reports = spark.createDataFrame([("2024-04-29", '{"data":[{"reportDate":"2024-04-29","month":"May 2024","subRegion":"p",'
+                                      '"value":"7"},{"reportDate":"4/29/2024","month":"2024-06","subRegion":"q","value":"x"}]}')],
+                                    schemas.REPORT_PAYLOADS)
+    assert rows(P.parse_report_payloads(reports), "month", "subRegion", "value") == [
+        (D(2024, 5, 1), "p", 7.0), (D(2024, 6, 1), "q", None)]
+    st = P.report_status(reports).first()
+    assert (st.n_records, st.n_rows, st.n_bad_values, st.min_report_date, st.max_month) == (
+        2, 2, 1, D(2024, 4, 29), D(2024, 6, 1))
+
+
+def test_dates_that_must_parse(spark):
+    from vintagelake.functions.dates import parse_iso_date, parse_lenient_date
+    df = spark.createDataFrame([("2024-2-1",), ("2024-02-01T09:00:00",), (None,)], "t string")
+    assert [r[0] for r in df.select(parse_iso_date("t", "fail")).collect()] == [D(2024, 2, 1)] * 2 + [None]
+    forms = ["2024-02-01", "2024-2-1", "2024-02", "2024/02/01", "2/1/2024", "20240201", "1 Feb 2024", "Feb 1, 2024", "Feb 2024",
+             "2024-02-01 10:00:00", "2024-02-01T10:00"]
+    texts = spark.createDataFrame([(f,) for f in forms], "t string")
+    assert {r[0] for r in texts.select(parse_lenient_date("t", "fail")).collect()} == {D(2024, 2, 1)}
+    for parse in (parse_iso_date, parse_lenient_date):
+        with pytest.raises(Exception, match="not a date: junk"):
+            spark.createDataFrame([("junk",)], "t string").select(parse("t", "fail")).collect()
+
+
+def test_last_landed_payload_holds(spark):
+    two = [("a", "2024-01-05", '[{"data":{"2024-02-01":%d}}]' % v, t) for v, t in ((1, "2024-01-06"), (2, "2024-01-07"))]
+    for order in (two, two[::-1]):
+        df = spark.createDataFrame(order, "dataset_id string, release_raw string, payload string, landed_at string")
+        got = P.parse_release_series(P.last_landed(df, ["dataset_id", "release_raw"]))
+        assert rows(got, "value") == [(2.0,)]
+        with pytest.raises(ValueError, match="more than one payload"):
+            P.last_landed(df.drop("landed_at"), ["dataset_id", "release_raw"])
+
+
+def test_a_report_exists_by_any_item(spark):
+    def page(day, item):
+        return (day, '{"data":[{"reportDate":"%s","month":"2024-06-01","subRegion":"p","value":1,"item":"%s"}]}' % (day, item))
+
+    pages = spark.createDataFrame([page("2024-04-29", "other"), page("2024-04-22", "main")], schemas.REPORT_PAYLOADS)
+    none = spark.createDataFrame([], schemas.HIERARCHY)
+    out = providers.report_provider_from_payloads(pages, none, None, "2024-04-01", "2024-05-06", item="main")
+    assert out.count() == 0  # the report of the 29th is the one; it has nothing of the item
+    out = providers.report_provider_from_payloads(pages, none, None, "2024-04-01", "2024-05-06", item="other")
+    assert rows(out, "report_date") == [(D(2024, 4, 29),)]
+
+
+def test_densify_takes_any_location_names(spark):
+    from vintagelake.operators.reshape import densify
+    names = ["Permian", "PERMIAN", "month", "report_date", "value", "U.S.", "a`b", 'q"uote'] + [f"L{i}" for i in range(12_000)]
+    cells = spark.createDataFrame([(1, n, float(i)) for i, n in enumerate(names[:8])] + [(2, None, 1.0)],
+                                  "report_date int, location string, value double")
+    dense = densify(cells, ["report_date"], names)
+    assert dense.count() == 2 * len(names)
+    got = {(r.report_date, r.location): r.value for r in dense.where("value is not null").collect()}
+    assert got == {(1, n): float(i) for i, n in enumerate(names[:8])}
+
+
+def test_nested_rollups_are_refused(spark):
+    from vintagelake.operators import rollup
+    dense = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0)], "k int, location string, value double")
+    h = spark.createDataFrame([("T", "a", "skip", 0), ("U", "T", "skip", 1), ("U", "b", "skip", 1)], schemas.HIERARCHY)
+    with pytest.raises(ValueError, match="itself the target"):
+        rollup.apply_rollups(dense, h, ["k"])
 
 
 def test_load_ranges(spark):

@@ -209,7 +209,8 @@ def test_cell_plans_shuffle_only_pre_aggregated_rows(spark):
         assert any("Exchange hashpartitioning" in line for line in lines), name
         for i, line in enumerate(lines):
             if "Exchange hashpartitioning" in line:
-                child = lines[i + 1]
+                # an aggregate, or (the chosen releases) a projection of one
+                child = " ".join(lines[i + 1: i + 4])
                 assert "HashAggregate" in child or "SortAggregate" in child, (name, line, child)
 
 
@@ -228,3 +229,59 @@ def test_jdbc_reader_needs_exactly_one_of_table_or_query(spark):
         read_editions_jdbc(spark, "jdbc:unreachable://nowhere/db")
     with pytest.raises(ValueError):
         read_editions_jdbc(spark, "jdbc:unreachable://nowhere/db", table="t", query="select 1")
+
+
+def test_payloads_are_parsed_once(spark):
+    from vintagelake.sources import payloads as P
+    series, index, pages = (S.release_series_payloads(spark, SF_SMALL), S.release_index_payloads(spark, SF_SMALL),
+                            S.report_payloads(spark, SF_SMALL))
+    for df in (P.parse_release_series(series), P.parse_release_series(series, "drop_row"), P.release_series_status(series),
+               P.parse_release_index(index), P.release_index_status(index), P.parse_report_payloads(pages), P.report_status(pages)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_location_filter_reaches_the_cells(spark, tmp_path):
+    from vintagelake.operators.reshape import densify
+    cells = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0)], "k int, location string, value double")
+    cells.write.parquet(str(tmp_path / "cells"))
+    dense = densify(spark.read.parquet(str(tmp_path / "cells")), ["k"], ["a", "b"]).where("location = 'a'")
+    assert "EqualTo(location,a)" in _plan(dense)
+    assert [tuple(r) for r in dense.collect()] == [(1, "a", 1.0)]
+
+
+def test_final_sort_order_of_what_is_written(spark):
+    from vintagelake.operators.combine import sink_order
+    df = spark.createDataFrame([("b",), (None,), ("a",), ("c",)], "location string")
+    assert [r[0] for r in sink_order(df, ["location"]).collect()] == ["a", "b", "c", None]
+
+
+LAND = """
+import sys
+sys.path.insert(0, {repo!r})
+from vintagelake.session import get_spark
+from vintagelake.streaming.landing import land
+spark = get_spark("local[2]", shuffle_partitions=2, extra={{"spark.checkpoint.dir": {shared!r}}})
+land(spark, {source!r}, {target!r}, "release_series").awaitTermination()
+print("LANDED", spark.read.parquet({target!r}).count())
+"""
+
+
+def test_landing_goes_on_in_a_new_application(spark, tmp_path):
+    """Three applications, one new file each, with the default checkpoint."""
+    import json
+    import subprocess
+    import sys
+
+    from vintagelake.streaming.landing import land
+    source, target = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    code = LAND.format(repo=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), shared=str(tmp_path / "shared"),
+                       source=str(source), target=str(target))
+    for i in range(3):
+        body = json.dumps([{"data": {"2024-02-01": i}}])
+        (source / f"{i}.json").write_text(json.dumps({"dataset_id": str(i), "release_raw": "2024-01-05", "payload": body}))
+        done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+        assert f"LANDED {i + 1}" in done.stdout, done.stderr[-2000:]
+    (tmp_path / "elsewhere").mkdir()
+    with pytest.raises(ValueError, match="another source"):
+        land(spark, str(tmp_path / "elsewhere"), str(target), "release_series")

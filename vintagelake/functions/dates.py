@@ -25,16 +25,44 @@ def iso_date_part(raw: ColumnOrName) -> Column:
     return F.split_part(_c(raw), F.lit("T"), F.lit(1))
 
 
-def parse_iso_date(raw: ColumnOrName) -> Column:
-    """Date of an ISO stamp with or without time; NULL where the day is not a date."""
-    return F.try_to_date(iso_date_part(raw), "yyyy-MM-dd")
-
-
-def parse_lenient_date(raw: ColumnOrName) -> Column:
-    """Date of ISO-like text: a day with an optional ``T`` or space time part, or a
-    bare year-month (read as its first day); NULL otherwise."""
-    day = F.split_part(iso_date_part(raw), F.lit(" "), F.lit(1))
-    return F.coalesce(F.try_to_date(day, "yyyy-MM-dd"), F.try_to_date(day, "yyyy-MM"))
+def parse_iso_date(raw: ColumnOrName, on_error: str = "null") -> Column:
+    """Date of an ISO stamp with or without time; months and days may have one digit.
+
+    Text that is not a date gives NULL, or fails the job with ``on_error='fail'``.
+    """
+    return _or_fail(_c(raw), F.try_to_date(iso_date_part(raw), "yyyy-M-d"), on_error)
+
+
+def _or_fail(raw: Column, parsed: Column, on_error: str) -> Column:
+    if on_error not in ("null", "fail"):
+        raise ValueError("on_error must be 'null' or 'fail'")
+    if on_error == "null":
+        return parsed
+    message = F.concat(F.lit("not a date: "), raw.cast("string"))
+    return F.when(raw.isNotNull() & parsed.isNull(), F.raise_error(message)).otherwise(parsed)
+
+
+# Spellings of a day or a month that the lenient parse reads.
+LENIENT_FORMATS = {
+    "yyyy-M-d": r"^\d{4}-\d{1,2}-\d{1,2}$",
+    "yyyy-M": r"^\d{4}-\d{1,2}$",
+    "yyyy/M/d": r"^\d{4}/\d{1,2}/\d{1,2}$",
+    "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "yyyyMMdd": r"^\d{8}$",
+    "d MMM yyyy": r"^\d{1,2} [A-Za-z]{3} \d{4}$",
+    "MMM d, yyyy": r"^[A-Za-z]{3} \d{1,2}, \d{4}$",
+    "MMM yyyy": r"^[A-Za-z]{3} \d{4}$",
+}
+
+
+def parse_lenient_date(raw: ColumnOrName, on_error: str = "null") -> Column:
+    """Date of text in one of ``LENIENT_FORMATS``, with an optional time of day;
+    a bare month is its first day.  Other text gives NULL, or fails the job
+    with ``on_error='fail'``."""
+    text = F.trim(_c(raw).cast("string"))
+    day = F.regexp_replace(text, r"^(\d[\d/-]*)[T ]\d{1,2}:.*$", "$1")  # 2024-01-05T09:00, 2024-01-05 09:00:00
+    tries = [F.when(day.rlike(pattern), F.try_to_date(day, fmt)) for fmt, pattern in LENIENT_FORMATS.items()]
+    return _or_fail(_c(raw), F.coalesce(*tries), on_error)
 
 
 def first_of_month(d: ColumnOrName) -> Column:

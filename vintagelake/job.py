@@ -21,13 +21,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vintagelake import schemas
 from vintagelake.schemas import SINK_COLUMNS
-from vintagelake.operators.combine import refuse_empty, sink_rows
+from vintagelake.operators.aggregate import load_ranges
+from vintagelake.operators.combine import sink_rows
 from vintagelake.operators.reshape import observed_values, wide_view
 from vintagelake.plans import providers
 from vintagelake.sinks import full_refresh_jdbc, full_refresh_table, run_summary, write_csv_snapshot
 from vintagelake.sources import dims
-from vintagelake.session import path_exists
-from vintagelake.sources.payloads import read_payloads
+from vintagelake.session import local_frame, path_exists
+from vintagelake.sources.payloads import (parse_report_payloads, read_payloads, release_index_status,
+                                          release_series_status, report_status)
+from vintagelake.sources.tables import read_editions_jdbc
 
 
 @dataclass
@@ -43,6 +46,8 @@ class JobConfig:
     label_format: str = "yyyy-MM"
     payload_format: str = "parquet"
     debug: bool = False
+    editions_jdbc: dict[str, str] | None = None  # url, dbtable or query, user, ... instead of the editions folder
+    status_folder: str | None = None   # payload statuses and date ranges of the load
     dims_folder: str | None = None     # optional parquet overrides: dataset_dim, series_dim, hierarchy, renames
     rollups: list = field(default_factory=lambda: dims.REPORT_ROLLUPS)
 
@@ -60,55 +65,99 @@ def _dim(spark: SparkSession, cfg: JobConfig, name: str, schema: str, default):
     return default(), False
 
 
-def build(spark: SparkSession, cfg: JobConfig) -> tuple[dict[str, DataFrame], DataFrame]:
-    """The provider plans whose landed inputs exist, and the series dimension."""
+def _editions(spark: SparkSession, cfg: JobConfig) -> DataFrame | None:
+    if cfg.editions_jdbc:
+        opts = dict(cfg.editions_jdbc)
+        return read_editions_jdbc(spark, opts.pop("url"), opts.pop("dbtable", None), opts, opts.pop("query", None))
+    if _exists(spark, cfg.path("editions")):
+        return spark.read.schema(schemas.EDITIONS).parquet(cfg.path("editions"))
+    return None
+
+
+def _payloads(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
+    """The landed payload tables that exist, by kind."""
+    kinds = {"release_index": schemas.RELEASE_INDEX_PAYLOADS, "release_series": schemas.RELEASE_SERIES_PAYLOADS,
+             "report": schemas.REPORT_PAYLOADS}
+    return {k: read_payloads(spark, cfg.path(k), schema, cfg.payload_format)
+            for k, schema in kinds.items() if _exists(spark, cfg.path(k))}
+
+
+def _landed(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
+    """The tables of parsed rows that ``streaming.landing`` writes (``<kind>_rows``), by kind."""
+    kinds = {"release_index": schemas.RELEASE_INDEX, "release_series": schemas.RELEASE_SERIES, "report": schemas.REPORT_ROWS}
+    return {k: spark.read.schema(schema).parquet(cfg.path(f"{k}_rows"))
+            for k, schema in kinds.items() if _exists(spark, cfg.path(f"{k}_rows"))}
+
+
+def build(spark: SparkSession, cfg: JobConfig, stage=providers.stage) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The provider plans whose landed inputs exist, and the series dimension.
+
+    Payload tables come first; where a kind has none, its landed rows are used.
+    Landed report rows are those of one item, so their days are the probe too.
+    """
     dataset_dim, _ = _dim(spark, cfg, "dataset_dim", schemas.DATASET_DIM, lambda: dims.dataset_dim(spark))
     series_dim, custom_series = _dim(spark, cfg, "series_dim", schemas.SERIES_DIM, lambda: dims.series_dim(spark))
     hierarchy, _ = _dim(spark, cfg, "hierarchy", schemas.HIERARCHY, lambda: dims.hierarchy(spark, cfg.rollups))
     renames, _ = _dim(spark, cfg, "renames", schemas.RENAME_DIM, lambda: dims.rename_dim(spark))
+    payloads, landed, editions = _payloads(spark, cfg), _landed(spark, cfg), _editions(spark, cfg)
+    first = 3 if cfg.debug else None
     builders = {}
-    if _exists(spark, cfg.path("release_index")) and _exists(spark, cfg.path("release_series")):
+    if {"release_index", "release_series"} <= set(payloads):
         builders["release"] = lambda: providers.release_provider_from_payloads(
-            read_payloads(spark, cfg.path("release_index"), schemas.RELEASE_INDEX_PAYLOADS, cfg.payload_format),
-            read_payloads(spark, cfg.path("release_series"), schemas.RELEASE_SERIES_PAYLOADS, cfg.payload_format),
-            dataset_dim, cfg.release_start, debug_first=3 if cfg.debug else None)
-    if _exists(spark, cfg.path("report")):
+            payloads["release_index"], payloads["release_series"], dataset_dim, cfg.release_start, debug_first=first, stage=stage)
+    elif {"release_index", "release_series"} <= set(landed):
+        builders["release"] = lambda: providers.release_provider(
+            landed["release_index"], landed["release_series"], dataset_dim, cfg.release_start, first, stage=stage)
+    if "report" in payloads:
         builders["report"] = lambda: providers.report_provider_from_payloads(
-            read_payloads(spark, cfg.path("report"), schemas.REPORT_PAYLOADS, cfg.payload_format),
-            hierarchy, renames, cfg.report_start, cfg.as_of, item=dims.REPORT_ITEM)
-    if _exists(spark, cfg.path("editions")):
+            payloads["report"], hierarchy, renames, cfg.report_start, cfg.as_of, item=dims.REPORT_ITEM, stage=stage)
+    elif "report" in landed:
+        builders["report"] = lambda: providers.report_provider(
+            landed["report"], landed["report"].select("report_date"), hierarchy, renames, cfg.report_start, cfg.as_of, stage=stage)
+    if editions is not None:
         # fixed ids reach the scan as an IN filter; a custom dimension is a semi-join
         ids = None if custom_series else [s for s, _ in dims.EDITION_SERIES]
-        builders["edition"] = lambda: providers.edition_provider(
-            spark.read.schema(schemas.EDITIONS).parquet(cfg.path("editions")), series_dim, series_ids=ids)
-    out = providers.build_all(spark, builders)
-    return out, series_dim
+        builders["edition"] = lambda: providers.edition_provider(editions, series_dim, series_ids=ids, stage=stage)
+    return providers.build_all(spark, builders), series_dim
+
+
+def write_status(spark: SparkSession, cfg: JobConfig) -> None:
+    """One table per kind of payload with an outcome per payload, and the report
+    rows' date ranges, replaced in full."""
+    describe = {"release_index": release_index_status, "release_series": release_series_status, "report": report_status}
+    payloads = _payloads(spark, cfg)
+    for kind, df in payloads.items():
+        full_refresh_table(describe[kind](df), f"{cfg.status_folder}/{kind}", allow_empty=True)
+    if "report" in payloads:
+        rows = parse_report_payloads(payloads["report"], dims.REPORT_ITEM)
+        full_refresh_table(load_ranges(rows), f"{cfg.status_folder}/report_ranges", allow_empty=True)
 
 
 def run(spark: SparkSession, cfg: JobConfig) -> DataFrame:
-    """Run the job; returns the run summary (source, n_rows)."""
-    staged_before = set(providers.STAGED)
-    parts, series_dim = build(spark, cfg)
-    combined = providers.combined_vintage(**parts)
-    rows = refuse_empty(sink_rows(combined, cfg.label_format))
-    if cfg.target:
-        full_refresh_table(rows, cfg.target, partition_by=["source"])
-        # later sinks read the written table instead of computing the union again
-        rows = spark.read.parquet(cfg.target).select(*SINK_COLUMNS)
-    if cfg.jdbc:
-        opts = dict(cfg.jdbc)
-        full_refresh_jdbc(rows, opts.pop("url"), opts.pop("dbtable"), opts)
-    if cfg.csv_folder and "edition" in parts:
-        locations = observed_values(series_dim, "location")
-        wide = wide_view(parts["edition"], ["report_date", "month"], locations, fmt="MMM-yy")
-        write_csv_snapshot(wide.withColumnRenamed("report_date", "reportDate"), cfg.csv_folder, cfg.run_date)
-    if cfg.target:
-        # count what was written rather than computing the union again, and
-        # remove this run's staged cells: nothing reads them any more
-        summary = run_summary(spark.read.parquet(cfg.target))
-        providers.drop_stages(spark, [p for p in providers.STAGED if p not in staged_before])
-        return summary
-    return run_summary(rows)
+    """Run the job; returns the run summary (source, n_rows).  The tables it
+    stages on the way are removed at its end, also if it fails."""
+    stages = providers.Stages()
+    try:
+        parts, series_dim = build(spark, cfg, stages)
+        rows = sink_rows(providers.combined_vintage(**parts), cfg.label_format)
+        if cfg.status_folder:
+            write_status(spark, cfg)
+        if cfg.target:
+            full_refresh_table(rows, cfg.target, partition_by=["source"])
+            # later sinks read the written table instead of computing the union again
+            rows = spark.read.schema(rows.schema).parquet(cfg.target).select(*SINK_COLUMNS)
+        if cfg.jdbc:
+            opts = dict(cfg.jdbc)
+            full_refresh_jdbc(rows, opts.pop("url"), opts.pop("dbtable"), opts)
+        if cfg.csv_folder and "edition" in parts:
+            locations = observed_values(series_dim, "location")
+            wide = wide_view(parts["edition"], ["report_date", "month"], locations, fmt="MMM-yy")
+            write_csv_snapshot(wide.withColumnRenamed("report_date", "reportDate"), cfg.csv_folder, cfg.run_date)
+        counts = run_summary(rows)
+        # a few numbers: collected, so that nothing reads the staged tables after this
+        return local_frame(spark, counts.collect(), counts.schema)
+    finally:
+        stages.drop(spark)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -124,6 +173,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--label-format", default="yyyy-MM")
     ap.add_argument("--payload-format", default="parquet")
     ap.add_argument("--debug", action="store_true")
+    ap.add_argument("--editions-jdbc", help="JSON object of JDBC options incl. url and dbtable or query")
+    ap.add_argument("--status-folder")
     ap.add_argument("--dims-folder")
     a = ap.parse_args(argv)
     from vintagelake.session import get_spark
@@ -132,7 +183,8 @@ def main(argv: list[str] | None = None) -> None:
                     csv_folder=a.csv_folder, as_of=a.as_of, run_date=a.run_date,
                     release_start=a.release_start, report_start=a.report_start,
                     label_format=a.label_format, payload_format=a.payload_format, debug=a.debug,
-                    dims_folder=a.dims_folder)
+                    editions_jdbc=json.loads(a.editions_jdbc) if a.editions_jdbc else None,
+                    status_folder=a.status_folder, dims_folder=a.dims_folder)
     run(spark, cfg).show(truncate=False)
 
 

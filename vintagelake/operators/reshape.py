@@ -2,31 +2,25 @@
 
 Long form is canonical.  ``densify`` produces every (key, location) pair of a
 report table, with missing cells as NULL rows, which is what a pivot followed
-by a melt yields.  It is written as one pivot aggregate (one shuffle on the
-row keys, cells pre-folded per location) followed by an in-row ``inline``, so
-no join and no cross product of tables is planned.  The location list must be
-known when the plan is built: it comes from a dimension or from
-``observed_values`` (bounded, like Spark's own pivot without a value list).
+by a melt yields.  It is written as a spine (each row key with the list of
+locations) left-joined with the cells, so locations are values, never column
+names: their number and spelling do not matter, and a filter on location or on
+a key reaches the scan of the cells.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintagelake.functions import qcol
 
-MAX_PIVOT_VALUES = 10_000
-
-
-def observed_values(df: DataFrame, column: str = "location",
-                    max_values: int = MAX_PIVOT_VALUES) -> list[str]:
-    """Sorted distinct non-NULL values of a low-cardinality column (bounded collect)."""
-    rows = (df.select(column).where(F.col(column).isNotNull()).distinct()
-            .limit(max_values + 1).collect())
-    if len(rows) > max_values:
-        raise ValueError(f"more than {max_values} distinct values in {column}; not a pivot column")
-    return sorted(r[0] for r in rows)
+def observed_values(df: DataFrame, column: str = "location") -> list[str]:
+    """Sorted distinct non-NULL values of a dimension column, for the columns
+    of a wide view or the location list of ``densify``."""
+    return sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
 
 
 def unique_cells(df: DataFrame, keys: list[str], pivot_col: str = "location",
@@ -55,6 +49,11 @@ def melt(df: DataFrame, ids: list[str], value_cols: list[str] | None = None,
     return df.unpivot([qcol(c) for c in ids], [qcol(c) for c in cols], var, val)
 
 
+def _list(values: list[str]) -> Column:
+    """An array of texts as one literal: the plan stays small however long the list is."""
+    return F.from_json(F.lit(json.dumps(list(values))), "array<string>")
+
+
 def densify(cells: DataFrame, keys: list[str], locations: list[str],
             value_cols: tuple[str, ...] = ("value",), order_col=None,
             location_col: str = "location") -> DataFrame:
@@ -66,17 +65,15 @@ def densify(cells: DataFrame, keys: list[str], locations: list[str],
     """
     if not locations:
         return cells.select(*keys, location_col, *value_cols).limit(0)
-    pick = (lambda c: F.max_by(c, order_col)) if order_col is not None else (lambda c: F.first(c))
-    aggs = [pick(c).alias(c) for c in value_cols]
-    wide = cells.groupBy(*keys).pivot(location_col, list(locations)).agg(*aggs)
-
-    def name(loc: str, c: str) -> str:
-        return loc if len(value_cols) == 1 else f"{loc}_{c}"
-
-    rows = F.array(*[
-        F.struct(F.lit(loc).alias(location_col), *[qcol(name(loc, c)).alias(c) for c in value_cols])
-        for loc in locations])
-    return wide.select(*keys, F.inline(rows))
+    spine = cells.select(*keys).distinct().select(*keys, F.explode(_list(locations)).alias(location_col))
+    own = cells.where(F.col(location_col).isNotNull())
+    if order_col is not None:
+        last = F.max_by(F.struct(*value_cols), order_col).alias("_v")
+        own = own.groupBy(*keys, location_col).agg(last).select(*keys, location_col, "_v.*")
+    names = [*keys, location_col]
+    own = own.select(*[F.col(c).alias(f"_{c}") for c in names], *value_cols)
+    same = [spine[c].eqNullSafe(own[f"_{c}"]) if c in keys else spine[c] == own[f"_{c}"] for c in names]
+    return spine.join(own, same, "left").select(*names, *value_cols)
 
 
 def wide_view(long: DataFrame, keys: list[str], locations: list[str], fmt: str | None = None,

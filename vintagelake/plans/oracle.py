@@ -141,13 +141,14 @@ MONTHLY_SUMS = """ms AS (SELECT CAST(date_trunc('month', report_date) AS DATE) A
   coalesce(sum(value), 0.0) AS value FROM v WHERE month >= report_date GROUP BY ALL)"""
 
 
-def _report_long() -> str:
+def _report_long(available: str = AVAILABLE, rows: str = "") -> str:
+    """``rows``: a condition on the lines that become records."""
     return f"""{_calendar(f"DATE '{S.CALENDAR_START}'", f"DATE '{S.CALENDAR_AS_OF}'", 'pcal')},
-{AVAILABLE},
+{available},
 {_snap('pcal', 'psnap')},
 pdates AS (SELECT DISTINCT report_date FROM psnap),
 rr AS (SELECT CAST(o_orderdate AS DATE) AS report_date, CAST(o_orderdate AS DATE) AS reportDate,
-  {SHIP_MONTH} AS month, n_name AS subRegion, {NULLED} AS value FROM ol WHERE {FEED}),
+  {SHIP_MONTH} AS month, n_name AS subRegion, {NULLED} AS value FROM ol {rows}),
 rr2 AS (SELECT rr.* FROM rr JOIN pdates p ON rr.report_date = p.report_date
   WHERE rr.month >= rr.report_date AND rr.month <= CAST(rr.report_date + INTERVAL 1 YEAR AS DATE)
     AND rr.month >= rr.reportDate),
@@ -220,6 +221,7 @@ def oracle_sql() -> dict[str, str]:
 
     r = f"WITH {OL}, {RELEASES}"
     sql["release_index"] = f"{r} SELECT dataset_id, release_raw, release_date FROM ri1"
+    sql["release_index_status"] = f"{r} SELECT dataset_id AS payload_id, 'ok' AS outcome, count(*) AS n_rows FROM ri GROUP BY ALL"
     sql["latest_release_per_month"] = (f"{r} SELECT dataset_id, release_month, release_raw, n_available, "
                                        f"release_date FROM lr2")
     sql["horizon_from_release"] = f"{r} SELECT * FROM pts"
@@ -230,7 +232,9 @@ pq AS (SELECT l_orderkey, o_orderpriority, strftime(o_orderdate, '%Y-%m-%d') AS
 SELECT CAST(l_orderkey AS VARCHAR) || '|' || day AS payload_id,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'empty' WHEN '2-HIGH' THEN 'no_data'
     WHEN '3-MEDIUM' THEN 'unparseable' WHEN '4-NOT SPECIFIED' THEN 'bad_date' ELSE 'ok' END AS outcome,
-  CAST(CASE WHEN o_orderpriority = '5-LOW' THEN n ELSE 0 END AS BIGINT) AS n_rows FROM pq"""
+  CAST(CASE WHEN o_orderpriority <> '5-LOW' THEN 0 WHEN l_orderkey % 4 >= 2 THEN n + 1 ELSE n END AS BIGINT) AS n_rows,
+  CAST(o_orderpriority = '5-LOW' AND l_orderkey % 4 = 2 AS BIGINT) AS n_bad_values,
+  CAST(o_orderpriority = '5-LOW' AND l_orderkey % 4 = 3 AS BIGINT) AS n_merged FROM pq"""
     sql["dimension_limit"] = (f"WITH {OL}, {V} SELECT report_date, month, location, value FROM v "
                               f"WHERE location IN (SELECT n_name FROM nation ORDER BY n_nationkey "
                               f"LIMIT {S.DEBUG_DATASETS})")
@@ -240,11 +244,12 @@ SELECT CAST(l_orderkey AS VARCHAR) || '|' || day AS payload_id,
 
     sql["report_payload"] = (f"WITH {OL} SELECT CAST(o_orderdate AS DATE) AS report_date, "
                              f"CAST(o_orderdate AS DATE) AS reportDate, {SHIP_MONTH} AS month, "
-                             f"n_name AS subRegion, {NULLED} AS value FROM ol WHERE {FEED}")
+                             f"n_name AS subRegion, {NULLED} AS value FROM ol")
     sql["report_payload_status"] = f"""WITH {OL},
-rp AS (SELECT l_orderkey, {SHIP_MONTH} AS month, CAST(o_orderdate AS DATE) AS rd FROM ol WHERE {FEED})
+rp AS (SELECT l_orderkey, {SHIP_MONTH} AS month, CAST(o_orderdate AS DATE) AS rd FROM ol)
 SELECT CAST(l_orderkey AS VARCHAR) AS payload_id, 'ok' AS outcome, count(*) AS n_records,
   count(*) FILTER (WHERE month >= rd) AS n_rows, count(*) FILTER (WHERE NOT (month >= rd)) AS n_removed,
+  CAST(0 AS BIGINT) AS n_bad_values, min(rd) AS min_report_date, max(rd) AS max_report_date,
   min(month) AS min_month, max(month) AS max_month
 FROM rp GROUP BY l_orderkey"""
     cal = _calendar("(SELECT CAST(min(o_orderdate) AS DATE) FROM orders)",
@@ -277,7 +282,9 @@ LEFT JOIN ms m ON m.report_month = k.report_month AND m.month = k.month AND m.lo
                            f"WHERE location NOT IN (SELECT target FROM r_ch) "
                            f"UNION ALL SELECT report_month, month, location, round(value, 6) FROM r_v")
     sql["report_provider"] = f"WITH {OL}, {_report_long()} SELECT * FROM gp"
-    sql["report_from_payloads"] = sql["report_provider"]
+    any_item = "av AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM ol)"
+    main = f"WHERE NOT (day(o_orderdate) % 3 = 0 OR l_quantity < {S.OTHER_BELOW})"
+    sql["report_from_payloads"] = f"WITH {OL}, {_report_long(any_item, main)} SELECT * FROM gp"
 
     sql["iso_date_part"] = ("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts_text, "
                             "strftime(ts, '%Y-%m-%d') AS day_text, CAST(ts AS DATE) AS day FROM events")

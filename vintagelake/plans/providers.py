@@ -29,7 +29,7 @@ from vintagelake.operators.calendar import report_calendar, snapped_dates
 from vintagelake.operators.combine import combine, to_vintage
 from vintagelake.operators.horizon import (cut_from_release, forecasts_only, latest_release_per_month,
                                            one_year_horizon, releases_since)
-from vintagelake.operators.joins import MAX_BROADCAST_ROWS, dim_join, lookup, rename_locations, within_rows
+from vintagelake.operators.joins import lookup, rename_locations
 from vintagelake.operators.limits import cap_rows_per_group, first_dims
 from vintagelake.operators.reshape import densify, observed_values, unique_cells
 from vintagelake.operators.rollup import apply_rollups
@@ -41,26 +41,28 @@ KEYS = ["report_date", "month"]
 OUT = ["report_date", "issue_date", "month", "location", "value"]
 
 
-STAGED: list[str] = []
+class Stages:
+    """The staged tables of one run; ``drop`` removes them once nothing reads them any more."""
 
+    def __init__(self):
+        self.paths: list[str] = []
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as a parquet table in the shared checkpoint folder and
-    return a scan of it.  The path is recorded in ``STAGED`` so that a job can
-    remove its stages once its targets are written (``drop_stages``)."""
-    spark = df.sparkSession
-    path = shared_path(spark, "stage", f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    STAGED.append(path)
-    return spark.read.parquet(path)
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` once as a parquet table in the shared checkpoint folder and return a scan of it."""
+        spark = df.sparkSession
+        path = shared_path(spark, "stage", f"{name}-{uuid.uuid4().hex}")
+        df.write.mode("overwrite").parquet(path)
+        self.paths.append(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, spark) -> None:
+        while self.paths:
+            delete_path(spark, self.paths.pop())
 
 
-def drop_stages(spark, paths: list[str]) -> None:
-    """Delete staged tables (only call when no plan reading them will run again)."""
-    for path in paths:
-        delete_path(spark, path)
-        if path in STAGED:
-            STAGED.remove(path)
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """A staged table that no run keeps track of (left to housekeeping of the checkpoint folder)."""
+    return Stages()(df, name)
 
 
 # ----------------------------------------------------------------------------
@@ -80,30 +82,15 @@ def edition_cells(editions: DataFrame, series_dim: DataFrame, flag: str = EDITIO
     sums = series_sum(rows, ["report_date", "month", "series_id"])
     dim = series_dim.select("series_id", "location")
     mapped = lookup(sums, dim, "series_id", "left")
-    # Sums are unique per series; when the dimension maps ids one-to-one onto
-    # locations and only its ids are scanned, cells are unique by construction
-    # and the small dimension is checked instead of every cell.
-    if not _one_to_one(dim, series_ids):
-        mapped = unique_cells(mapped, KEYS, "location")
+    # the sums are spread by their keys already; the check folds them once more
+    mapped = unique_cells(mapped, KEYS, "location")
     return mapped.select(*KEYS, "location", "value",
                          F.when(F.col("location").isNotNull(), F.col("report_date")).alias("issue_date"))
 
 
-def _one_to_one(dim: DataFrame, ids: list[str] | None) -> bool:
-    """Every scanned id maps to exactly one location and no location twice."""
-    r = dim.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("series_id").alias("ids"),
-                F.countDistinct("location").alias("locs")).first()
-    if not (r.n == r.ids == r.locs):
-        return False
-    if ids is None:
-        return True  # the scan is a semi-join with the dimension
-    known = set(observed_values(dim, "series_id"))
-    return set(ids) <= known
-
-
 def edition_provider(editions: DataFrame, series_dim: DataFrame, flag: str = EDITION_FORECAST_FLAG,
                      scale: float = EDITION_SCALE, series_ids: list[str] | None = None,
-                     strict: bool = True) -> DataFrame:
+                     strict: bool = True, stage=stage) -> DataFrame:
     """Edition table -> forecasts per (edition date, month, location).
 
     The cells (``edition_cells``) are staged, then every row key gets every
@@ -128,27 +115,24 @@ def chosen_releases(release_index: DataFrame, dataset_dim: DataFrame, start_date
     """Lazy plan: the latest release per mapped dataset and month, on/after the start day."""
     dims = dataset_dim if debug_first is None else first_dims(dataset_dim, "ord", debug_first)
     idx = releases_since(release_index, start_date)
-    idx = dim_join(idx, dims.select("dataset_id"), "dataset_id", "left_semi")
+    idx = idx.join(dims.select("dataset_id"), "dataset_id", "left_semi")
     return latest_release_per_month(idx)
 
 
 def release_cells(release_index: DataFrame, release_series: DataFrame, dataset_dim: DataFrame,
-                  start_date, debug_first: int | None = None, chosen: DataFrame | None = None,
-                  broadcast_chosen: bool | None = None) -> DataFrame:
+                  start_date, debug_first: int | None = None, chosen: DataFrame | None = None) -> DataFrame:
     """Lazy plan of the release cells: report_date, month, location, value, issue_date, ord.
 
     Per mapped dataset: releases on/after the start day, the latest per month,
     its points on/after the release day.  Rows are keyed on the first day of
     the release month, so datasets released on different days of one month
     share a row while each is cut at its own release day.  Points with a NULL
-    value are kept.  ``chosen`` (``chosen_releases``, for instance staged) and
-    ``broadcast_chosen`` (the caller's size check) may be passed in; otherwise
-    both are worked out here.
+    value are kept.  ``chosen``: the ``chosen_releases``, where the caller has them staged.
     """
     dims = dataset_dim if debug_first is None else first_dims(dataset_dim, "ord", debug_first)
     if chosen is None:
         chosen = chosen_releases(release_index, dataset_dim, start_date, debug_first)
-    points = cut_from_release(release_series, chosen, broadcast=broadcast_chosen)
+    points = cut_from_release(release_series, chosen)
     cells = lookup(points, dims.select("dataset_id", "location", "ord"), "dataset_id", "inner")
     return cells.select(F.col("release_month").alias("report_date"), F.col("target_date").alias("month"),
                         "location", "value", F.col("release_date").alias("issue_date"), "ord")
@@ -156,7 +140,7 @@ def release_cells(release_index: DataFrame, release_series: DataFrame, dataset_d
 
 def release_provider(release_index: DataFrame, release_series: DataFrame, dataset_dim: DataFrame,
                      start_date, debug_first: int | None = None,
-                     locations: list[str] | None = None) -> DataFrame:
+                     locations: list[str] | None = None, stage=stage) -> DataFrame:
     """Release index + release series -> one vintage per release month.
 
     The cells (``release_cells``) are staged and densified over the locations
@@ -164,12 +148,10 @@ def release_provider(release_index: DataFrame, release_series: DataFrame, datase
     (greater ``ord``) wins.  Series points must be one per target day (the
     payload parser keeps the greater text when a payload writes one day twice).
     """
-    # the chosen releases (one per dataset and month) are staged once: their size
-    # check then reads that small table instead of computing the index twice
+    # a written table has a known size: the planner sees whether it can be
+    # broadcast, so that the series' points need no shuffle for the join
     chosen = stage(chosen_releases(release_index, dataset_dim, start_date, debug_first), "release-chosen")
-    small = within_rows(chosen, MAX_BROADCAST_ROWS)
-    cells = stage(release_cells(release_index, release_series, dataset_dim, start_date, debug_first,
-                                chosen=chosen, broadcast_chosen=small), "release-cells")
+    cells = stage(release_cells(release_index, release_series, dataset_dim, start_date, debug_first, chosen), "release-cells")
     if locations is None:
         locations = observed_values(cells, "location")
     return densify(cells, KEYS, locations, ("value", "issue_date"), order_col="ord").select(*OUT)
@@ -216,7 +198,7 @@ def report_cells(report_rows: DataFrame, available: DataFrame, start_date, as_of
 
 def report_provider(report_rows: DataFrame, available: DataFrame, hierarchy: DataFrame,
                     renames: DataFrame | None, start_date, as_of, fallback_days: int = 7,
-                    locations: list[str] | None = None, row_limit: int | None = None) -> DataFrame:
+                    locations: list[str] | None = None, row_limit: int | None = None, stage=stage) -> DataFrame:
     """Report rows -> mean per cell, densified over the locations that have a
     value, plus regional rollups, with names renamed last."""
     cells = stage(report_cells(report_rows, available, start_date, as_of, fallback_days, row_limit),
@@ -236,25 +218,30 @@ def report_provider(report_rows: DataFrame, available: DataFrame, hierarchy: Dat
 # ----------------------------------------------------------------------------
 def release_provider_from_payloads(index_payloads: DataFrame, series_payloads: DataFrame,
                                    dataset_dim: DataFrame, start_date, bad_rows: str = "drop_payload",
-                                   debug_first: int | None = None) -> DataFrame:
+                                   debug_first: int | None = None, stage=stage) -> DataFrame:
     """Release provider over landed payloads: (dataset_id, payload) release
-    indexes and (dataset_id, release_raw, payload) series."""
-    from vintagelake.sources.payloads import parse_release_index, parse_release_series
-    return release_provider(parse_release_index(index_payloads, bad_rows),
-                            parse_release_series(series_payloads, bad_rows),
-                            dataset_dim, start_date, debug_first)
+    indexes and (dataset_id, release_raw, payload) series.  A key's last landed
+    payload holds (``landed_at``); without that column a second one is an error."""
+    from vintagelake.sources.payloads import last_landed, parse_release_index, parse_release_series
+    index = last_landed(index_payloads, ["dataset_id"])
+    series = last_landed(series_payloads, ["dataset_id", "release_raw"])
+    return release_provider(parse_release_index(index, bad_rows), parse_release_series(series, bad_rows),
+                            dataset_dim, start_date, debug_first, stage=stage)
 
 
 def report_provider_from_payloads(report_payloads: DataFrame, hierarchy: DataFrame,
                                   renames: DataFrame | None, start_date, as_of,
                                   item: str | None = None, fallback_days: int = 7,
-                                  row_limit: int | None = None) -> DataFrame:
+                                  row_limit: int | None = None, stage=stage) -> DataFrame:
     """Report provider over landed (report_date, payload) pages.  A report
-    exists on a day when a page for that day has at least one record."""
-    from vintagelake.sources.payloads import parse_report_payloads
-    rows = parse_report_payloads(report_payloads, item)
-    return report_provider(rows, rows.select("report_date"), hierarchy, renames, start_date, as_of,
-                           fallback_days, row_limit=row_limit)
+    exists on a day when a page for that day has at least one record, of
+    whatever item; ``item`` selects records of the reports so found.  Pages
+    with a column ``page`` are one per (report_date, page): the last landed."""
+    from vintagelake.sources.payloads import last_landed, parse_report_payloads, reports_with_records
+    if "page" in report_payloads.columns:
+        report_payloads = last_landed(report_payloads, ["report_date", "page"])
+    return report_provider(parse_report_payloads(report_payloads, item), reports_with_records(report_payloads),
+                           hierarchy, renames, start_date, as_of, fallback_days, row_limit=row_limit, stage=stage)
 
 
 # ----------------------------------------------------------------------------

@@ -96,6 +96,11 @@ def q_csv_snapshot(spark, base):
 
 
 # ------------------------------------------------------------ release side --
+@register("release_index_status")
+def q_release_index_status(spark, base):
+    return P.release_index_status(S.release_index_payloads(spark, base))
+
+
 @register("release_index")
 def q_release_index(spark, base):
     parsed = P.parse_release_index(S.release_index_payloads(spark, base))
@@ -153,9 +158,11 @@ def q_release_from_payloads(spark, base):
 
 @register("vintage_wide")
 def q_vintage_wide(spark, base):
-    long = _release_long(spark, base)
-    locations = reshape.observed_values(long, "location")
-    return reshape.pivot_wide(long, ["report_date", "month"], locations)
+    # the wide view is a pivot of the cells; densifying first would add nothing
+    cells = providers.stage(providers.release_cells(
+        S.release_index(spark, base), S.release_series(spark, base), S.dataset_dim(spark, base), S.RELEASE_START), "cells")
+    locations = reshape.observed_values(cells, "location")
+    return reshape.pivot_wide(cells, ["report_date", "month"], locations)
 
 
 # ------------------------------------------------------------- report side --
@@ -206,8 +213,8 @@ def q_cell_mean(spark, base):
 
 @register("pivot_mean")
 def q_pivot_mean(spark, base):
-    cells = aggregate.cell_mean(S.forecast_view(spark, base, with_nulls=True),
-                                ["report_date", "month", "location"])
+    cells = providers.stage(aggregate.cell_mean(S.forecast_view(spark, base, with_nulls=True),
+                                                ["report_date", "month", "location"]), "cells")
     locations = reshape.observed_values(cells, "location")
     wide = reshape.pivot_wide(cells, ["report_date", "month"], locations)
     return wide.select("report_date", "month", *[_r6(f"`{loc}`").alias(loc) for loc in locations])
@@ -235,20 +242,22 @@ def q_melt_keep_nulls(spark, base):
 
 
 def _dense_means(spark, base):
+    """The dense table of means and its locations; the cells are computed once and staged."""
     m = S.monthly_view(spark, base, with_nulls=True)
-    cells = aggregate.cell_mean(m, ["report_month", "month", "location"])
+    cells = providers.stage(aggregate.cell_mean(m, ["report_month", "month", "location"]), "cells")
     locations = reshape.observed_values(cells, "location")
-    return reshape.densify(cells, ["report_month", "month"], locations)
+    return reshape.densify(cells, ["report_month", "month"], locations), locations
 
 
 @register("densify")
 def q_densify(spark, base):
-    return _dense_means(spark, base).select("report_month", "month", "location", _r6("value"))
+    dense, _ = _dense_means(spark, base)
+    return dense.select("report_month", "month", "location", _r6("value"))
 
 
 def _rollup_only(spark, base, rollups):
-    dense = _dense_means(spark, base)
-    r = rollup.rollup_values(dense, S.rollups_df(spark, rollups), ["report_month", "month"])
+    dense, locations = _dense_means(spark, base)
+    r = rollup.rollup_values(dense, S.rollups_df(spark, rollups), ["report_month", "month"], locations=locations)
     return r.select("report_month", "month", "location", _r6("value"))
 
 
@@ -264,8 +273,8 @@ def q_rollup_strict(spark, base):
 
 @register("rollup_guard")
 def q_rollup_guard(spark, base):
-    dense = _dense_means(spark, base)
-    out = rollup.apply_rollups(dense, S.rollups_df(spark, S.TEST_ROLLUPS), ["report_month", "month"])
+    dense, locations = _dense_means(spark, base)
+    out = rollup.apply_rollups(dense, S.rollups_df(spark, S.TEST_ROLLUPS), ["report_month", "month"], locations=locations)
     return out.select("report_month", "month", "location", _r6("value"))
 
 
@@ -284,7 +293,7 @@ def q_report_provider(spark, base):
 def q_report_from_payloads(spark, base):
     out = providers.report_provider_from_payloads(
         S.report_payloads(spark, base), S.rollups_df(spark, S.TEST_ROLLUPS), S.renames_df(spark),
-        S.CALENDAR_START, S.CALENDAR_AS_OF)
+        S.CALENDAR_START, S.CALENDAR_AS_OF, item="main")
     return out.select("report_date", "issue_date", "month", "location", _r6("value"))
 
 
@@ -312,17 +321,16 @@ def _three_sources(spark, base):
     c = read_table(spark, base, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
     p = read_table(spark, base, "part", ["p_partkey", "p_type"])
     n = S.nations(spark, base).select("n_nationkey", "n_name")
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-    keys = [F.col("o_orderdate").cast("date").alias("report_date"),
-            F.trunc(F.col("l_shipdate").cast("date"), "MM").alias("month")]
-
-    def by(df, loc):
-        return df.groupBy(*keys, F.col(loc).alias("location")).agg(F.sum("l_quantity").alias("value"))
-
-    seg = combine.tag(by(j, "c_mktsegment"), "by_segment")
-    typ = combine.tag(by(j.join(p, j.l_partkey == p.p_partkey), "p_type"), "by_type")
-    nat = combine.tag(by(j.join(n, j.c_nationkey == n.n_nationkey), "n_name"), "by_nation")
-    return combine.combine([seg, typ, nat]).select("source", "report_date", "month", "location", "value")
+    j = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+         .join(p, li.l_partkey == p.p_partkey, "left").join(n, c.c_nationkey == n.n_nationkey))
+    # one pass: every joined line counts for its segment, its type and its nation
+    each = F.array(*[F.struct(F.lit(s).alias("source"), F.col(c).alias("location")) for s, c in (
+        ("by_segment", "c_mktsegment"), ("by_type", "p_type"), ("by_nation", "n_name"))])
+    rows = j.select(F.col("o_orderdate").cast("date").alias("report_date"),
+                    F.trunc(F.col("l_shipdate").cast("date"), "MM").alias("month"),
+                    F.col("p_partkey").isNotNull().alias("has_part"), "l_quantity", F.inline(each))
+    rows = rows.where((F.col("source") != "by_type") | F.col("has_part"))
+    return rows.groupBy("source", "report_date", "month", "location").agg(F.sum("l_quantity").alias("value"))
 
 
 @register("combine_sources")

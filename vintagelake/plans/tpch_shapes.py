@@ -9,8 +9,9 @@ grows with them.  Mapping used throughout:
   nation (urgent orders stamp a bare date, others a date with a time, so the
   text order of stamps matters); a release's points are its line items summed
   per target month.
-* report provider: the report feed is urgent, finished orders; a report exists
-  on each day the feed has an order.
+* report provider: every order is a page of its day's report; the probe for
+  reports sees the feed of urgent, finished orders, so that some candidate
+  days have no report; a record's item is "main" or "other".
 * edition provider: one series per nation ("S" + nation key); open line items
   are forecasts.
 """
@@ -32,6 +33,7 @@ CALENDAR_START = "1995-01-01"
 CALENDAR_AS_OF = "2001-08-01"
 FEED_PRIORITY = "1-URGENT"
 FEED_STATUS = "F"
+OTHER_BELOW = 10.0
 DEBUG_DATASETS = 3
 ROWS_PER_REPORT = 5
 TEST_RENAMES = [("NATION_0", "NATION_ZERO")]
@@ -177,33 +179,40 @@ def available_reports(spark: SparkSession, base: str) -> DataFrame:
 
 def report_rows(spark: SparkSession, base: str) -> DataFrame:
     """report_date, reportDate, month, subRegion, value (with NULLs)."""
-    j = order_lines(spark, base, order_cols=("o_orderpriority", "o_orderstatus"))
-    j = j.filter((F.col("o_orderpriority") == FEED_PRIORITY) & (F.col("o_orderstatus") == FEED_STATUS))
+    j = order_lines(spark, base)
     return j.select(_day("o_orderdate").alias("report_date"), _day("o_orderdate").alias("reportDate"),
                     _month("l_shipdate").alias("month"), F.col("n_name").alias("subRegion"),
                     inject_nulls(F.col("l_quantity"), F.col("n_name")).alias("value"))
 
 
+def item_of(orderdate: str, quantity: str) -> F.Column:
+    """Some days have records of the other item only."""
+    other = (F.dayofmonth(orderdate) % 3 == 0) | (F.col(quantity) < OTHER_BELOW)
+    return F.when(other, F.lit("other")).otherwise(F.lit("main"))
+
+
 def report_payloads(spark: SparkSession, base: str) -> DataFrame:
-    """One JSON payload per feed order (a page of its report day)."""
+    """One JSON payload per order (a page of its report day)."""
     return report_payloads_by_order(spark, base).select("report_date", "payload")
 
 
 def report_payloads_by_order(spark: SparkSession, base: str) -> DataFrame:
     """report_date (the order key, naming the page), payload."""
-    j = order_lines(spark, base, order_cols=("o_orderpriority", "o_orderstatus"))
-    j = j.filter((F.col("o_orderpriority") == FEED_PRIORITY) & (F.col("o_orderstatus") == FEED_STATUS))
+    j = order_lines(spark, base)
     rec = F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("reportDate"),
                    F.date_format(_month("l_shipdate"), "yyyy-MM-dd").alias("month"),
                    F.col("n_name").alias("subRegion"),
-                   inject_nulls(F.col("l_quantity"), F.col("n_name")).alias("value"))
+                   inject_nulls(F.col("l_quantity"), F.col("n_name")).alias("value"),
+                   item_of("o_orderdate", "l_quantity").alias("item"))
     return (j.groupBy("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("report_date"))
             .agg(F.to_json(F.struct(F.collect_list(rec).alias("data"))).alias("payload")))
 
 
 def defect_payloads(spark: SparkSession, base: str) -> DataFrame:
     """Series payloads, one per order, with a defect chosen by order priority:
-    1 -> [], 2 -> [{}], 3 -> not JSON, 4 -> one key that is not a date, 5 -> intact."""
+    1 -> [], 2 -> [{}], 3 -> not JSON, 4 -> one key that is not a date; 5 is
+    intact for orders with key % 4 = 0, else the values are quoted (1), a point
+    with a one-digit date and no number is added (2), or two texts of one day (3)."""
     j = order_lines(spark, base, order_cols=("o_orderpriority",))
     pts = (j.groupBy("o_orderkey", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
                      F.date_format(_month("l_shipdate"), "yyyy-MM-dd").alias("target_raw"))
@@ -211,12 +220,18 @@ def defect_payloads(spark: SparkSession, base: str) -> DataFrame:
     good = F.to_json(F.array(F.struct(F.map_from_entries(F.collect_list(F.struct("target_raw", "value")))
                                       .alias("data"))))
     per = pts.groupBy("o_orderkey", "o_orderpriority", "day").agg(good.alias("good"))
-    pr = F.col("o_orderpriority")
+    pr, kind = F.col("o_orderpriority"), F.col("o_orderkey") % 4
+
+    def added(points: str) -> F.Column:
+        return F.regexp_replace("good", r'^\[\{"data":\{', '[{"data":{' + points + ",")
+
     payload = (F.when(pr == "1-URGENT", F.lit("[]"))
                .when(pr == "2-HIGH", F.lit("[{}]"))
                .when(pr == "3-MEDIUM", F.lit("not json"))
-               .when(pr == "4-NOT SPECIFIED",
-                     F.regexp_replace("good", r'^\[\{"data":\{', '[{"data":{"2024-13-01":1.0,'))
+               .when(pr == "4-NOT SPECIFIED", added('"2024-13-01":1.0'))
+               .when(kind == 1, F.regexp_replace("good", r":(\d+\.\d+)", ':"$1"'))
+               .when(kind == 2, added('"2030-2-1":"n/a"'))
+               .when(kind == 3, added('"2030-02-01":1.0,"2030-02-01T00:00:00":2.0'))
                .otherwise(F.col("good")))
     return per.select(F.col("o_orderkey").cast("string").alias("dataset_id"),
                       F.col("day").alias("release_raw"), payload.alias("payload"))

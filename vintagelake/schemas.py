@@ -9,9 +9,10 @@ REPORT_PAYLOADS = "report_date string, payload string"
 
 # JSON payload bodies.
 RELEASE_INDEX_BODY = "array<struct<metadata:struct<release_dates:array<string>>>>"
-RELEASE_SERIES_BODY = "array<struct<data:map<string,double>>>"
+# values are read as text and cast one by one: one that is no number costs itself only
+RELEASE_SERIES_BODY = "array<struct<data:map<string,string>>>"
 REPORT_BODY = ("struct<data:array<struct<reportDate:string,month:string,"
-               "subRegion:string,value:double,item:string>>>")
+               "subRegion:string,value:string,item:string>>>")
 
 # Long tables after the payloads are parsed.
 RELEASE_INDEX = T.StructType([

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,7 +63,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if named:
         sc.setCheckpointDir(named)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):  # not local-cluster
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for it")
     folder = tempfile.mkdtemp(prefix="vintagelake-ckpt-")
     sc.setCheckpointDir(folder)
@@ -105,6 +106,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return False
 
 
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a folder (Hadoop file system)."""
+    jvm = spark._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(old), jvm.org.apache.hadoop.fs.Path(new)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.rename(source, target):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder recursively; False where no file system access exists."""
     try:

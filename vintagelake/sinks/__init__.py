@@ -8,11 +8,14 @@ truncate fails the write (no append on top of old rows).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vintagelake.operators.combine import refuse_empty, sink_order
+from vintagelake.session import delete_path, path_exists, rename_path
 
 
 def full_refresh_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
@@ -33,13 +36,31 @@ def full_refresh_jdbc(df: DataFrame, url: str, table: str, properties: dict[str,
 
 def full_refresh_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                        allow_empty: bool = False) -> str:
-    """Replace a parquet table (in a shared folder) with ``df``'s rows."""
-    if not allow_empty:
-        refuse_empty(df)
-    writer = df.write.mode("overwrite")
+    """Replace a parquet table (in a shared folder) with ``df``'s rows.
+
+    The new rows are written beside the old table, checked, and then take its
+    place, so a job that fails leaves the old table, and ``df`` may read it.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    try:
+        writer.parquet(new)
+        if not allow_empty:
+            refuse_empty(spark.read.schema(df.schema).parquet(new))  # of what was written: no second run of the plan
+        if path_exists(spark, path):
+            rename_path(spark, path, old)
+        try:
+            rename_path(spark, new, path)
+        except OSError:
+            if path_exists(spark, old):
+                rename_path(spark, old, path)
+            raise
+    finally:
+        delete_path(spark, new)
+    delete_path(spark, old)
     return path
 
 

@@ -1,7 +1,7 @@
 """Dimension tables.
 
 Dimensions are data: every provider takes them as DataFrame arguments.  The
-defaults below are the production values, built as small DataFrames whose size
+defaults below are the published values, built as small DataFrames whose size
 is fixed by construction (so broadcasting them is safe).
 """
 
@@ -13,7 +13,7 @@ from vintagelake import schemas
 from vintagelake.session import local_frame
 
 # ---------------------------------------------------------------------------
-# Fixed values (must equal the production configuration for equal results).
+# Fixed values (must equal the published configuration for equal results).
 # Release provider: dataset id -> location, in the order they are processed.
 # ---------------------------------------------------------------------------
 RELEASE_DATASETS = [
@@ -68,9 +68,8 @@ EDITION_SERIES = [
 ]
 EDITION_FORECAST_FLAG = "Forecast"
 EDITION_SCALE = 1000.0
-EDITION_UNITS = "KBD"
 
-# Report provider: regional rollups, in the order they are applied.
+# Report provider, regional rollups, in the order they are applied.
 # (target, null policy, components); "propagate" = plain a + b, "skip" = row sum
 # that skips missing values and gives 0 when all are missing.
 REPORT_ROLLUPS = [
@@ -86,7 +85,7 @@ REPORT_ROLLUPS = [
                        "Texas Dist 7C", "Texas Dist 8", "Texas Dist 8A", "Texas Dist 9"]),
     ("New Mexico", "skip", ["Permian New Mexico", "New Mexico San Juan"]),
 ]
-# The production job writes the Wyoming sum into the "Utah" column.  This
+# The original job, as published, writes the Wyoming sum into the "Utah" column.  This
 # variant reproduces that output; the default above keeps both regions.
 REPORT_ROLLUPS_AS_DEPLOYED = [
     (("Utah" if target == "Wyoming" else target), policy, components)
@@ -94,9 +93,9 @@ REPORT_ROLLUPS_AS_DEPLOYED = [
 ]
 REPORT_RENAMES = [("United States", "U.S.")]
 REPORT_ITEM = "crudeOilProduction"
-REPORT_ROW_LIMIT = 5000
 REPORT_FALLBACK_DAYS = 7
 
+# Source names of the output.
 SOURCE_NAMES = {"release": "Energy Aspects", "report": "Genscape", "edition": "EIA STEO"}
 
 

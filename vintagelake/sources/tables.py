@@ -8,20 +8,9 @@ from pyspark.sql import functions as F
 from vintagelake.functions import nan_to_null
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, base: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """One parquet table; selecting columns here keeps the scan's ReadSchema narrow.
-
-    The scan (file listing and footer read) is made once per session and path;
-    DataFrames are immutable, so plans can share it.
-    """
-    path = f"{base.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _SCANS.get(key)
-    if df is None:
-        df = _SCANS[key] = spark.read.parquet(path)
+    """One parquet table; selecting columns here keeps the scan's ReadSchema narrow."""
+    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
 
 
@@ -56,8 +45,7 @@ def scan_editions(editions: DataFrame, series, flag: str = "Forecast") -> DataFr
     """
     rows = editions.filter(F.col("is_forecast") == flag)
     if isinstance(series, DataFrame):
-        from vintagelake.operators.joins import dim_join
-        rows = dim_join(rows, series.select("series_id"), "series_id", "left_semi")
+        rows = rows.join(series.select("series_id"), "series_id", "left_semi")
     else:
         rows = rows.filter(F.col("series_id").isin(list(series)))
     return rows.select(
