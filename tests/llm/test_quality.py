@@ -66,7 +66,7 @@ def case():
     return rows + junk + odd, labels
 
 
-@pytest.mark.parametrize("block_bytes", [12 << 20, 20_000])
+@pytest.mark.parametrize("block_bytes", [24 << 20, 20_000])
 def test_losses_against_brute_force(spark, case, block_bytes):
     rows, labels = case
     trusted = quality.trusted_ids(spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))

@@ -165,7 +165,7 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
         "good = 1").select("doc_id")
 
 
-def losses(docs: DataFrame, trusted: DataFrame, folds: int = 5, block_bytes: int = 12 << 20) -> DataFrame:
+def losses(docs: DataFrame, trusted: DataFrame, folds: int = 5, block_bytes: int = 24 << 20) -> DataFrame:
     """doc_id, lang, units and loss (summed, natural logarithm) of every row of
     ``docs``, and trusted: 'train', 'check' or null; written to the shared folder."""
     spark = docs.sparkSession
@@ -197,7 +197,7 @@ def losses(docs: DataFrame, trusted: DataFrame, folds: int = 5, block_bytes: int
 
 
 def judge(docs: DataFrame, labels: DataFrame, folds: int = 5, shrink: int = 400, tails: tuple[float, float] = (0.005, 0.995),
-          margin: float = 1.0, least: int = 50, block_bytes: int = 12 << 20) -> DataFrame:
+          margin: float = 1.0, least: int = 50, block_bytes: int = 24 << 20) -> DataFrame:
     """doc_id, lang, units, perplexity, z and keep of every row of ``docs``
     (doc_id, text, lang); ``labels`` has doc_id, quality and toxic."""
     scored = losses(docs, trusted_ids(labels), folds, block_bytes)
