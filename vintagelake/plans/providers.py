@@ -82,12 +82,22 @@ def edition_cells(editions: DataFrame, series_dim: DataFrame, flag: str = EDITIO
     sums = series_sum(rows, ["report_date", "month", "series_id"])
     dim = series_dim.select("series_id", "location")
     mapped = lookup(sums, dim, "series_id", "left")
-    # the sums are spread by their keys already; the check folds them once more
-    mapped = unique_cells(mapped, KEYS, "location")
+    # Sums are unique per series; when the dimension maps ids one-to-one onto
+    # locations and only its ids are scanned, cells are unique by construction
+    # and the small dimension is checked instead of every cell.
+    if not _one_to_one(dim, series_ids):
+        mapped = unique_cells(mapped, KEYS, "location")
     return mapped.select(*KEYS, "location", "value",
                          F.when(F.col("location").isNotNull(), F.col("report_date")).alias("issue_date"))
 
 
+def _one_to_one(dim: DataFrame, ids: list[str] | None) -> bool:
+    """Every scanned id maps to exactly one location and no location twice."""
+    listed = F.lit(True) if ids is None else F.array_size(F.array_except(F.lit(ids), F.collect_set("series_id"))) == 0
+    return dim.agg((F.count(F.lit(1)) == F.countDistinct("series_id")).alias("a"),
+                   (F.count(F.lit(1)) == F.countDistinct("location")).alias("b"), listed.alias("c")).where("a AND b AND c").count() == 1
+
+
 def edition_provider(editions: DataFrame, series_dim: DataFrame, flag: str = EDITION_FORECAST_FLAG,
                      scale: float = EDITION_SCALE, series_ids: list[str] | None = None,
                      strict: bool = True, stage=stage) -> DataFrame:

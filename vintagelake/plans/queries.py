@@ -86,9 +86,9 @@ def q_edition_provider(spark, base):
 def q_csv_snapshot(spark, base):
     """Edition provider, wide with Mon-YY labels and sorted location columns,
     written as a dated CSV snapshot and read back."""
-    long = providers.edition_provider(S.editions(spark, base), S.series_dim(spark, base))
+    cells = providers.stage(providers.edition_cells(S.editions(spark, base), S.series_dim(spark, base)), "cells")
     locations = reshape.observed_values(S.series_dim(spark, base), "location")
-    wide = reshape.wide_view(long, ["report_date", "month"], locations, fmt="MMM-yy")
+    wide = reshape.wide_view(cells, ["report_date", "month"], locations, fmt="MMM-yy")
     wide = wide.withColumnRenamed("report_date", "reportDate")
     path = shared_path(spark, "snapshots", uuid.uuid4().hex)
     written = write_csv_snapshot(wide, path, run_date="20240101")
