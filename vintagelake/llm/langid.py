@@ -164,15 +164,20 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
         F.col("text").isNotNull() & F.col("lang").isNotNull() & ~is_held_out(F.col("doc_id"), folds)
         & F.col("text").rlike(r"\p{L}"))
 
+    sizes = stage(usable.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    n = sizes.agg(F.sum("n")).first()[0] or 0
     held = document_frequencies(usable.select("text")).toArrow()  # at most FEATURES rows
-    n = usable.count()
     df = np.zeros(FEATURES)
     df[held["feature"].to_numpy()] = held["df"].to_numpy()
     idf = np.log((1 + n) / (1 + df)) + 1
 
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = stage(usable.select("lang", "doc_id").withColumn("rank", F.row_number().over(by_hash))
-                   .where(F.col("rank") <= per_class)
+    # ids are ranked by a number in [0, 1); a share that holds about four times the
+    # sample is cut off first, so that what one task ranks does not grow with the corpus
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))
+    ranked = usable.select("lang", "doc_id", place.alias("place")).join(sizes, "lang").where(
+        F.col("place") < 4.0 * per_class / F.col("n")).select("lang", "doc_id", "place").distinct()
+    by_place = Window.partitionBy("lang").orderBy("place", "doc_id")
+    chosen = stage(ranked.withColumn("rank", F.row_number().over(by_place)).where(F.col("rank") <= per_class)
                    .groupBy("doc_id").agg(F.min("rank").alias("rank")).withColumnRenamed("doc_id", "chosen"), "sample")
     sample = usable.join(chosen, usable["doc_id"] == chosen["chosen"]).select("lang", "text", "rank")
 
