@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from vintagelake.functions import label
 from vintagelake.schemas import SINK_COLUMNS, VINTAGE_COLUMNS
@@ -44,6 +45,22 @@ def sink_order(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols])
 
 
+def with_place(ordered: DataFrame, stage, name: str = "place") -> DataFrame:
+    """Rows of a sorted frame with their place in it, from 1.
+
+    The rows are written (``stage``) with their number inside their partition;
+    the partitions' sizes, one row each, give what lies before them.  No task
+    sees more than its own partition.
+    """
+    written = stage(ordered.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    part, inside = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = written.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (written.withColumn("_part", part).join(F.broadcast(sizes), "_part")  # a row per partition
+            .withColumn(name, F.col("_before") + inside + 1).drop("_part", "_before", "_at"))
+
+
 def sink_rows(df: DataFrame, fmt: str = "yyyy-MM") -> DataFrame:
     """Canonical rows -> (reportDate, month, location, value, source) with date labels.
 

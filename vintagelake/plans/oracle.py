@@ -292,7 +292,8 @@ LEFT JOIN ms m ON m.report_month = k.report_month AND m.month = k.month AND m.lo
                            "strftime(o_orderdate, '%Y-%m') AS label_ym, "
                            "strftime(o_orderdate, '%b-%y') AS label_mon FROM orders")
 
-    sql["combine_sources"] = f"WITH {OL}, {_three_sources()} SELECT * FROM cs"
+    sql["combine_sources"] = (f"WITH {OL}, {_three_sources()} SELECT *, row_number() OVER (ORDER BY source NULLS LAST, "
+                              f"report_date NULLS LAST, month NULLS LAST, location NULLS LAST) AS place FROM cs")
     sql["rows_per_source"] = (f"WITH {OL}, {_three_sources()} SELECT source, count(*) AS n_rows FROM cs "
                               f"GROUP BY ROLLUP (source)")
     sql["combined_vintage"] = f"{_combined()} SELECT * FROM cv"

@@ -335,7 +335,8 @@ def _three_sources(spark, base):
 
 @register("combine_sources")
 def q_combine_sources(spark, base):
-    return combine.sink_order(_three_sources(spark, base))
+    """The union of three sources with each row's place in the sink's order."""
+    return combine.with_place(combine.sink_order(_three_sources(spark, base)), providers.stage)
 
 
 @register("rows_per_source")
