@@ -25,7 +25,7 @@ def test_each_stage_keeps_what_its_operator_decides(spark):
     after = corpus_pipeline.language_id(spark, docs, SF_SMALL)
     seen = langid.identify(docs).collect()
     kept = {r["doc_id"] for r in after.select("doc_id").collect()}
-    assert after.columns == columns and kept == {r["doc_id"] for r in seen if r["lang_pred"] != "und" and r["score"] >= 0.5}
+    assert after.columns == columns and kept == {r["doc_id"] for r in seen if r["lang_pred"] != "und" and r["score"] >= corpus_pipeline.LEAST_SCORE}
 
     after = corpus_pipeline.near_dedup(spark, docs, SF_SMALL)
     classes = simhash.near_duplicates(docs).collect()
