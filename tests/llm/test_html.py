@@ -37,3 +37,27 @@ def test_operator(spark):
     long = "\n".join(["w"] * 20_000)
     assert got == sorted([(1, "u", CASES[4][1], 11), (1, "u", CASES[4][1], 11), (None, None, "", 0), (2, "v", long, 39_999)], key=str)
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_ratios_decide_on_pages_with_an_article():
+    long = " ".join(["Words of the page that stand in its text."] * 6)
+    teaser = "<article><h3><a href=/n>Next</a></h3><p><a href=/n>Go on</a></article>"
+    assert html_text.main_text(f"<body><div><h1>T</h1><p>{long}<p>{long}<p>End.</div>{teaser}") == f"T\n{long}\n{long}\nEnd."
+    split = html_text.main_text(f"<body><article><h1>T</h1><p>{long}</article><div><p>{long}<p>{long}</div>")
+    assert split == f"T\n{long}\n{long}\n{long}"
+    assert html_text.main_text(f"<body><p>A short remark.</p><article><p>{long}</article>") == long
+
+
+def test_names_of_articles_are_checked():
+    long = " ".join(["Words of the page that stand in its text."] * 6)
+    comment = f"<article class='comment odd'><p>{long} No!</article>"
+    assert html_text.main_text(f"<article class='post tag-social'><p>{long}</article>{comment}") == long
+    assert html_text.main_text(f"<nav>menu</nav><main class='search'><p>{long}</main>") == long
+
+
+def test_marks_are_not_needed():
+    nav = "<nav><ul>" + "".join(f"<li><a href=/{i}>go {i}</a>" for i in range(9)) + "</ul></nav>"
+    page = f"{nav}<div class=ad>Buy more of it.</div><article><h1>T</h1><p>{'word ' * 60}<p>Yes.</article><footer>{'foot ' * 50}</footer>"
+    want = "\n".join(["T", ("word " * 60).strip(), "Yes."])
+    assert html_text.main_text(page) == want
+    assert html_text.main_text(page.replace("article", "div")) == want
