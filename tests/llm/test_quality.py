@@ -100,3 +100,19 @@ def test_without_labels_or_documents(spark, none, odd):
     got = quality.judge(odd, labels).collect()
     assert {r["keep"] for r in got if r["units"] > 1} == {True}
     assert {r["keep"] for r in got if r["units"] == 1} == {False}
+
+
+def test_a_small_language_with_high_loss(spark):
+    """Its documents are judged by one rule: none is held against another language's upper end."""
+    rnd = random.Random(3)
+    rows = [(i, prose(rnd, rnd.randrange(20, 60)), "en", "s") for i in range(900)]
+    rows += [(5000 + i, "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(rnd.randrange(200, 500))), "xx", "s")
+             for i in range(100)]
+    rows += [(9000 + i, "%%% &&& $$$ ### " * 20, "xx", "s") for i in range(3)]
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in rows if r[0] < 9000 and r[0] % 10], "doc_id long, quality int, toxic int")
+    for size in (12, 80, 1000):
+        some = [r for r in rows if not 5000 + size <= r[0] < 9000]
+        got = {r["doc_id"]: r for r in quality.judge(make_docs(spark, some), labels, margin=0.25).collect()}
+        small = [r for r in got.values() if r["lang"] == "xx" and r["doc_id"] < 9000]
+        assert sum(r["keep"] for r in small) >= 0.97 * len(small)
+        assert not any(r["keep"] for r in got.values() if r["doc_id"] >= 9000)

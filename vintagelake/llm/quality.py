@@ -18,14 +18,18 @@ rejected if z lies outside the quantiles ``tails`` of the trusted documents of
 its language, widened by ``margin`` times their range.  Both tails count: text of
 a few repeated words is as far from the trusted as text of odd symbols.
 
-Part of the trusted documents (one in ``folds``, by id hash) is not trained on.
-Median and upper quantile are taken from these, since trained texts look too
-good; the lower quantile, for the same reason, from those trained on.  A
-language with fewer than ``least`` of them takes those of all languages.
+Part of the trusted documents of each language, by id hash, is not trained on: one
+in ``folds``, or as many as make ``least`` of them, but at most half.  Trained texts
+look too good, so they are held against the median of the trained ones of their
+language and all others against that of the rest.  So measured, all trusted
+documents of a language give both its quantiles, however many they are: means
+of their own quantiles, with a weight of their number, and of those of all
+languages, with a weight of ``least``.  Both ends move together, and nothing
+switches at some size.
 
 Defined results: a null or empty text has no perplexity and is rejected;
 a document without a language, or in one without trusted documents, is held
-against the quantiles of all; without any trusted document nothing but texts
+against the median and quantiles of all texts together; without any trusted document nothing but texts
 without content is rejected; repeated rows are scored each; a doc_id with
 several labels is trusted if all of them are; rows with a null id cannot be.
 """
@@ -165,16 +169,27 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
         "good = 1").select("doc_id")
 
 
-def losses(docs: DataFrame, trusted: DataFrame, folds: int = 5, block_bytes: int = 24 << 20) -> DataFrame:
+def dealt(docs: DataFrame, trusted: DataFrame, folds: int, least: int) -> DataFrame:
+    """trusted_id and check (whether it is not trained on) of the trusted documents in ``docs``."""
+    named = docs.select("doc_id", "lang").join(trusted, "doc_id").groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    sizes = named.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "of")
+    share = F.least(F.lit(0.5), F.greatest(F.lit(1.0 / folds), F.lit(float(least)) / F.col("n")))
+    place = F.pmod(F.shiftright(F.xxhash64("doc_id"), 32), F.lit(1 << 20)) / F.lit(1 << 20)
+    return stage(named.join(sizes, named["lang"].eqNullSafe(sizes["of"])).select(
+        F.col("doc_id").alias("trusted_id"), (place < share).alias("check")), "folds")
+
+
+def losses(docs: DataFrame, trusted: DataFrame, folds: int = 5, block_bytes: int = 24 << 20, least: int = 50) -> DataFrame:
     """doc_id, lang, units and loss (summed, natural logarithm) of every row of
     ``docs``, and trusted: 'train', 'check' or null; written to the shared folder."""
     spark = docs.sparkSession
     ship(spark)
     blocks = max(1, -(-text_bytes(docs) // block_bytes))
     key = F.xxhash64("doc_id")
-    check = F.pmod(F.shiftright(key, 32), F.lit(folds)) == 0
+    fold = dealt(docs, trusted, folds, least)
     own = docs.select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"), F.pmod(key, F.lit(blocks)).alias("block"))
-    train = trusted.where(~check).select(F.col("doc_id").alias("trusted"), F.pmod(key, F.lit(blocks)).alias("block"))
+    train = fold.where(~F.col("check")).select(
+        F.col("trusted_id").alias("trusted"), F.pmod(F.xxhash64("trusted_id"), F.lit(blocks)).alias("block"))
 
     def distinct(mine: pd.DataFrame, ids: pd.DataFrame) -> pd.DataFrame:
         if mine.empty:
@@ -192,7 +207,7 @@ def losses(docs: DataFrame, trusted: DataFrame, folds: int = 5, block_bytes: int
     id_type, lang_type = (own.schema[c].dataType.simpleString() for c in ("doc_id", "lang"))
     scored = by_block.cogroup(known.groupBy("block")).applyInPandas(
         scores, f"doc_id {id_type}, lang {lang_type}, units long, loss double")
-    marked = trusted.select(F.col("doc_id").alias("trusted_id"), F.when(check, "check").otherwise("train").alias("trusted"))
+    marked = fold.select("trusted_id", F.when(F.col("check"), "check").otherwise("train").alias("trusted"))
     return stage(scored.join(marked, scored["doc_id"] == marked["trusted_id"], "left").drop("trusted_id"), "losses")
 
 
@@ -200,31 +215,36 @@ def judge(docs: DataFrame, labels: DataFrame, folds: int = 5, shrink: int = 400,
           margin: float = 1.0, least: int = 50, block_bytes: int = 24 << 20) -> DataFrame:
     """doc_id, lang, units, perplexity, z and keep of every row of ``docs``
     (doc_id, text, lang); ``labels`` has doc_id, quality and toxic."""
-    scored = losses(docs, trusted_ids(labels), folds, block_bytes)
+    scored = losses(docs, trusted_ids(labels), folds, block_bytes, least)
     mean = F.col("loss") / F.col("units")
     scored = scored.withColumn("mean", F.when(F.col("units") > 1, mean))
-    some = scored.where("trusted = 'check' AND mean IS NOT NULL")
-
-    def by_language(rows: DataFrame, value: str, shares: list[float]) -> tuple[DataFrame, list[float | None]]:
-        """Quantiles for each language with enough documents, and those of all together."""
-        q = F.percentile_approx(value, shares, 10000)
-        every = rows.agg(q.alias("q")).first()["q"] or [None] * len(shares)
-        own = rows.where("lang IS NOT NULL").groupBy(F.col("lang").alias("known")).agg(F.count("*").alias("n"), q.alias("q"))
-        return stage(own.where(F.col("n") >= least).select("known", "q"), "quantiles"), every
-
-    def with_quantiles(rows: DataFrame, table: DataFrame, every: list[float | None]) -> tuple:
-        joined = rows.join(table, rows["lang"] == table["known"], "left")
-        return joined.drop("known", "q").columns, joined, [
-            F.coalesce(F.col("q")[i], F.lit(v).cast("double")) for i, v in enumerate(every)]
-
-    own, joined, (median,) = with_quantiles(scored, *by_language(some, "mean", [0.5]))
-    z = (F.col("mean") - median) * F.sqrt(F.col("units") / (F.col("units") + F.lit(shrink)))
-    scored = stage(joined.select(*own, z.alias("z")), "z")
-    own, joined, (low,) = with_quantiles(
-        scored, *by_language(scored.where("trusted = 'train' AND z IS NOT NULL"), "z", [tails[0]]))
-    _, joined, (high,) = with_quantiles(
-        joined.select(*own, low.alias("low")), *by_language(scored.where("trusted = 'check' AND z IS NOT NULL"), "z", [tails[1]]))
-    low = F.col("low")
+    trusted = "trusted IS NOT NULL AND mean IS NOT NULL"
+
+    def quantiles(value: str | Column, shares: list[float]) -> Column:
+        return F.percentile_approx(value, shares, 10000)
+
+    some = scored.where(trusted)
+    (middle,) = some.agg(quantiles("mean", [0.5]).alias("q")).first()["q"] or [None]
+    own = some.where("lang IS NOT NULL").groupBy(F.col("lang").alias("known"))
+    trained, rest = (quantiles(F.when(F.col("trusted") == t, F.col("mean")), [0.5])[0] for t in ("train", "check"))
+    medians = stage(own.agg(F.coalesce(trained, rest).alias("trained"), F.coalesce(rest, trained).alias("rest")), "medians")
+    shrunk = F.sqrt(F.col("units") / (F.col("units") + F.lit(shrink)))
+    everywhere = (F.col("mean") - F.lit(middle).cast("double")) * shrunk  # without languages
+    scored = scored.join(medians, scored["lang"] == medians["known"], "left")
+    median = F.when(F.col("trusted") == "train", F.col("trained")).otherwise(F.col("rest"))
+    scored = stage(scored.withColumn("z", F.coalesce((F.col("mean") - median) * shrunk, everywhere)), "z")
+
+    some = scored.where(trusted)
+    ends = some.agg(quantiles(everywhere, [*tails]).alias("every"),
+                    quantiles(F.when(F.col("known").isNotNull(), F.col("z")), [*tails]).alias("centred")).first()
+    every, centred = (ends[c] or [None, None] for c in ("every", "centred"))
+    own = some.where("known IS NOT NULL").groupBy(F.col("known").alias("of")).agg(
+        F.count("*").alias("n"), quantiles("z", [*tails]).alias("q"))
+    bounds = stage(own.select("of", *[
+        ((F.col("n") * F.col("q")[i] + F.lit(least) * F.lit(centred[i]).cast("double")) / (F.col("n") + F.lit(least))).alias(c)
+        for i, c in enumerate(("own_low", "own_high"))]), "quantiles")
+    joined = scored.join(bounds, scored["known"] == bounds["of"], "left")
+    low, high = (F.coalesce(c, F.lit(v).cast("double")) for c, v in zip(("own_low", "own_high"), every, strict=True))
     wide = F.lit(margin) * (high - low)
     inside = F.coalesce(F.col("z").between(low - wide, high + wide), F.lit(True))
     return joined.select("doc_id", "lang", "units", F.exp("mean").alias("perplexity"), "z",
