@@ -116,3 +116,18 @@ def test_a_small_language_with_high_loss(spark):
         small = [r for r in got.values() if r["lang"] == "xx" and r["doc_id"] < 9000]
         assert sum(r["keep"] for r in small) >= 0.97 * len(small)
         assert not any(r["keep"] for r in got.values() if r["doc_id"] >= 9000)
+
+
+def test_repeated_words_are_rejected(spark, case):
+    rows, labels = case
+    words = [(7000 + i, f"{w} " * 150, "en", "s") for i, w in enumerate(["harbour", "the quiet stone", "fish", "cold dark"])]
+    got = {r["doc_id"]: r for r in quality.judge(
+        make_docs(spark, rows + words), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert not any(got[i]["keep"] for i in range(7000, 7004)) and all(got[i]["keep"] for i in range(240))
+
+
+def test_distinct_in_windows():
+    rnd = np.random.default_rng(0)
+    texts = [rnd.integers(0, 40, n) for n in (1, 5, 256, 257, 3000, 512)]
+    want = [sum(len(set(t[i:i + 256])) for i in range(0, len(t), 256)) for t in texts]
+    assert quality.distinct_in_windows(np.concatenate(texts), np.array([len(t) for t in texts])).tolist() == want

@@ -15,8 +15,13 @@ A document's score is its mean log loss per unit, as a distance from the middle
 of its language's trusted documents, shrunk for short texts, whose mean varies
 more by chance: z = (loss - median) * sqrt(n / (n + ``shrink``)).  It is
 rejected if z lies outside the quantiles ``tails`` of the trusted documents of
-its language, widened by ``margin`` times their range.  Both tails count: text of
-a few repeated words is as far from the trusted as text of odd symbols.
+its language, widened by ``margin`` times their range.
+
+A model of ``ORDER`` units does not see that a word is repeated over and over, so
+repetition is measured beside it: the share of distinct n-grams among those of
+each ``WINDOW`` units, over the whole text, as a distance from the middle in the
+same way.  Below the lower quantile, by more than ``margin`` times its distance from
+the middle, a document is rejected.
 
 Part of the trusted documents of each language, by id hash, is not trained on: one
 in ``folds``, or as many as make ``least`` of them, but at most half.  Trained texts
@@ -48,6 +53,7 @@ from vintagelake.llm.common import ship, stage, text_bytes
 ORDER = 4  # units of 16 bits: an n-gram is one 64-bit number, its last unit lowest
 START, END = 2, 3  # control characters that stand before and after a text
 MAX_UNITS = 1 << 20  # n-grams handled at a time
+WINDOW = 256  # units in which repetition is looked for
 
 
 def units_of(text: str) -> np.ndarray:
@@ -94,19 +100,33 @@ def block_ngrams(docs: pd.DataFrame, trusted: set) -> pd.DataFrame:
     return every.astype({"n": "int64"})
 
 
+def distinct_in_windows(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For texts of ``sizes`` n-grams each, whose numbers follow each other in
+    ``codes``: the distinct ones in each window of a text, added up."""
+    rows = -(-sizes // WINDOW)
+    first = np.cumsum(rows) - rows
+    shift = first * WINDOW - (np.cumsum(sizes) - sizes)
+    windows = np.full((int(rows.sum()), WINDOW), -1, dtype=np.int32)
+    windows.reshape(-1)[np.arange(len(codes)) + np.repeat(shift, sizes)] = codes
+    windows.sort(axis=1)
+    each = (windows[:, 0] >= 0).astype(np.int64)
+    each += ((windows[:, 1:] != windows[:, :-1]) & (windows[:, 1:] >= 0)).sum(axis=1)
+    return np.add.reduceat(each, first)
+
+
 def block_scores(docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-    """Units and log loss of each document, from its block's log probabilities."""
+    """Units, log loss and distinct n-grams in windows of each document, from its block's log probabilities."""
     known = known.sort_values("gram")
     grams, logp = known["gram"].to_numpy(), known["logp"].to_numpy()
-    loss, count = np.zeros(len(docs)), np.zeros(len(docs), dtype=np.int64)
+    loss, count, fresh = np.zeros(len(docs)), np.zeros(len(docs), dtype=np.int64), np.zeros(len(docs), dtype=np.int64)
     for held in pieces(docs["text"].tolist()):
         codes, distinct = pd.factorize(np.concatenate([g for _, g in held]))
         each = logp[np.searchsorted(grams, distinct)][codes]
         sizes = np.array([len(g) for _, g in held])
         sums = np.add.reduceat(each, np.cumsum(sizes) - sizes)
-        for (i, g), s in zip(held, sums, strict=True):
-            loss[i], count[i] = -s, len(g)
-    return pd.DataFrame({"doc_id": docs["doc_id"], "lang": docs["lang"], "units": count, "loss": loss})
+        for (i, g), s, f in zip(held, sums, distinct_in_windows(codes, sizes), strict=True):
+            loss[i], count[i], fresh[i] = -s, len(g), f
+    return pd.DataFrame({"doc_id": docs["doc_id"], "lang": docs["lang"], "units": count, "loss": loss, "fresh": fresh})
 
 
 def suffix(gram: Column, n: int) -> Column:
@@ -180,8 +200,8 @@ def dealt(docs: DataFrame, trusted: DataFrame, folds: int, least: int) -> DataFr
 
 
 def losses(docs: DataFrame, trusted: DataFrame, folds: int = 5, block_bytes: int = 24 << 20, least: int = 50) -> DataFrame:
-    """doc_id, lang, units and loss (summed, natural logarithm) of every row of
-    ``docs``, and trusted: 'train', 'check' or null; written to the shared folder."""
+    """doc_id, lang, units, loss (summed, natural logarithm) and fresh (distinct
+    n-grams in each window, summed) of every row of ``docs``, and trusted: 'train', 'check' or null; written to the shared folder."""
     spark = docs.sparkSession
     ship(spark)
     blocks = max(1, -(-text_bytes(docs) // block_bytes))
@@ -206,46 +226,68 @@ def losses(docs: DataFrame, trusted: DataFrame, folds: int = 5, block_bytes: int
     known = grams.select("block", "gram").join(probabilities(types), "gram")
     id_type, lang_type = (own.schema[c].dataType.simpleString() for c in ("doc_id", "lang"))
     scored = by_block.cogroup(known.groupBy("block")).applyInPandas(
-        scores, f"doc_id {id_type}, lang {lang_type}, units long, loss double")
+        scores, f"doc_id {id_type}, lang {lang_type}, units long, loss double, fresh long")
     marked = fold.select("trusted_id", F.when(F.col("check"), "check").otherwise("train").alias("trusted"))
     return stage(scored.join(marked, scored["doc_id"] == marked["trusted_id"], "left").drop("trusted_id"), "losses")
 
 
 def judge(docs: DataFrame, labels: DataFrame, folds: int = 5, shrink: int = 400, tails: tuple[float, float] = (0.005, 0.995),
-          margin: float = 1.0, least: int = 50, block_bytes: int = 24 << 20) -> DataFrame:
+          margin: float = 0.5, least: int = 50, block_bytes: int = 24 << 20) -> DataFrame:
     """doc_id, lang, units, perplexity, z and keep of every row of ``docs``
     (doc_id, text, lang); ``labels`` has doc_id, quality and toxic."""
     scored = losses(docs, trusted_ids(labels), folds, block_bytes, least)
-    mean = F.col("loss") / F.col("units")
-    scored = scored.withColumn("mean", F.when(F.col("units") > 1, mean))
+    has_text = F.col("units") > 1
+    scored = scored.withColumns({"mean": F.when(has_text, F.col("loss") / F.col("units")),
+                                 "share": F.when(has_text, F.col("fresh") / F.col("units"))})
     trusted = "trusted IS NOT NULL AND mean IS NOT NULL"
+    # each distance, of what, and the quantiles that bound it
+    measures = {"z": ("mean", [*tails]), "fresh_z": ("share", [tails[0]])}
 
     def quantiles(value: str | Column, shares: list[float]) -> Column:
         return F.percentile_approx(value, shares, 10000)
 
     some = scored.where(trusted)
-    (middle,) = some.agg(quantiles("mean", [0.5]).alias("q")).first()["q"] or [None]
+    middle = some.agg(*[quantiles(of, [0.5])[0].alias(of) for of, _ in measures.values()]).first()
     own = some.where("lang IS NOT NULL").groupBy(F.col("lang").alias("known"))
-    trained, rest = (quantiles(F.when(F.col("trusted") == t, F.col("mean")), [0.5])[0] for t in ("train", "check"))
-    medians = stage(own.agg(F.coalesce(trained, rest).alias("trained"), F.coalesce(rest, trained).alias("rest")), "medians")
+
+    def median(of: str, kind: str) -> Column:
+        return quantiles(F.when(F.col("trusted") == kind, F.col(of)), [0.5])[0]
+
+    medians = stage(own.agg(*[c for of, _ in measures.values() for c in (
+        F.coalesce(median(of, "train"), median(of, "check")).alias(f"{of}_train"),
+        F.coalesce(median(of, "check"), median(of, "train")).alias(f"{of}_rest"))]), "medians")
     shrunk = F.sqrt(F.col("units") / (F.col("units") + F.lit(shrink)))
-    everywhere = (F.col("mean") - F.lit(middle).cast("double")) * shrunk  # without languages
+
+    def everywhere(of: str) -> Column:  # without languages
+        return (F.col(of) - F.lit(middle[of]).cast("double")) * shrunk
+
+    def distance(of: str) -> Column:
+        held_against = F.when(F.col("trusted") == "train", F.col(f"{of}_train")).otherwise(F.col(f"{of}_rest"))
+        return F.coalesce((F.col(of) - held_against) * shrunk, everywhere(of))
+
     scored = scored.join(medians, scored["lang"] == medians["known"], "left")
-    median = F.when(F.col("trusted") == "train", F.col("trained")).otherwise(F.col("rest"))
-    scored = stage(scored.withColumn("z", F.coalesce((F.col("mean") - median) * shrunk, everywhere)), "z")
+    scored = stage(scored.withColumns({z: distance(of) for z, (of, _) in measures.items()}), "z")
 
     some = scored.where(trusted)
-    ends = some.agg(quantiles(everywhere, [*tails]).alias("every"),
-                    quantiles(F.when(F.col("known").isNotNull(), F.col("z")), [*tails]).alias("centred")).first()
-    every, centred = (ends[c] or [None, None] for c in ("every", "centred"))
+    ends = some.agg(*[c for z, (of, shares) in measures.items() for c in (
+        quantiles(everywhere(of), shares).alias(f"{z}_every"),
+        quantiles(F.when(F.col("known").isNotNull(), F.col(z)), shares).alias(f"{z}_centred"))]).first()
     own = some.where("known IS NOT NULL").groupBy(F.col("known").alias("of")).agg(
-        F.count("*").alias("n"), quantiles("z", [*tails]).alias("q"))
-    bounds = stage(own.select("of", *[
-        ((F.col("n") * F.col("q")[i] + F.lit(least) * F.lit(centred[i]).cast("double")) / (F.col("n") + F.lit(least))).alias(c)
-        for i, c in enumerate(("own_low", "own_high"))]), "quantiles")
+        F.count("*").alias("n"), *[quantiles(z, shares).alias(f"{z}_q") for z, (_, shares) in measures.items()])
+
+    def bound(z: str, i: int) -> Column:
+        centred = F.lit((ends[f"{z}_centred"] or [None, None])[i]).cast("double")
+        return (F.col("n") * F.col(f"{z}_q")[i] + F.lit(least) * centred) / (F.col("n") + F.lit(least))
+
+    bounds = stage(own.select("of", *[bound(z, i).alias(f"{z}_{i}") for z, (_, shares) in measures.items()
+                                      for i in range(len(shares))]), "quantiles")
     joined = scored.join(bounds, scored["known"] == bounds["of"], "left")
-    low, high = (F.coalesce(c, F.lit(v).cast("double")) for c, v in zip(("own_low", "own_high"), every, strict=True))
-    wide = F.lit(margin) * (high - low)
-    inside = F.coalesce(F.col("z").between(low - wide, high + wide), F.lit(True))
+
+    def end(z: str, i: int) -> Column:
+        return F.coalesce(F.col(f"{z}_{i}"), F.lit((ends[f"{z}_every"] or [None, None])[i]).cast("double"))
+
+    wide = F.lit(margin) * (end("z", 1) - end("z", 0))
+    inside = F.coalesce(F.col("z").between(end("z", 0) - wide, end("z", 1) + wide), F.lit(True))
+    varied = F.coalesce(F.col("fresh_z") >= end("fresh_z", 0) * F.lit(1 + margin), F.lit(True))
     return joined.select("doc_id", "lang", "units", F.exp("mean").alias("perplexity"), "z",
-                         (F.col("mean").isNotNull() & inside).alias("keep"))
+                         (F.col("mean").isNotNull() & inside & varied).alias("keep"))
