@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pandas as pd
 import pytest
@@ -46,3 +47,17 @@ def test_repeated_rows_single_rows_and_empty_tables(spark, none, odd, odd_rows):
 def test_no_python_in_the_plan(odd):
     plan = imatch.digest(imatch.fingerprints(odd))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_near_edited_of_copies_and_of_a_rare_language(spark):
+    """Texts without lexicon terms, each followed by a text that has many."""
+    rnd = random.Random(2)
+    rows = []
+    for i in range(600):
+        rows.append((2 * i + 1, " ".join(f"w{rnd.randrange(300)}" for _ in range(80)), "en", "a"))
+    copy = " ".join(f"same{i}" for i in range(80))
+    rows += [(2 * i, copy, "en", "a") for i in range(300)]
+    rows += [(2 * i, " ".join(f"rare{i}x{j}" for j in range(80)), "xx", "a") for i in range(300, 310)]
+    got = {r["doc_id"]: r["near_edited"] for r in imatch.fingerprints(make_docs(spark, rows)).collect()}
+    for ids in ([2 * i for i in range(300)], [2 * i for i in range(300, 310)]):
+        assert sum(got[i] for i in ids) / len(ids) > 0.15

@@ -15,9 +15,10 @@ is found inside blocks of consecutive ids; blocks hold about ``block_bytes`` of
 text, and a block's last row takes the first text of the following block.
 
 Defined results: a null text is empty; a text without terms has the marker of
-an empty subset in every place, and is like another such text (1.0); a text
-with fewer than ``FEW`` lexicon terms uses its other terms as well (all of
-them, or of more than 16 a share chosen by hash); rows are ordered by doc_id,
+an empty subset in every place, and is like another such text (1.0); every
+text uses its lexicon terms and those of its other terms that a hash puts in
+one of ``RATE`` parts, and if that leaves none, the one with the smallest hash; document
+frequencies are counted over distinct texts; rows are ordered by doc_id,
 nulls first, then by the text's hash; repeated rows are all returned; a single
 row is its own next.
 """
@@ -36,7 +37,7 @@ REPEATS = 8
 SCALES = (2, 4, 6, 8)  # a subset of scale s keeps one term in 2^s
 SUBSETS = 1 + len(SCALES) * REPEATS  # and the whole lexicon
 FEW = 4
-SPARE = 16
+RATE = 2  # of the terms outside the lexicon one in so many is used
 EMPTY = "----"
 
 
@@ -46,7 +47,8 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, low: float, high: float, text: str = "text") -> DataFrame:
-    """Terms that are in at least ``low`` and at most ``high`` of all documents (at least two)."""
+    """Terms that are in at least ``low`` and at most ``high`` of all distinct texts (at least two)."""
+    docs = stage(docs.select(docs[text]).distinct(), "distinct-texts")
     n = docs.count()
     counts = docs.select(F.explode(terms(docs[text])).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     return stage(counts.where(F.col("df").between(max(2.0, low * n), max(2.0, high * n))).select("term"), "lexicon")
@@ -148,15 +150,17 @@ def fingerprints(docs: DataFrame, low: float = 0.002, high: float = 0.1, block_b
     each = rows.select("block", "place", "doc_id", "n_chars",
                        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
                        F.posexplode(versions).alias("version", "terms"))
-    # of the terms outside the lexicon, about SPARE are kept for documents with too few in it
-    each = each.withColumn("spare", F.greatest(F.lit(0), F.floor(F.log2(F.size("terms") / SPARE))).cast("int"))
-    each = each.select("block", "place", "doc_id", "n_chars", "edited_sha256", "version", "spare",
+    placed = F.array_min(F.transform("terms", lambda t: F.xxhash64(t, F.lit(1))))
+    each = each.select("block", "place", "doc_id", "n_chars", "edited_sha256", "version", placed.alias("smallest"),
                        F.explode(F.concat(F.array(F.lit("")), F.col("terms"))).alias("term"))
     known = words.select(F.col("term").alias("known"))
     each = each.join(F.broadcast(known), each["term"] == known["known"], "left")
     named, mid = F.col("term") != "", F.col("known").isNotNull()
-    rest = named & ~mid & (F.pmod(F.xxhash64("term", F.lit(1)), F.call_function("shiftleft", F.lit(1), F.col("spare"))) == 0)
-    each = each.where(~named | mid | rest)
+    # one rule for every text; the term with the smallest hash stands for a text of which none is used
+    place = F.xxhash64("term", F.lit(1))
+    used = named & (mid | (F.pmod(place, F.lit(RATE)) == 0))
+    spare = named & ~used & (place == F.col("smallest"))
+    each = each.where(~named | used | spare)
 
     def ids(condition: Column, v: int) -> Column:
         return F.collect_list(F.when(condition & (F.col("version") == v), F.xxhash64("term")))
@@ -165,9 +169,9 @@ def fingerprints(docs: DataFrame, low: float = 0.002, high: float = 0.1, block_b
     docs_terms = each.groupBy("block", "place").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"),
         F.first("edited_sha256").alias("edited_sha256"), F.max("version").alias("last"),
-        *[ids(mid, v).alias(f"mid{v}") for v in versions], *[ids(rest, v).alias(f"rest{v}") for v in versions])
-    kept = [F.sort_array(F.when(F.size(f"mid{v}") >= FEW, F.col(f"mid{v}")).otherwise(F.concat(f"mid{v}", f"rest{v}")))
-            .alias(f"t{v}") for v in versions]
+        *[ids(used, v).alias(f"used{v}") for v in versions], *[ids(spare, v).alias(f"spare{v}") for v in versions])
+    kept = [F.sort_array(F.when(F.size(f"used{v}") > 0, F.col(f"used{v}")).otherwise(F.col(f"spare{v}"))).alias(f"t{v}")
+            for v in versions]
     prints = docs_terms.select("block", "place", "doc_id", "n_chars", "edited_sha256", "last", *kept)
     prints = prints.select("block", "place", "doc_id", "n_chars", "edited_sha256", hashes(F.col("t0")).alias("fingerprint"),
                            hashes(F.col("t1")).alias("edited_fingerprint"),
