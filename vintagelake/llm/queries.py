@@ -9,13 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintagelake.llm import bpe, chat, decontaminate, html_text, imatch, langid, oracle, quality, sharding, simhash, tokens
+from vintagelake.llm import bpe, chat, decontaminate, html_text, imatch, langid, oracle, quality, sharding, simhash, tokens, urls
 from vintagelake.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
+#: Verdict, host, path.
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode_documents(table(spark, sf_dir, "documents"), WORD_BPE))
@@ -65,6 +69,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.digest(imatch.fingerprints(table(spark, sf_dir, "documents")))
 
 
+def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.digest(urls.judge(table(spark, sf_dir, "pages"), URL_RULES))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -77,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_sharding": op9_sharding,
         "op10_fingerprints": op10_fingerprints,
+        "op13_urls": op13_urls,
     }
 
 
