@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintagelake.llm import bpe, chat, decontaminate, html_text, imatch, langid, oracle, quality, sharding, simhash, tokens, urls
+from vintagelake.llm import bpe, chat, decontaminate, html_text, imatch, langid, oracle, quality, sharding, simhash, tokens, urls, whitening
 from vintagelake.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -69,6 +69,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.digest(imatch.fingerprints(table(spark, sf_dir, "documents")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(table(spark, sf_dir, "embeddings"), most=32)
+
+
 def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.digest(urls.judge(table(spark, sf_dir, "pages"), URL_RULES))
 
@@ -85,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_sharding": op9_sharding,
         "op10_fingerprints": op10_fingerprints,
+        "op11_whitening": op11_whitening,
         "op13_urls": op13_urls,
     }
 
