@@ -9,13 +9,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintagelake.llm import bpe, chat, decontaminate, html_text, imatch, langid, oracle, quality, sharding, simhash, tokens, urls, whitening
+from vintagelake.llm import (
+    alignment, bpe, chat, decontaminate, html_text, imatch, langid, oracle, quality, sharding, simhash, tokens, urls,
+    whitening)
 from vintagelake.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
+BYTE_BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
+
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+
 #: Verdict, host, path.
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -73,6 +79,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.digest(table(spark, sf_dir, "embeddings"), most=32)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned, _ = alignment.alignments(table(spark, sf_dir, "documents"), BYTE_BPE_JSON, public_tokenizers.PATTERN, PIECE_BPE)
+    return aligned
+
+
 def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.digest(urls.judge(table(spark, sf_dir, "pages"), URL_RULES))
 
@@ -90,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_sharding": op9_sharding,
         "op10_fingerprints": op10_fingerprints,
         "op11_whitening": op11_whitening,
+        "op12_alignment": op12_alignment,
         "op13_urls": op13_urls,
     }
 
