@@ -3,6 +3,8 @@ import random
 
 import pandas as pd
 import pytest
+import regex
+import xxhash
 
 from tests.llm.conftest import make_docs
 from vintagelake.llm import imatch
@@ -61,3 +63,78 @@ def test_near_edited_of_copies_and_of_a_rare_language(spark):
     got = {r["doc_id"]: r["near_edited"] for r in imatch.fingerprints(make_docs(spark, rows)).collect()}
     for ids in ([2 * i for i in range(300)], [2 * i for i in range(300, 310)]):
         assert sum(got[i] for i in ids) / len(ids) > 0.15
+
+
+def signed(h):
+    return h - (1 << 64) if h >> 63 else h
+
+
+def xx(value, seed=42):
+    """Spark's xxhash64 of a string, or of an integer of 4 or 8 bytes given as bytes."""
+    return xxhash.xxh64(value.encode() if isinstance(value, str) else value, seed=seed & (1 << 64) - 1).intdigest()
+
+
+def int4(k):
+    return k.to_bytes(4, "little", signed=True)
+
+
+def by_definition(text, known):
+    """The fingerprint of a text, hash by hash."""
+    found = {t for t in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if t}
+    place = {t: signed(xx(int4(1), xx(t))) for t in found}
+    used = [t for t in found if t in known or place[t] % imatch.RATE == 0] or sorted(found, key=place.get)[:1]
+    ids = sorted(signed(xx(t)) for t in used)
+
+    def short(chosen):
+        if not chosen:
+            return imatch.EMPTY
+        h = 42
+        for i in chosen:
+            h = xx(i.to_bytes(8, "little", signed=True), h)
+        return f"{h & 0xFFFF:04x}"
+
+    out = [short(ids)]
+    for k in range(imatch.HASHES):
+        own = sorted(signed(xx(int4(k), xx(i.to_bytes(8, "little", signed=True)))) for i in ids) if k else ids
+        for r in range(imatch.PER_HASH):
+            out += [short([i for i in own if (i >> 10 * r) & ((1 << s) - 1) == 0]) for s in imatch.SCALES]
+    return out
+
+
+def alike(a, b):
+    if a == b:
+        return 1.0
+    best = 0.0
+    for i in range(len(imatch.SCALES)):
+        pairs = [(a[j], b[j]) for j in range(1 + i, len(a), len(imatch.SCALES)) if {a[j], b[j]} != {imatch.EMPTY}]
+        if len(pairs) >= imatch.FEW:
+            best = max(best, sum(x == y for x, y in pairs) / len(pairs))
+    return best
+
+
+@pytest.mark.parametrize("block_bytes", [2 << 20, 3000])
+def test_fingerprint_and_likeness_by_definition(spark, odd_rows, block_bytes):
+    rows = [r for r in odd_rows if r[0] not in (2, None)]
+    texts = {r[1] or "" for r in rows}
+    df = {}
+    for t in texts:
+        for w in {w for w in regex.split(r"[^\p{L}\p{N}]+", t.lower()) if w}:
+            df[w] = df.get(w, 0) + 1
+    known = {w for w, n in df.items() if max(2, 0.05 * len(texts)) <= n <= max(2, 0.5 * len(texts))}
+    assert known
+    got = {r["doc_id"]: r for r in imatch.fingerprints(make_docs(spark, rows), low=0.05, high=0.5,
+                                                       block_bytes=block_bytes).collect()}
+    ordered = sorted(rows)
+    for r, following in zip(ordered, ordered[1:] + ordered[:1], strict=True):
+        text, other = r[1] or "", following[1] or ""
+        q = len(text) // 4
+        own, edited, after = (by_definition(t, known) for t in (text, text[: len(text) - q] + other[:q], other))
+        assert got[r[0]]["fingerprint"] == own and got[r[0]]["edited_fingerprint"] == edited
+        assert got[r[0]]["near_edited"] == pytest.approx(alike(own, edited))
+        assert got[r[0]]["near_next"] == pytest.approx(alike(own, after))
+
+
+def test_hashing_terms_once_per_document(odd):
+    """No array of all terms beside its own explosion: that hashed every term once for each term."""
+    plan = imatch.fingerprints(odd)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_min" not in plan

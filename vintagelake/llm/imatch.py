@@ -33,8 +33,9 @@ from pyspark.sql.window import Window
 
 from vintagelake.llm.common import stage
 
-REPEATS = 8
-SCALES = (2, 4, 6, 8)  # a subset of scale s keeps one term in 2^s
+SCALES = (2, 4, 6, 8, 10)  # a subset of scale s keeps one term in 2^s
+PER_HASH, HASHES = 6, 3  # of 64 bits each repeat reads 10
+REPEATS = PER_HASH * HASHES
 SUBSETS = 1 + len(SCALES) * REPEATS  # and the whole lexicon
 FEW = 4
 RATE = 2  # of the terms outside the lexicon one in so many is used
@@ -56,25 +57,31 @@ def lexicon(docs: DataFrame, low: float, high: float, text: str = "text") -> Dat
 
 def hashes(kept: Column) -> Column:
     """Hash of each subset's terms.  ``kept``: the sorted ids of a document's
-    terms, 64-bit hashes of which every repeat reads 8 bits of its own: a term is
-    in the repeat's subset of scale s if the lowest s of them are 0, so that a
-    subset is filtered from the next larger one."""
+    terms, 64-bit hashes of which every repeat reads 10 bits of its own (after six
+    repeats the hashes are hashed again): a term is in the repeat's subset of
+    scale s if the lowest s of them are 0, so that a subset is filtered from the
+    next larger one."""
     def short(chosen: Column) -> Column:
         return F.when(F.size(chosen) == 0, F.lit(EMPTY)).otherwise(
             F.lower(F.lpad(F.hex(F.xxhash64(chosen).bitwiseAND(F.lit(0xFFFF))), 4, "0")))
 
-    def subsets(larger: Column, repeat: int, scales: tuple[int, ...]) -> Column:
-        mask = ((1 << scales[0]) - 1) << (8 * repeat)
-        mask = F.lit(mask - (1 << 64) if mask >= 1 << 63 else mask).cast("long")
-        chosen = F.filter(larger, lambda t: t.bitwiseAND(mask) == 0)
+    def masked(larger: Column, scale: int, shift: Column) -> Column:
+        mask = F.call_function("shiftleft", F.lit((1 << scale) - 1).cast("long"), shift)
+        return F.filter(larger, lambda t: t.bitwiseAND(mask) == 0)
 
+    def nested(larger: Column, shift: Column, scales: tuple[int, ...]) -> Column:
         def go_on(c: Column) -> Column:
             own = F.array(short(c))
-            return F.concat(own, subsets(c, repeat, scales[1:])) if scales[1:] else own
+            return F.concat(own, nested(c, shift, scales[1:])) if scales[1:] else own
 
-        return F.get(F.transform(F.array(chosen), go_on), F.lit(0))  # computed once, then used by name
+        # computed once, then used by name
+        return F.get(F.transform(F.array(masked(larger, scales[0], shift)), go_on), F.lit(0))
 
-    return F.concat(F.array(short(kept)), *[subsets(kept, r, SCALES) for r in range(REPEATS)])
+    shifts = F.array(*[F.lit(10 * r) for r in range(PER_HASH)])
+    hashed = F.transform(F.sequence(F.lit(0), F.lit(HASHES - 1)), lambda k: F.when(k == 0, kept).otherwise(
+        F.sort_array(F.transform(kept, lambda t: F.xxhash64(t, k)))))
+    each = F.transform(hashed, lambda ids: F.flatten(F.transform(shifts, lambda shift: nested(ids, shift, SCALES))))
+    return F.concat(F.array(short(kept)), F.flatten(each))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -85,10 +92,10 @@ def likeness(a: Column, b: Column) -> Column:
     def best(of: Column) -> Column:
         out = F.lit(0.0)
         for i in range(len(SCALES)):
-            each = [F.get(of, F.lit(1 + r * len(SCALES) + i)) for r in range(REPEATS)]
-            seen = sum((e.isNotNull().cast("int") for e in each), F.lit(0))
-            equal = sum((F.coalesce(e, F.lit(0)) for e in each), F.lit(0))
-            out = F.greatest(out, F.when(seen >= FEW, equal / seen).otherwise(F.lit(0.0)))
+            each = F.filter(of, lambda x, at: (at > 0) & (F.pmod(at - 1, F.lit(len(SCALES))) == i) & x.isNotNull())
+            share = F.get(F.transform(F.array(each), lambda e: F.when(
+                F.size(e) >= FEW, F.aggregate(e, F.lit(0), lambda n, x: n + x) / F.size(e)).otherwise(F.lit(0.0))), F.lit(0))
+            out = F.greatest(out, share)
         return out
 
     return F.when(a == b, F.lit(1.0)).otherwise(F.get(F.transform(F.array(same), best), F.lit(0)))
@@ -114,7 +121,7 @@ def in_blocks(docs: DataFrame, block_bytes: int, cells: int = 1 << 16) -> tuple[
     return own.join(F.broadcast(of), "cell").drop("cell"), int(block[-1]) + 1 if len(block) else 0
 
 
-def fingerprints(docs: DataFrame, low: float = 0.002, high: float = 0.1, block_bytes: int = 16 << 20,
+def fingerprints(docs: DataFrame, low: float = 0.002, high: float = 0.1, block_bytes: int = 2 << 20,
                  text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_chars, edited_sha256 (of the
     edited text: its first three quarters, then the beginning of the next text), fingerprint and
@@ -122,6 +129,7 @@ def fingerprints(docs: DataFrame, low: float = 0.002, high: float = 0.1, block_b
     own = docs.select(docs[doc_id].alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"))
     words = lexicon(own, low, high)
     blocked, n_blocks = in_blocks(own, block_bytes)
+    blocked = blocked.repartition(max(n_blocks, 1), "block")
 
     # the first text of each block: one small row per block, found by the ids first
     heads = stage(blocked.groupBy("block").agg(F.min("doc_id").alias("first_id")), "block-heads")
@@ -148,34 +156,32 @@ def fingerprints(docs: DataFrame, low: float = 0.002, high: float = 0.1, block_b
     versions = F.concat(F.array(terms(F.col("text")), terms(F.col("edited"))),
                         F.when(F.col("is_last"), F.array(terms(F.col("next")))).otherwise(F.array()))
     each = rows.select("block", "place", "doc_id", "n_chars",
-                       F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+                       F.unhex(F.sha2(F.encode("edited", "UTF-8"), 256)).alias("edited_sha256"),
                        F.posexplode(versions).alias("version", "terms"))
-    placed = F.array_min(F.transform("terms", lambda t: F.xxhash64(t, F.lit(1))))
-    each = each.select("block", "place", "doc_id", "n_chars", "edited_sha256", "version", placed.alias("smallest"),
-                       F.explode(F.concat(F.array(F.lit("")), F.col("terms"))).alias("term"))
+    each = each.select("block", "place", "doc_id", "n_chars", "edited_sha256", "version",
+                       F.explode_outer("terms").alias("term"))
     known = words.select(F.col("term").alias("known"))
     each = each.join(F.broadcast(known), each["term"] == known["known"], "left")
-    named, mid = F.col("term") != "", F.col("known").isNotNull()
     # one rule for every text; the term with the smallest hash stands for a text of which none is used
     place = F.xxhash64("term", F.lit(1))
-    used = named & (mid | (F.pmod(place, F.lit(RATE)) == 0))
-    spare = named & ~used & (place == F.col("smallest"))
-    each = each.where(~named | used | spare)
-
-    def ids(condition: Column, v: int) -> Column:
-        return F.collect_list(F.when(condition & (F.col("version") == v), F.xxhash64("term")))
-
-    versions = range(3)
-    docs_terms = each.groupBy("block", "place").agg(
+    used = F.col("known").isNotNull() | (F.pmod(place, F.lit(RATE)) == 0)
+    chosen = each.groupBy("block", "place", "version").agg(
+        F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"),
+        F.first("edited_sha256").alias("edited_sha256"),
+        F.collect_list(F.when(F.col("term").isNotNull() & used, F.xxhash64("term"))).alias("used"),
+        F.min(F.when(F.col("term").isNotNull(), F.struct(place, F.xxhash64("term").alias("id"))))["id"].alias("spare"))
+    kept = F.when(F.size("used") > 0, F.sort_array("used")).when(
+        F.col("spare").isNotNull(), F.array("spare")).otherwise(F.array().cast("array<long>"))
+    printed = chosen.select("block", "place", "version", "doc_id", "n_chars", "edited_sha256",
+                            F.get(F.transform(F.array(kept), hashes), F.lit(0)).alias("print"))
+
+    def of(v: int) -> Column:
+        return F.max(F.when(F.col("version") == v, F.col("print")))
+
+    prints = printed.groupBy("block", "place").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"),
-        F.first("edited_sha256").alias("edited_sha256"), F.max("version").alias("last"),
-        *[ids(used, v).alias(f"used{v}") for v in versions], *[ids(spare, v).alias(f"spare{v}") for v in versions])
-    kept = [F.sort_array(F.when(F.size(f"used{v}") > 0, F.col(f"used{v}")).otherwise(F.col(f"spare{v}"))).alias(f"t{v}")
-            for v in versions]
-    prints = docs_terms.select("block", "place", "doc_id", "n_chars", "edited_sha256", "last", *kept)
-    prints = prints.select("block", "place", "doc_id", "n_chars", "edited_sha256", hashes(F.col("t0")).alias("fingerprint"),
-                           hashes(F.col("t1")).alias("edited_fingerprint"),
-                           F.when(F.col("last") == 2, hashes(F.col("t2"))).alias("after"))
+        F.lower(F.hex(F.first("edited_sha256"))).alias("edited_sha256"),
+        of(0).alias("fingerprint"), of(1).alias("edited_fingerprint"), of(2).alias("after"))
     by_place = Window.partitionBy("block").orderBy("place")
     prints = prints.withColumn("after", F.coalesce("after", F.lead("fingerprint").over(by_place)))
     return prints.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
