@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, rows
+from vintagelake import schemas
+from vintagelake.operators import reshape
 from vintagelake.plans.queries import queries
 from vintagelake.sources.dims import SOURCE_NAMES
 
@@ -56,3 +58,36 @@ def test_sql_views_answer_like_the_dataframe_api(spark, vintage):
     assert via_sql.exceptAll(api).count() == 0 and api.exceptAll(via_sql).count() == 0
     labels = spark.sql("SELECT DISTINCT length(reportDate) AS n FROM vintage_sink").collect()
     assert [r.n for r in labels] == [7]
+
+
+def test_rollups_scan_and_shuffle_the_cells_once(spark, tmp_path):
+    from vintagelake.operators import rollup
+    cells = spark.createDataFrame([(1, "a", 1.0), (1, "b", None), (2, "a", 2.0), (3, None, 5.0), (2, "T", 9.0)],
+                                  "k int, location string, value double")
+    cells.write.parquet(str(tmp_path / "cells"))
+    cells = spark.read.parquet(str(tmp_path / "cells"))
+    h = spark.createDataFrame([("T", "a", "skip", 0), ("T", "b", "skip", 0), ("P", "a", "propagate", 1), ("P", "b", "propagate", 1),
+                               ("none", "a", "skip", 2), ("none", "absent", "skip", 2)], schemas.HIERARCHY)
+    names = ["T", "a", "b"]
+    out = rollup.dense_with_rollups(cells, h, ["k"], names)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    executed = out._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("Exchange hashpartitioning") == 1
+    want = rollup.apply_rollups(reshape.densify(cells, ["k"], names), h, ["k"], locations=names)
+    assert rows(out) == rows(want.select(*out.columns)) and out.count() == 3 * 4
+    with pytest.raises(ValueError, match="itself the target"):
+        rollup.dense_with_rollups(cells, h.union(spark.createDataFrame([("Q", "T", "skip", 9)], schemas.HIERARCHY)), ["k"], names)
+    assert rollup.dense_with_rollups(cells, h, ["k"], []).count() == 0
+
+
+def test_sources_are_grouped_by_one_aggregate(spark):
+    from vintagelake.operators import combine
+    df = spark.createDataFrame([(1, "x", "u", True, 1.0), (1, "x", None, False, 2.0), (1, None, "u", True, 4.0), (2, "x", "v", True, 8.0)],
+                               "k int, a string, b string, has_b boolean, v double")
+    out = combine.grouped_by_source(df, ["k"], {"A": "a", "B": "b"}, [F.sum("v").alias("v")], present={"B": "has_b"})
+    assert rows(out) == rows(spark.createDataFrame(
+        [("A", 1, "x", 3.0), ("A", 1, None, 4.0), ("A", 2, "x", 8.0), ("B", 1, "u", 5.0), ("B", 2, "v", 8.0)],
+        "source string, k int, location string, v double"))
+    again = combine.grouped_by_source(df, ["k"], {"A": "a", "B": "b"}, [F.sum("v").alias("v")], present={"B": "has_b"})
+    assert again._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1

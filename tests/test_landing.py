@@ -1,0 +1,217 @@
+"""Landed payloads through the whole job: items, re-landed payloads, restarts, compaction, one parse."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from vintagelake import schemas
+from vintagelake.job import JobConfig, open_all, run
+from vintagelake.session import list_folder
+from vintagelake.sources import dims
+from vintagelake.sources import payloads as P
+from vintagelake.streaming import compact, land, land_keyed, landed_keys, read_landed
+
+DAY = "2024-04-29"  # the last Monday of its month
+
+
+def page(value, item=dims.REPORT_ITEM, region="Alaska", day=DAY, other=None):
+    recs = [{"reportDate": day, "month": "2024-05-01", "subRegion": region, "value": value, "item": item}]
+    if other is not None:
+        recs.append({**recs[0], "value": other, "item": "another item"})
+    return json.dumps({"data": recs})
+
+
+def report(payload, name=None, at=None):
+    return {"report_date": DAY, "payload": payload, **({"page": name} if name else {}), **({"landed_at": at} if at else {})}
+
+
+def series(value, at=None):
+    body = json.dumps([{"data": {"2024-06-01": value}}])
+    return {"dataset_id": "D", "release_raw": "2024-04-05", "payload": body, **({"landed_at": at} if at else {})}
+
+
+INDEX = {"dataset_id": "D", "payload": json.dumps([{"metadata": {"release_dates": ["2024-04-05"]}}])}
+
+
+def put(folder, name, *rows):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, f"{name}.json"), "w") as f:
+        f.write("\n".join(json.dumps(r) for r in rows))
+
+
+def values(spark, root, source=None):
+    """The non-missing values of the job's target."""
+    cfg = JobConfig(landing=str(root / "landing"), target=str(root / "target"), as_of="2024-05-06", run_date="20240506",
+                    payload_format="json", dims_folder=str(root / "dims"), status_folder=str(root / "status"))
+    spark.createDataFrame([("D", "Alaska", 0)], schemas.DATASET_DIM).write.mode("overwrite").parquet(str(root / "dims" / "dataset_dim"))
+    run(spark, cfg)
+    rows = spark.read.parquet(cfg.target).where("value IS NOT NULL AND location = 'Alaska'")
+    return [r.value for r in rows.collect()]
+
+
+EARLY, LATE = "2024-05-01T00:00:00", "2024-05-02T00:00:00"
+
+
+def test_an_item_is_selected_from_payloads_and_from_landed_rows(spark, tmp_path):
+    put(tmp_path / "a" / "landing" / "report", "x", report(page(10.0, other=90.0)))
+    assert values(spark, tmp_path / "a") == [10.0]
+    for name, lands in (("b", land), ("c", land_keyed)):
+        put(tmp_path / name / "in", "x", report(page(10.0, other=90.0)))
+        lands(spark, str(tmp_path / name / "in"), str(tmp_path / name / "landing" / "report_rows"), "report").awaitTermination()
+        assert values(spark, tmp_path / name) == [10.0]
+
+
+@pytest.mark.parametrize("times", [(EARLY, LATE), (LATE, EARLY)])
+def test_a_page_landed_again_replaces_the_one_before(spark, tmp_path, times):
+    """In one file, in two batches, in two applications' streams, in either order: the later time holds."""
+    by_time = {EARLY: 10.0, LATE: 20.0}
+    first, second = (report(page(by_time[t]), "p1", t) for t in times)
+    put(tmp_path / "a" / "landing" / "report", "x", first, second)
+    assert values(spark, tmp_path / "a") == [20.0]
+    root = tmp_path / "b"
+    for name, row in (("1", first), ("2", second)):
+        put(root / "in", name, row)
+        land_keyed(spark, str(root / "in"), str(root / "landing" / "report_rows"), "report").awaitTermination()
+    assert values(spark, root) == [20.0]
+    compact(spark, str(root / "landing" / "report_rows"), "report")
+    assert values(spark, root) == [20.0]
+
+
+def test_pages_without_names_or_with_different_ones_are_averaged(spark, tmp_path):
+    put(tmp_path / "landing" / "report", "x", report(page(10.0)), report(page(20.0)), report(page(60.0), "p"))
+    assert values(spark, tmp_path) == [30.0]
+    put(tmp_path / "b" / "in", "x", report(page(10.0)), report(page(10.0)), report(page(40.0), "q"))
+    land_keyed(spark, str(tmp_path / "b" / "in"), str(tmp_path / "b" / "landing" / "report_rows"), "report").awaitTermination()
+    assert values(spark, tmp_path / "b") == [20.0]
+
+
+@pytest.mark.parametrize("times", [(EARLY, LATE), (LATE, EARLY)])
+def test_a_series_landed_again_replaces_the_one_before(spark, tmp_path, times):
+    by_time = {EARLY: 1.0, LATE: 2.0}
+    rows = [series(by_time[t], t) for t in times]
+    put(tmp_path / "a" / "landing" / "release_index", "i", INDEX)
+    put(tmp_path / "a" / "landing" / "release_series", "s", *rows)
+    assert values(spark, tmp_path / "a") == [2.0]
+    root = tmp_path / "b"
+    put(root / "index", "i", INDEX)
+    land_keyed(spark, str(root / "index"), str(root / "landing" / "release_index_rows"), "release_index").awaitTermination()
+    for name, row in zip("12", rows, strict=True):
+        put(root / "in", name, row)
+        land_keyed(spark, str(root / "in"), str(root / "landing" / "release_series_rows"), "release_series").awaitTermination()
+    assert values(spark, root) == [2.0]
+
+
+def test_appended_rows_of_one_point_do_not_depend_on_their_order(spark, tmp_path):
+    for name, order in (("a", (1.0, 2.0)), ("b", (2.0, 1.0))):
+        landing = tmp_path / name / "landing"
+        spark.createDataFrame([("D", "2024-04-05")], schemas.RELEASE_INDEX).write.parquet(str(landing / "release_index_rows"))
+        for v in order:
+            spark.createDataFrame([("D", "2024-04-05", "2024-06-01", v)], schemas.RELEASE_SERIES).coalesce(1).write.mode(
+                "append").parquet(str(landing / "release_series_rows"))
+        assert values(spark, tmp_path / name) == [2.0]
+
+
+def test_two_payloads_of_a_key_without_times_are_an_error(spark, tmp_path):
+    put(tmp_path / "landing" / "release_index", "i", INDEX)
+    put(tmp_path / "landing" / "release_series", "s", series(1.0), series(2.0))
+    with pytest.raises(Exception, match="more than one payload for D, 2024-04-05"):
+        values(spark, tmp_path)
+
+
+def test_an_empty_page_landed_later_takes_the_rows_away(spark, tmp_path):
+    target = str(tmp_path / "rows")
+    put(tmp_path / "in", "1", report(page(10.0), "p", EARLY), report(page(5.0), "q", EARLY))
+    land_keyed(spark, str(tmp_path / "in"), target, "report").awaitTermination()
+    put(tmp_path / "in", "2", report('{"data": []}', "p", LATE))
+    land_keyed(spark, str(tmp_path / "in"), target, "report").awaitTermination()
+    assert [r.value for r in read_landed(spark, target, "report").collect()] == [5.0]
+    kept = {(r["_key_page"], r.outcome) for r in landed_keys(spark, target, "report").where("holds").collect()}
+    assert kept == {("p", "empty"), ("q", "ok")}
+
+
+def test_compaction_is_whole_or_not_there_and_goes_on(spark, tmp_path):
+    target, source = str(tmp_path / "rows"), tmp_path / "in"
+
+    def land_one(i, value, at):
+        put(source, str(i), report(page(value), "p", at), report(page(float(i)), f"own{i}", at))
+        land_keyed(spark, str(source), target, "report").awaitTermination()
+
+    def held():
+        return sorted(r.value for r in read_landed(spark, target, "report").collect())
+
+    for i in range(3):
+        land_one(i, 100.0 + i, f"2024-05-0{i + 1}T00:00:00")
+    assert held() == [0.0, 1.0, 2.0, 102.0]
+    compact(spark, target, "report")
+    compact(spark, target, "report")  # nothing new: nothing done
+    assert list_folder(spark, f"{target}/_compacted") == ["c000000000002"] and held() == [0.0, 1.0, 2.0, 102.0]
+    # a compaction that broke off before its mark does not count
+    spark.read.parquet(f"{target}/rows/part=c000000000002").write.partitionBy("report_date").parquet(f"{target}/rows/part=c000000000009")
+    assert held() == [0.0, 1.0, 2.0, 102.0]
+    land_one(3, 50.0, "2024-04-30T00:00:00")  # older than what holds
+    land_one(4, 104.0, "2024-05-09T00:00:00")
+    assert held() == [0.0, 1.0, 2.0, 3.0, 4.0, 104.0]
+    compact(spark, target, "report")
+    assert held() == [0.0, 1.0, 2.0, 3.0, 4.0, 104.0]
+    assert "part=b000000000000" not in list_folder(spark, f"{target}/rows")  # replaced two compactions ago
+
+
+def test_a_batch_that_runs_again_lands_once(spark, tmp_path):
+    from vintagelake.streaming import landing
+
+    target = str(tmp_path / "rows")
+    batch = spark.createDataFrame([(DAY, page(10.0), "p", None)], f"{schemas.REPORT_PAYLOADS}, {schemas.LANDED['report']}")
+    for _ in range(2):  # as after a failure between the two writes and the commit
+        landing._write_part(batch, target, "report", "b000000000000")
+    assert [r.value for r in read_landed(spark, target, "report").collect()] == [10.0]
+
+
+def test_each_payload_is_parsed_once_in_a_job(spark, tmp_path):
+    put(tmp_path / "landing" / "report", "x", report(page(10.0)), report("no json"))
+    put(tmp_path / "landing" / "release_index", "i", INDEX)
+    put(tmp_path / "landing" / "release_series", "s", series(1.0))
+    cfg = JobConfig(landing=str(tmp_path / "landing"), as_of="2024-05-06", payload_format="json")
+    written = []
+
+    def stage(df, name):
+        written.append(df._jdf.queryExecution().optimizedPlan().toString().count("from_json"))
+        from vintagelake.plans.providers import stage as plain
+        return plain(df, name)
+
+    opened = open_all(spark, cfg, stage)
+    assert written == [1, 1, 1]
+    tables = opened.tables
+    later = [P.release_index_rows(tables["release_index"]), P.release_index_outcomes(tables["release_index"]),
+             P.release_series_rows(tables["release_series"]), P.release_series_outcomes(tables["release_series"]),
+             P.report_records(tables["report"]), P.report_outcomes(tables["report"]), P.opened_with_records(tables["report"])]
+    for df in later:
+        assert "from_json" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert opened.report_load.get["n_rows"] == 1
+
+
+def test_statuses_and_observed_counts_equal_those_of_the_payloads(spark, tmp_path):
+    from vintagelake.operators.aggregate import load_ranges
+
+    bodies = [page(10.0, other=7.0), page("n/a"), "[]", "{}", '{"data": []}', "junk",
+              json.dumps({"data": [{"reportDate": DAY, "month": "2024-03-01", "subRegion": "x", "value": 1.0},
+                                   {"reportDate": DAY, "month": "2024-05-02", "subRegion": "x", "value": 1.0}]})]
+    put(tmp_path / "landing" / "report", "x", *[report(b) for b in bodies])
+    values(spark, tmp_path)
+    payloads = spark.createDataFrame([(DAY, b) for b in bodies], schemas.REPORT_PAYLOADS)
+    want, got = P.report_status(payloads), spark.read.parquet(str(tmp_path / "status" / "report"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    ranges = spark.read.parquet(str(tmp_path / "status" / "report_ranges")).first().asDict()
+    plain = load_ranges(P.parse_report_payloads(payloads, dims.REPORT_ITEM)).first().asDict()
+    assert {k: ranges[k] for k in plain} == plain and ranges["n_removed"] == 1 and ranges["n_bad_values"] == 1
+
+
+def test_observed_counts_of_an_empty_load(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation("none")
+    empty = P.open_reports(spark.createDataFrame([], schemas.REPORT_PAYLOADS))
+    empty.observe(seen, *P.load_metrics("x")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n_rows"] == 0 and seen.get["min_month"] is None
+    assert empty.agg(F.count("*")).first()[0] == 0

@@ -17,20 +17,25 @@ import json
 import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from vintagelake import schemas
 from vintagelake.schemas import SINK_COLUMNS
-from vintagelake.operators.aggregate import load_ranges
 from vintagelake.operators.combine import sink_rows
 from vintagelake.operators.reshape import observed_values, wide_view
 from vintagelake.plans import providers
 from vintagelake.sinks import full_refresh_jdbc, full_refresh_table, run_summary, write_csv_snapshot
 from vintagelake.sources import dims
 from vintagelake.session import local_frame, path_exists
-from vintagelake.sources.payloads import (parse_report_payloads, read_payloads, release_index_status,
-                                          release_series_status, report_status)
+from vintagelake.sources.payloads import (load_metrics, of_item, read_payloads, release_index_outcomes,
+                                          release_series_outcomes, report_outcomes)
 from vintagelake.sources.tables import read_editions_jdbc
+from vintagelake.streaming.landing import read_landed
+
+#: Counts and ranges of a report load.
+LOAD_SCHEMA = ("min_report_date date, max_report_date date, min_month date, max_month date, n_rows long, "
+               "n_not_first_of_month long, n_removed long, n_bad_values long")
+LOAD_COLUMNS = [c.split()[0] for c in LOAD_SCHEMA.split(", ")]
 
 
 @dataclass
@@ -78,42 +83,71 @@ def _payloads(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     """The landed payload tables that exist, by kind."""
     kinds = {"release_index": schemas.RELEASE_INDEX_PAYLOADS, "release_series": schemas.RELEASE_SERIES_PAYLOADS,
              "report": schemas.REPORT_PAYLOADS}
-    return {k: read_payloads(spark, cfg.path(k), schema, cfg.payload_format)
+    return {k: read_payloads(spark, cfg.path(k), schema, cfg.payload_format, schemas.LANDED[k])
             for k, schema in kinds.items() if _exists(spark, cfg.path(k))}
 
 
 def _landed(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
-    """The tables of parsed rows that ``streaming.landing`` writes (``<kind>_rows``), by kind."""
-    kinds = {"release_index": schemas.RELEASE_INDEX, "release_series": schemas.RELEASE_SERIES, "report": schemas.REPORT_ROWS}
-    return {k: spark.read.schema(schema).parquet(cfg.path(f"{k}_rows"))
-            for k, schema in kinds.items() if _exists(spark, cfg.path(f"{k}_rows"))}
+    """The tables of parsed rows that ``streaming.landing`` writes (``<kind>_rows``), by kind:
+    keyed ones, or appended ones."""
+    kinds = {"release_index": schemas.RELEASE_INDEX, "release_series": schemas.LANDED_RELEASE_SERIES,
+             "report": schemas.LANDED_REPORT_ROWS}
+
+    def read(kind: str) -> DataFrame:
+        path = cfg.path(f"{kind}_rows")
+        if _exists(spark, f"{path}/keys"):
+            return read_landed(spark, path, kind)
+        return spark.read.schema(kinds[kind]).parquet(path)
+
+    return {k: read(k) for k in kinds if _exists(spark, cfg.path(f"{k}_rows"))}
+
+
+@dataclass
+class Opened:
+    """Every payload table parsed once (``providers.open_payloads``), and what was counted on the way."""
+    tables: dict[str, DataFrame]
+    report_load: Observation | None = None
 
 
-def build(spark: SparkSession, cfg: JobConfig, stage=providers.stage) -> tuple[dict[str, DataFrame], DataFrame]:
+def open_all(spark: SparkSession, cfg: JobConfig, stage=providers.stage) -> Opened:
+    payloads = _payloads(spark, cfg)
+    seen = Observation("report load") if "report" in payloads else None
+    tables = providers.build_all(spark, {
+        k: lambda k=k, df=df: providers.open_payloads(
+            k, df, stage=stage, **({"observed": seen, "metrics": load_metrics(dims.REPORT_ITEM)} if k == "report" else {}))
+        for k, df in payloads.items()})
+    return Opened(tables, seen)
+
+
+def build(spark: SparkSession, cfg: JobConfig, stage=providers.stage,
+          opened: Opened | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """The provider plans whose landed inputs exist, and the series dimension.
 
     Payload tables come first; where a kind has none, its landed rows are used.
-    Landed report rows are those of one item, so their days are the probe too.
+    Landed report rows name their item: one is selected, while the days of all
+    are the probe.
     """
+    payloads = (opened or open_all(spark, cfg, stage)).tables
     dataset_dim, _ = _dim(spark, cfg, "dataset_dim", schemas.DATASET_DIM, lambda: dims.dataset_dim(spark))
     series_dim, custom_series = _dim(spark, cfg, "series_dim", schemas.SERIES_DIM, lambda: dims.series_dim(spark))
     hierarchy, _ = _dim(spark, cfg, "hierarchy", schemas.HIERARCHY, lambda: dims.hierarchy(spark, cfg.rollups))
     renames, _ = _dim(spark, cfg, "renames", schemas.RENAME_DIM, lambda: dims.rename_dim(spark))
-    payloads, landed, editions = _payloads(spark, cfg), _landed(spark, cfg), _editions(spark, cfg)
+    landed, editions = _landed(spark, cfg), _editions(spark, cfg)
     first = 3 if cfg.debug else None
     builders = {}
     if {"release_index", "release_series"} <= set(payloads):
-        builders["release"] = lambda: providers.release_provider_from_payloads(
-            payloads["release_index"], payloads["release_series"], dataset_dim, cfg.release_start, debug_first=first, stage=stage)
+        builders["release"] = lambda: providers.release_provider_from_opened(
+            payloads["release_index"], payloads["release_series"], dataset_dim, cfg.release_start, first, stage)
     elif {"release_index", "release_series"} <= set(landed):
         builders["release"] = lambda: providers.release_provider(
             landed["release_index"], landed["release_series"], dataset_dim, cfg.release_start, first, stage=stage)
     if "report" in payloads:
-        builders["report"] = lambda: providers.report_provider_from_payloads(
+        builders["report"] = lambda: providers.report_provider_from_opened(
             payloads["report"], hierarchy, renames, cfg.report_start, cfg.as_of, item=dims.REPORT_ITEM, stage=stage)
     elif "report" in landed:
         builders["report"] = lambda: providers.report_provider(
-            landed["report"], landed["report"].select("report_date"), hierarchy, renames, cfg.report_start, cfg.as_of, stage=stage)
+            landed["report"].where(of_item(dims.REPORT_ITEM)).drop("item"), landed["report"].select("report_date"),
+            hierarchy, renames, cfg.report_start, cfg.as_of, stage=stage)
     if editions is not None:
         # fixed ids reach the scan as an IN filter; a custom dimension is a semi-join
         ids = None if custom_series else [s for s, _ in dims.EDITION_SERIES]
@@ -121,16 +155,17 @@ def build(spark: SparkSession, cfg: JobConfig, stage=providers.stage) -> tuple[d
     return providers.build_all(spark, builders), series_dim
 
 
-def write_status(spark: SparkSession, cfg: JobConfig) -> None:
-    """One table per kind of payload with an outcome per payload, and the report
-    rows' date ranges, replaced in full."""
-    describe = {"release_index": release_index_status, "release_series": release_series_status, "report": report_status}
-    payloads = _payloads(spark, cfg)
-    for kind, df in payloads.items():
+def write_status(spark: SparkSession, cfg: JobConfig, opened: Opened) -> None:
+    """One table per kind of payload with an outcome per payload, from the payloads
+    as they were parsed for the providers, and the report rows' counts and date
+    ranges, gathered in that same pass; replaced in full."""
+    describe = {"release_index": release_index_outcomes, "release_series": release_series_outcomes, "report": report_outcomes}
+    for kind, df in opened.tables.items():
         full_refresh_table(describe[kind](df), f"{cfg.status_folder}/{kind}", allow_empty=True)
-    if "report" in payloads:
-        rows = parse_report_payloads(payloads["report"], dims.REPORT_ITEM)
-        full_refresh_table(load_ranges(rows), f"{cfg.status_folder}/report_ranges", allow_empty=True)
+    if opened.report_load is not None:
+        seen = opened.report_load.get
+        full_refresh_table(local_frame(spark, [tuple(seen[c] for c in LOAD_COLUMNS)], LOAD_SCHEMA),
+                           f"{cfg.status_folder}/report_ranges", allow_empty=True)
 
 
 def run(spark: SparkSession, cfg: JobConfig) -> DataFrame:
@@ -138,10 +173,11 @@ def run(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     stages on the way are removed at its end, also if it fails."""
     stages = providers.Stages()
     try:
-        parts, series_dim = build(spark, cfg, stages)
+        opened = open_all(spark, cfg, stages)
+        parts, series_dim = build(spark, cfg, stages, opened)
         rows = sink_rows(providers.combined_vintage(**parts), cfg.label_format)
         if cfg.status_folder:
-            write_status(spark, cfg)
+            write_status(spark, cfg, opened)
         if cfg.target:
             full_refresh_table(rows, cfg.target, partition_by=["source"])
             # later sinks read the written table instead of computing the union again

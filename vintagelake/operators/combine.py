@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -32,6 +32,30 @@ def combine(frames: list[DataFrame], allow_missing_columns: bool = False) -> Dat
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing_columns), frames)
 
 
+def grouped_by_source(df: DataFrame, keys: list[str], sources: dict[str, str], aggs: list[Column],
+                      present: dict[str, str] | None = None, location: str = "location") -> DataFrame:
+    """One aggregate over several sources of the same rows: source, ``keys``, location, ``aggs``.
+
+    ``sources`` maps a source's name to the column that is its location.  Rows
+    are expanded once per source inside the partial aggregate (grouping sets),
+    not multiplied before it.  ``present`` names, for a source that lacks some of
+    the rows, a boolean column that says which it has.
+    """
+    flags = present or {}
+    sets = [[*keys, of, *([flags[name]] if name in flags else [])] for name, of in sources.items()]
+    columns = list(dict.fromkeys(c for s in sets for c in s))
+    grouped = df.groupingSets(sets, *columns).agg(
+        *aggs, *[F.grouping(of).alias(f"_not_{i}") for i, of in enumerate(sources.values())])
+    name, place, wanted = F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(True)
+    for i, (source, of) in enumerate(sources.items()):
+        own = F.col(f"_not_{i}") == 0
+        name, place = F.when(own, F.lit(source)).otherwise(name), F.when(own, F.col(of)).otherwise(place)
+        if source in flags:
+            wanted = wanted & (~own | F.col(flags[source]))
+    made = [c for c in grouped.columns if c not in columns and not c.startswith("_not_")]
+    return grouped.where(wanted).select(name.alias("source"), *keys, place.alias(location), *made)
+
+
 def refuse_empty(df: DataFrame) -> DataFrame:
     """Raise before a full refresh would replace a table with nothing."""
     if df.isEmpty():

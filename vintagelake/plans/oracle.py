@@ -300,4 +300,7 @@ LEFT JOIN ms m ON m.report_month = k.report_month AND m.month = k.month AND m.lo
     sql["run_summary"] = f"{_combined()} SELECT source, count(*) AS n_rows FROM cv GROUP BY ROLLUP (source)"
     sql["full_refresh_sink"] = (f"{_combined()} SELECT strftime(report_date, '%Y-%m') AS reportDate, "
                                 f"strftime(month, '%Y-%m') AS month, location, value, source FROM cv")
+    # landed by the stream, the last payload of each key holds: the same rows as from the payloads
+    sql["report_from_landed"] = sql["report_from_payloads"]
+    sql["release_from_landed"] = sql["release_from_payloads"]
     return sql

@@ -21,9 +21,10 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from vintagelake import schemas
 from vintagelake.operators.aggregate import cell_mean, series_sum
 from vintagelake.operators.calendar import report_calendar, snapped_dates
 from vintagelake.operators.combine import combine, to_vintage
@@ -32,9 +33,10 @@ from vintagelake.operators.horizon import (cut_from_release, forecasts_only, lat
 from vintagelake.operators.joins import lookup, rename_locations
 from vintagelake.operators.limits import cap_rows_per_group, first_dims
 from vintagelake.operators.reshape import densify, observed_values, unique_cells
-from vintagelake.operators.rollup import apply_rollups
+from vintagelake.operators.rollup import dense_with_rollups
 from vintagelake.session import delete_path, ensure_checkpoint_dir, shared_path
 from vintagelake.sources.dims import EDITION_FORECAST_FLAG, EDITION_SCALE, SOURCE_NAMES
+from vintagelake.sources import payloads as P
 from vintagelake.sources.tables import scan_editions
 
 KEYS = ["report_date", "month"]
@@ -131,7 +133,7 @@ def chosen_releases(release_index: DataFrame, dataset_dim: DataFrame, start_date
 
 def release_cells(release_index: DataFrame, release_series: DataFrame, dataset_dim: DataFrame,
                   start_date, debug_first: int | None = None, chosen: DataFrame | None = None) -> DataFrame:
-    """Lazy plan of the release cells: report_date, month, location, value, issue_date, ord.
+    """Lazy plan of the release cells: report_date, month, location, value, issue_date, ord, landed_at.
 
     Per mapped dataset: releases on/after the start day, the latest per month,
     its points on/after the release day.  Rows are keyed on the first day of
@@ -144,8 +146,9 @@ def release_cells(release_index: DataFrame, release_series: DataFrame, dataset_d
         chosen = chosen_releases(release_index, dataset_dim, start_date, debug_first)
     points = cut_from_release(release_series, chosen)
     cells = lookup(points, dims.select("dataset_id", "location", "ord"), "dataset_id", "inner")
+    landed = F.col("landed_at") if "landed_at" in release_series.columns else F.lit(None).cast("timestamp")
     return cells.select(F.col("release_month").alias("report_date"), F.col("target_date").alias("month"),
-                        "location", "value", F.col("release_date").alias("issue_date"), "ord")
+                        "location", "value", F.col("release_date").alias("issue_date"), "ord", landed.alias("landed_at"))
 
 
 def release_provider(release_index: DataFrame, release_series: DataFrame, dataset_dim: DataFrame,
@@ -155,8 +158,10 @@ def release_provider(release_index: DataFrame, release_series: DataFrame, datase
 
     The cells (``release_cells``) are staged and densified over the locations
     that occur.  If two datasets write one location, the later dataset
-    (greater ``ord``) wins.  Series points must be one per target day (the
-    payload parser keeps the greater text when a payload writes one day twice).
+    (greater ``ord``) wins.  Of two points of one target day (a payload landed
+    twice) the one landed last holds, where the rows say so (``landed_at``), and
+    the greater value of two landed together, whatever the order of rows; the
+    payload parser keeps the greater text when a payload writes one day twice.
     """
     # a written table has a known size: the planner sees whether it can be
     # broadcast, so that the series' points need no shuffle for the join
@@ -164,7 +169,8 @@ def release_provider(release_index: DataFrame, release_series: DataFrame, datase
     cells = stage(release_cells(release_index, release_series, dataset_dim, start_date, debug_first, chosen), "release-cells")
     if locations is None:
         locations = observed_values(cells, "location")
-    return densify(cells, KEYS, locations, ("value", "issue_date"), order_col="ord").select(*OUT)
+    order = F.struct("ord", "landed_at", "value")
+    return densify(cells, KEYS, locations, ("value", "issue_date"), order_col=order).select(*OUT)
 
 
 # ----------------------------------------------------------------------------
@@ -215,9 +221,8 @@ def report_provider(report_rows: DataFrame, available: DataFrame, hierarchy: Dat
                   "report-cells")
     if locations is None:
         locations = observed_values(cells, "location")
-    dense = densify(cells, KEYS, locations, ("value", "issue_date"))
-    out = apply_rollups(dense, hierarchy, KEYS, rollup_columns={"issue_date": F.col("report_date")},
-                        locations=locations)
+    out = dense_with_rollups(cells, hierarchy, KEYS, locations, ("value", "issue_date"),
+                             rollup_columns={"issue_date": F.col("report_date")})
     if renames is not None:
         out = rename_locations(out, renames)
     return out.select(*OUT)
@@ -226,32 +231,70 @@ def report_provider(report_rows: DataFrame, available: DataFrame, hierarchy: Dat
 # ----------------------------------------------------------------------------
 # From landed payloads
 # ----------------------------------------------------------------------------
+def open_payloads(kind: str, payloads: DataFrame, bad_rows: str = "drop_payload", stage=stage,
+                  observed: Observation | None = None, metrics: list | None = None) -> DataFrame:
+    """Payloads of a kind, each parsed once and staged: one row with its key, outcome
+    and parsed content, from which rows and statuses are both read.
+
+    ``observed``/``metrics``: aggregates gathered while they are written.  The
+    write is the only stage that computes them, and of each of its partitions one
+    finished task counts, so a lost executor does not count rows twice.
+    """
+    opener = {"release_index": P.open_release_index, "release_series": P.open_release_series, "report": P.open_reports}[kind]
+    keys = schemas.PAYLOAD_KEYS[kind]
+    for name in ("page", "landed_at"):
+        if name not in payloads.columns and (name in keys or name == "landed_at"):
+            payloads = payloads.withColumn(name, F.lit(None).cast("string" if name == "page" else "timestamp"))
+    payloads = payloads.withColumns({"tie": F.xxhash64("payload"), "seq": F.monotonically_increasing_id()})
+    extra = ("landed_at", "tie", "seq", *([] if kind != "report" else keys))
+    opened = opener(payloads, keep=extra) if kind == "report" else opener(payloads, bad_rows, keep=extra)
+    if observed is not None:
+        opened = opened.observe(observed, *metrics)
+    return stage(opened, f"opened-{kind}")
+
+
+def release_provider_from_opened(index: DataFrame, series: DataFrame, dataset_dim: DataFrame, start_date,
+                                 debug_first: int | None = None, stage=stage) -> DataFrame:
+    """Release provider over ``open_payloads`` of indexes and series; of each key the payload landed last holds."""
+    index = P.held_payloads(index, schemas.PAYLOAD_KEYS["release_index"])
+    series = P.held_payloads(series, schemas.PAYLOAD_KEYS["release_series"])
+    return release_provider(P.release_index_rows(index), P.release_series_rows(series), dataset_dim, start_date,
+                            debug_first, stage=stage)
+
+
 def release_provider_from_payloads(index_payloads: DataFrame, series_payloads: DataFrame,
                                    dataset_dim: DataFrame, start_date, bad_rows: str = "drop_payload",
                                    debug_first: int | None = None, stage=stage) -> DataFrame:
     """Release provider over landed payloads: (dataset_id, payload) release
     indexes and (dataset_id, release_raw, payload) series.  A key's last landed
     payload holds (``landed_at``); without that column a second one is an error."""
-    from vintagelake.sources.payloads import last_landed, parse_release_index, parse_release_series
-    index = last_landed(index_payloads, ["dataset_id"])
-    series = last_landed(series_payloads, ["dataset_id", "release_raw"])
-    return release_provider(parse_release_index(index, bad_rows), parse_release_series(series, bad_rows),
+    index = P.last_landed(index_payloads, ["dataset_id"])
+    series = P.last_landed(series_payloads, ["dataset_id", "release_raw"])
+    return release_provider(P.parse_release_index(index, bad_rows), P.parse_release_series(series, bad_rows),
                             dataset_dim, start_date, debug_first, stage=stage)
 
 
+def report_provider_from_opened(opened: DataFrame, hierarchy: DataFrame, renames: DataFrame | None, start_date, as_of,
+                                item: str | None = None, fallback_days: int = 7, row_limit: int | None = None,
+                                stage=stage) -> DataFrame:
+    """Report provider over ``open_payloads`` of pages.  A report exists on a day
+    when a page for that day has at least one record, of whatever item; ``item``
+    selects records of the reports so found.  Of the pages landed for one
+    (report_date, page) the last one holds; a page without a name always does."""
+    held = P.held_payloads(opened, schemas.PAYLOAD_KEYS["report"])
+    rows = P.report_records(held).where(P.of_item(item)).drop("item")
+    return report_provider(rows, P.opened_with_records(held), hierarchy, renames, start_date, as_of,
+                           fallback_days, row_limit=row_limit, stage=stage)
+
+
 def report_provider_from_payloads(report_payloads: DataFrame, hierarchy: DataFrame,
                                   renames: DataFrame | None, start_date, as_of,
                                   item: str | None = None, fallback_days: int = 7,
                                   row_limit: int | None = None, stage=stage) -> DataFrame:
-    """Report provider over landed (report_date, payload) pages.  A report
-    exists on a day when a page for that day has at least one record, of
-    whatever item; ``item`` selects records of the reports so found.  Pages
-    with a column ``page`` are one per (report_date, page): the last landed."""
-    from vintagelake.sources.payloads import last_landed, parse_report_payloads, reports_with_records
-    if "page" in report_payloads.columns:
-        report_payloads = last_landed(report_payloads, ["report_date", "page"])
-    return report_provider(parse_report_payloads(report_payloads, item), reports_with_records(report_payloads),
-                           hierarchy, renames, start_date, as_of, fallback_days, row_limit=row_limit, stage=stage)
+    """``report_provider_from_opened`` over landed (report_date, payload) pages, with a
+    column ``page`` or without; each page is parsed once, for rows and for the probe."""
+    return report_provider_from_opened(open_payloads("report", report_payloads, stage=stage), hierarchy, renames, start_date,
+                                       as_of, item, fallback_days, row_limit, stage)
 
 
 # ----------------------------------------------------------------------------
@@ -290,4 +333,5 @@ def combined_vintage(release: DataFrame | None = None, report: DataFrame | None
 
 __all__ = ["build_all", "edition_provider", "release_provider", "report_provider", "report_dates",
            "edition_cells", "release_cells", "report_cells",
+           "open_payloads", "release_provider_from_opened", "report_provider_from_opened",
            "release_provider_from_payloads", "report_provider_from_payloads", "combined_vintage", "stage"]

@@ -20,6 +20,7 @@ from vintagelake.session import shared_path
 from vintagelake.sinks import full_refresh_table, read_csv_snapshot, write_csv_snapshot
 from vintagelake.sources import payloads as P
 from vintagelake.sources.tables import read_table, scan_editions
+from vintagelake.streaming import land_keyed, read_landed
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -273,8 +274,10 @@ def q_rollup_strict(spark, base):
 
 @register("rollup_guard")
 def q_rollup_guard(spark, base):
-    dense, locations = _dense_means(spark, base)
-    out = rollup.apply_rollups(dense, S.rollups_df(spark, S.TEST_ROLLUPS), ["report_month", "month"], locations=locations)
+    m = S.monthly_view(spark, base, with_nulls=True)
+    cells = providers.stage(aggregate.cell_mean(m, ["report_month", "month", "location"]), "cells")
+    locations = reshape.observed_values(cells, "location")
+    out = rollup.dense_with_rollups(cells, S.rollups_df(spark, S.TEST_ROLLUPS), ["report_month", "month"], locations)
     return out.select("report_month", "month", "location", _r6("value"))
 
 
@@ -297,6 +300,36 @@ def q_report_from_payloads(spark, base):
     return out.select("report_date", "issue_date", "month", "location", _r6("value"))
 
 
+def _landed_twice(spark, base, kind, payloads, spoiled):
+    """Rows of a keyed landing: a third of the payloads first land in another form, then all as they are."""
+    folder = shared_path(spark, "landed", uuid.uuid4().hex)
+    source, target = f"{folder}/in", f"{folder}/{kind}"
+    first = payloads.where(F.pmod(F.xxhash64(*[c for c in payloads.columns if c != "payload"]), F.lit(3)) == 0)
+    for at, df in (("2024-01-01", first.withColumn("payload", spoiled)), ("2024-01-02", payloads)):
+        df.withColumn("landed_at", F.lit(at).cast("timestamp")).write.mode("append").parquet(source)
+        land_keyed(spark, source, target, kind, fmt="parquet").awaitTermination()
+    return read_landed(spark, target, kind)
+
+
+@register("report_from_landed")
+def q_report_from_landed(spark, base):
+    """Report provider over rows landed by the stream, pages of all items, some landed twice."""
+    pages = S.report_payloads_by_order(spark, base).select(
+        "report_date", "payload", F.col("o_orderkey").cast("string").alias("page"))
+    rows = _landed_twice(spark, base, "report", pages, F.regexp_replace("payload", '"item":"[a-z]+"', '"item":"main"'))
+    out = providers.report_provider(
+        rows.where(P.of_item("main")).drop("item"), rows.select("report_date"), S.rollups_df(spark, S.TEST_ROLLUPS),
+        S.renames_df(spark), S.CALENDAR_START, S.CALENDAR_AS_OF)
+    return out.select("report_date", "issue_date", "month", "location", _r6("value"))
+
+
+@register("release_from_landed")
+def q_release_from_landed(spark, base):
+    """Release provider over series landed by the stream, some landed twice."""
+    series = _landed_twice(spark, base, "release_series", S.release_series_payloads(spark, base), F.lit("[]"))
+    return providers.release_provider(S.release_index(spark, base), series, S.dataset_dim(spark, base), S.RELEASE_START)
+
+
 # ----------------------------------------------------------------- scalars --
 @register("iso_date_part")
 def q_iso_date_part(spark, base):
@@ -323,14 +356,12 @@ def _three_sources(spark, base):
     n = S.nations(spark, base).select("n_nationkey", "n_name")
     j = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
          .join(p, li.l_partkey == p.p_partkey, "left").join(n, c.c_nationkey == n.n_nationkey))
-    # one pass: every joined line counts for its segment, its type and its nation
-    each = F.array(*[F.struct(F.lit(s).alias("source"), F.col(c).alias("location")) for s, c in (
-        ("by_segment", "c_mktsegment"), ("by_type", "p_type"), ("by_nation", "n_name"))])
     rows = j.select(F.col("o_orderdate").cast("date").alias("report_date"),
-                    F.trunc(F.col("l_shipdate").cast("date"), "MM").alias("month"),
-                    F.col("p_partkey").isNotNull().alias("has_part"), "l_quantity", F.inline(each))
-    rows = rows.where((F.col("source") != "by_type") | F.col("has_part"))
-    return rows.groupBy("source", "report_date", "month", "location").agg(F.sum("l_quantity").alias("value"))
+                    F.trunc(F.col("l_shipdate").cast("date"), "MM").alias("month"), "c_mktsegment", "p_type", "n_name",
+                    F.col("p_partkey").isNotNull().alias("has_part"), "l_quantity")
+    return combine.grouped_by_source(
+        rows, ["report_date", "month"], {"by_segment": "c_mktsegment", "by_type": "p_type", "by_nation": "n_name"},
+        [F.sum("l_quantity").alias("value")], present={"by_type": "has_part"})
 
 
 @register("combine_sources")

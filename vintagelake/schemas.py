@@ -6,6 +6,12 @@ from pyspark.sql import types as T
 RELEASE_INDEX_PAYLOADS = "dataset_id string, payload string"
 RELEASE_SERIES_PAYLOADS = "dataset_id string, release_raw string, payload string"
 REPORT_PAYLOADS = "report_date string, payload string"
+# Columns that a landing may also have: the page of a report, and when the payload was landed.
+LANDED = {"release_index": "landed_at timestamp", "release_series": "landed_at timestamp",
+          "report": "page string, landed_at timestamp"}
+# What tells one payload from another; a later one with the same key replaces it.
+PAYLOAD_KEYS = {"release_index": ["dataset_id"], "release_series": ["dataset_id", "release_raw"],
+                "report": ["report_date", "page"]}
 
 # JSON payload bodies.
 RELEASE_INDEX_BODY = "array<struct<metadata:struct<release_dates:array<string>>>>"
@@ -32,6 +38,9 @@ REPORT_ROWS = T.StructType([
     T.StructField("subRegion", T.StringType(), True),
     T.StructField("value", T.DoubleType(), True),
 ])
+# The same as landed, with columns that older landings may lack.
+LANDED_RELEASE_SERIES = T.StructType([*RELEASE_SERIES.fields, T.StructField("landed_at", T.TimestampType(), True)])
+LANDED_REPORT_ROWS = T.StructType([*REPORT_ROWS.fields, T.StructField("item", T.StringType(), True)])
 EDITIONS = T.StructType([
     T.StructField("series_id", T.StringType(), True),
     T.StructField("Date", T.DateType(), True),

@@ -123,3 +123,16 @@ def delete_path(spark: SparkSession, path: str) -> bool:
         return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
     except Exception:  # noqa: BLE001 - no JVM gateway (Spark Connect): leave it to housekeeping
         return False
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (Hadoop file system), sorted; none if it does not exist."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def make_file(spark: SparkSession, path: str) -> None:
+    """Create an empty file: a mark that exists or does not, on every store."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True).close()

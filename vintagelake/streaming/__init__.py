@@ -1,3 +1,3 @@
-from vintagelake.streaming.landing import land, payload_stream
+from vintagelake.streaming.landing import compact, land, land_keyed, landed_keys, payload_stream, read_landed
 
-__all__ = ["land", "payload_stream"]
+__all__ = ["compact", "land", "land_keyed", "landed_keys", "payload_stream", "read_landed"]
