@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -61,3 +62,92 @@ def test_nothing_to_learn_from(spark, none):
     assert langid.identify(none).count() == 0
     got = langid.identify(make_docs(spark, [(1, "some text", None, "a")])).collect()
     assert [(r["lang_pred"], r["score"]) for r in got] == [("und", 0.0)]
+
+
+def test_ftrl_by_definition():
+    """Against scalar loops over the published update, feature by feature."""
+    rng, k, alpha, beta, l1, l2 = np.random.default_rng(1), 3, 0.7, 1.0, 0.02, 0.1
+    x = []
+    for _ in range(25):
+        at = np.unique(rng.integers(0, 40, 6))
+        v = rng.random(len(at))
+        x.append((at, v / np.sqrt((v * v).sum())))
+    y = rng.integers(0, k, 25)
+    z, n = {}, {}
+
+    def weight(i, c):
+        zi = z.get((i, c), 0.0)
+        return 0.0 if abs(zi) <= l1 else -(zi - math.copysign(l1, zi)) / ((beta + math.sqrt(n.get((i, c), 0.0))) / alpha + l2)
+
+    order = np.random.default_rng(0)
+    for _ in range(2):
+        for row in order.permutation(25):
+            features = [*zip(x[row][0].tolist(), x[row][1].tolist(), strict=True), (langid.FEATURES, 1.0)]
+            logits = [sum(weight(i, c) * v for i, v in features) for c in range(k)]
+            e = [math.exp(v - max(logits)) for v in logits]
+            w = {(i, c): weight(i, c) for i, _ in features for c in range(k)}
+            for i, v in features:
+                for c in range(k):
+                    g = (e[c] / sum(e) - (c == y[row])) * v
+                    before = n.get((i, c), 0.0)
+                    z[i, c] = z.get((i, c), 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / alpha * w[i, c]
+                    n[i, c] = before + g * g
+    got = langid.ftrl(x, y, k, 2, alpha, beta, l1, l2)
+    for i in [*range(40), langid.FEATURES]:
+        assert got[i].tolist() == pytest.approx([weight(i, c) for c in range(k)], abs=1e-12)
+
+
+def test_tf_idf_and_frequencies_by_definition(spark, rows):
+    texts = [r[1] for r in rows[:40]]
+    held = {r["feature"]: r["df"] for r in langid.document_frequencies(make_docs(spark, rows[:40]).select("text")).collect()}
+
+    def counts(text):
+        units = np.frombuffer(text.lower().encode("utf-16-le"), dtype=np.uint16).tolist()
+        out = {}
+        for n in langid.ORDERS:
+            for i in range(len(units) - n + 1):
+                key = 0
+                for u in units[i:i + n]:
+                    key = key << 16 | u
+                f = ((key + n) * int(langid.MIX) % (1 << 64)) >> 48
+                out[f] = out.get(f, 0) + 1
+        return out
+
+    df = {}
+    for t in texts:
+        for f in counts(t):
+            df[f] = df.get(f, 0) + 1
+    assert held == df
+    idf = np.linspace(1, 3, langid.FEATURES)
+    at, x = langid.vector(texts[0], idf)
+    raw = {f: (1 + math.log(c)) * idf[f] for f, c in counts(texts[0]).items()}
+    length = math.sqrt(sum(v * v for v in raw.values()))
+    assert dict(zip(at.tolist(), x.tolist(), strict=True)) == pytest.approx({f: v / length for f, v in raw.items()})
+
+
+def test_sparse_weights_give_the_same_logits():
+    rng = np.random.default_rng(2)
+    weights = np.where(rng.random((langid.FEATURES + 1, 3)) < 0.01, rng.normal(size=(langid.FEATURES + 1, 3)), 0.0)
+    model = langid.Model(["a", "b", "c"], np.ones(langid.FEATURES), weights, 1.0)
+    at, x = langid.vector("some text of no importance at all", np.ones(langid.FEATURES))
+    assert model.logits(at, x) == pytest.approx(x @ weights[at] + weights[langid.FEATURES])
+    assert len(model.values) == (weights != 0).sum()
+
+
+ITALIAN = "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita."
+POLISH = "Litwo! Ojczyzno moja! ty jesteś jak zdrowie. Ile cię trzeba cenić, ten tylko się dowie, kto cię stracił."
+CODE = "for (int i = 0; i < count; ++i) { if (values[i] > maximum) { maximum = values[i]; index = i; } } return maximum;"
+
+
+def test_texts_of_no_learnt_language_are_not_recognised(spark):
+    """Learnt from the test documents; short learnt texts stay, as do the documents themselves."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs)
+    noise = "".join(random.Random(3).choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(300))
+    for text in (ITALIAN, POLISH, CODE, noise, "Съешь же ещё этих мягких французских булок да выпей чаю и иди домой спокойно спать."):
+        assert not model.predict(text)[2], text
+    kept = langid.predict(docs, model)
+    assert kept.where("NOT recognised").count() == 0
+    lines = [t for r in docs.limit(200).collect() if r["text"] for t in r["text"].split("\n") if 20 < len(t) < 60]
+    assert len(lines) > 20 and all(model.predict(t)[2] for t in lines)
+    assert model.predict("123 456") == ("und", 0.0, False) and model.predict(None) == ("und", 0.0, False)

@@ -9,6 +9,11 @@ rates, elastic net) on a bounded sample: of each language the ``per_class``
 documents with the smallest id hashes.  Of these every fifth is kept back to
 fit the temperature that calibrates the scores.
 
+A linear model gives every text some language.  Whether a text is ``recognised``
+is judged by its score's margin over chance, 1 / languages, and by the rarity of
+its n-grams (their mean inverse document frequency) against the sample's texts
+of that language; texts of fewer than ``SHORT`` letters are too short for either.
+
 Learnt from: text and non-null lang of documents whose crc32(doc_id as text)
 modulo ``folds`` is not 0.  A prediction reads the text alone.
 
@@ -21,6 +26,7 @@ repeated rows get the same prediction.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -56,11 +62,16 @@ def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     return features, total[features]
 
 
+def tf_idf(features: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Values of the features, scaled to length 1."""
+    x = (1 + np.log(counts)) * idf[features]
+    return x / np.sqrt((x * x).sum())
+
+
 def vector(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Features and TF-IDF values, scaled to length 1."""
+    """Features and TF-IDF values of a text."""
     features, counts = ngram_counts(text)
-    x = (1 + np.log(counts)) * idf[features]
-    return features, x / np.sqrt((x * x).sum())
+    return features, tf_idf(features, counts, idf)
 
 
 def is_held_out(doc_id: Column, folds: int) -> Column:
@@ -132,22 +143,51 @@ def temperature(logits: np.ndarray, classes: np.ndarray) -> float:
     return float(np.exp((lo + hi) / 2))
 
 
-class Model:
-    """What a prediction needs; its size is bounded by FEATURES times the languages."""
+DEVIATIONS = 6  # of rarity above a language's mean from which on a text is not one of it
+SHORT = 60  # letters: fewer are too little to tell a language that was not learnt
+MARGIN = 1 / 3  # of the way from a chance score to certainty that a recognised text must go
+
+
+def is_short(text: str) -> bool:
+    return next(islice(LETTER.finditer(text), SHORT - 1, None), None) is None
 
-    def __init__(self, languages: list[str], idf: np.ndarray, weights: np.ndarray, temperature: float):
-        self.languages, self.idf, self.weights, self.temperature = languages, idf, weights, temperature
 
-    def logits(self, text: str) -> np.ndarray:
-        at, x = vector(text, self.idf)
-        return x @ self.weights[at] + self.weights[FEATURES]
+def rarity(features: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> float:
+    """Mean inverse document frequency of a text's n-grams: high if few learnt documents have them."""
+    return float((counts * idf[features]).sum() / counts.sum()) if len(counts) else 0.0
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+
+class Model:
+    """What a prediction needs.  Weights that elastic net left at zero are not held: for
+    each feature the languages with a weight, and the weights."""
+
+    def __init__(self, languages: list[str], idf: np.ndarray, weights: np.ndarray, temperature: float,
+                 strange: np.ndarray | None = None):
+        self.languages, self.idf, self.temperature = languages, idf.astype(np.float32), temperature
+        feature, self.columns = (x.astype(np.int32) for x in np.nonzero(weights))
+        self.values = weights[feature, self.columns]
+        self.starts = np.searchsorted(feature, np.arange(FEATURES + 2)).astype(np.int32)
+        #: by language, the rarity from which on a text is not one of it
+        self.strange = np.full(len(languages), np.inf) if strange is None else strange
+
+    def logits(self, features: np.ndarray, x: np.ndarray) -> np.ndarray:
+        at, x = np.r_[features, FEATURES], np.r_[x, 1.0]
+        first, size = self.starts[at], self.starts[at + 1] - self.starts[at]
+        each = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return np.bincount(self.columns[each], weights=self.values[each] * np.repeat(x, size), minlength=len(self.languages))
+
+    def predict(self, text: str | None) -> tuple[str, float, bool]:
+        """Language, score, and whether the text is recognised as one of that language: its
+        score is a margin above chance and its n-grams are not too rare.  A short text is
+        taken for what it is most like."""
         if text is None or not self.languages or not LETTER.search(text):
-            return "und", 0.0
-        p = softmax(self.logits(text) / self.temperature)
-        best = int(p.argmax())
-        return self.languages[best], float(p[best])
+            return "und", 0.0, False
+        features, counts = ngram_counts(text)
+        p = softmax(self.logits(features, tf_idf(features, counts, self.idf)) / self.temperature)
+        best, chance = int(p.argmax()), 1 / len(p)
+        sure = p[best] >= chance + MARGIN * (1 - chance)
+        usual = rarity(features, counts, self.idf) < self.strange[best]
+        return self.languages[best], float(p[best]), bool((sure and usual) or is_short(text))
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", folds: int = 5,
@@ -189,12 +229,12 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
         kept_back = (frame["rank"] % 5 == 0).to_numpy()
         w = ftrl([v for v, k in zip(x, kept_back, strict=True) if not k], y[~kept_back], len(names),
                  epochs, alpha, beta, l1, l2)
-        model = Model(names, idf, w, 1.0)
         logits = np.array([x[i][1] @ w[x[i][0]] + w[FEATURES] for i in np.flatnonzero(kept_back)])
-        model.temperature = temperature(logits, y[kept_back])
+        rare = np.array([rarity(*ngram_counts(t), idf) for t in frame["text"]])
+        strange = [max(rare[y == i].mean() + DEVIATIONS * rare[y == i].std(), 1.5 * rare[y == i].mean()) for i in range(len(names))]
         at = np.flatnonzero((w != 0).any(axis=1))
         return pd.DataFrame({"feature": np.r_[at, -1].astype(np.int32),
-                             "w": [*w[at].tolist(), [model.temperature]], "names": [None] * len(at) + [names]})
+                             "w": [*w[at].tolist(), [temperature(logits, y[kept_back]), *strange]], "names": [None] * len(at) + [names]})
 
     fitted = sample.withColumn("all", F.lit(True)).groupBy("all").applyInPandas(train, "feature int, w array<double>, names array<string>").toPandas()
     if fitted.empty:
@@ -205,20 +245,21 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     w = np.zeros((FEATURES + 1, len(names)))
     if len(rest):
         w[rest["feature"].to_numpy()] = np.vstack(rest["w"].to_numpy())
-    return Model(names, idf, w, float(last["w"][0]))
+    return Model(names, idf, w, float(last["w"][0]), np.array(last["w"][1:]))
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Every row of ``docs`` with lang_pred and score."""
+    """Every row of ``docs`` with lang_pred, score and recognised."""
     ship(docs.sparkSession)
+    made = ["lang_pred", "score", "recognised"]
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, recognised boolean")
     def predicted(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([model.predict(t) for t in texts], columns=["lang_pred", "score"])
+        return pd.DataFrame([model.predict(t) for t in texts], columns=made)
 
-    own = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "__lang")]
+    own = [c for c in docs.columns if c.lower() not in (*made, "__lang")]
     return docs.select(*[docs[c] for c in own], predicted(docs[text]).alias("__lang")).select(
-        *own, "__lang.lang_pred", "__lang.score")
+        *own, *[f"__lang.{c}" for c in made])
 
 
 def identify(docs: DataFrame, folds: int = 5) -> DataFrame:
