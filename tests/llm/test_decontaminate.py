@@ -71,3 +71,37 @@ def test_empty_tables(spark, none, odd):
     free = decontaminate.digest(decontaminate.contamination(odd, items.limit(0))).collect()
     assert len(free) == odd.count()
     assert not any(r["contaminated"] for r in free)
+
+
+def test_every_window_is_under_its_rarest_term_once():
+    rnd = random.Random(9)
+    items = [(str(i), " ".join(f"w{int(rnd.paretovariate(0.6)) % 200}" for _ in range(rnd.randrange(0, 40)))) for i in range(60)]
+    items += [items[3], ("short", "one two"), ("none", None)]
+    held = decontaminate.Windows(items, 13)
+    want = {}
+    for name, text in items:
+        w = decontaminate.words(text)
+        for at in range(max(1, len(w) - 12) if w else 0):
+            want.setdefault(tuple(w[at:at + 13]), set()).add(name)
+    got = {}
+    often = {}
+    for w in want:
+        for t in set(w):
+            often[t] = often.get(t, 0) + 1
+    for k, term in enumerate(held.terms):
+        for window in held.of_rarest(k):
+            spelled = tuple(held.terms[t] for t in held.window(window))
+            assert spelled not in got and term in spelled
+            assert often[term] == min(often[t] for t in spelled)
+            got[spelled] = set(held.of_window(window))
+    assert got == want
+
+
+def test_a_large_query_set_stays_small_in_the_closure():
+    """What a task is sent of 300,000 windows: about 30 bytes each and the items' names."""
+    from pyspark.cloudpickle import dumps
+
+    rnd = random.Random(1)
+    items = [(str(i), " ".join(f"w{rnd.randrange(30_000)}" for _ in range(150))) for i in range(2_200)]
+    held = decontaminate.Windows(items, 13)
+    assert len(held.starts) > 300_000 and len(dumps(held)) < 35 * len(held.starts)

@@ -5,16 +5,21 @@ task reads), every word of a shard has a position in it, and for every test
 term that occurs the shard stores the ascending list of its positions.  Only
 terms of the test items are stored, since no other list is ever asked for.
 
-``search`` intersects, shard by shard, the position lists of a window's terms,
-each moved back by the term's offset in the window, beginning with the term
-whose list is shortest there; what is left are the exact phrase's beginnings.
+``search`` goes, shard by shard, through the terms that the shard holds, and
+from each to the windows of which it is the rarest term (the one in fewest of
+all windows): a window whose rarest term a shard lacks costs nothing there.  It
+intersects the position lists of the window's terms, each moved back by the
+term's offset in the window, beginning with the term whose list is shortest in
+the shard; what is left are the exact phrase's beginnings.
 A proximity match needs every term of the window within ``slop`` words of an
 occurrence of the rarest one, in any order; it is reported, and does not count
 as a hit.
 
 Test items are the stated query set.  They are sent to the tasks in blocks of
 at most ``block_bytes`` of text, one pass over the documents for each, so what
-a task holds of them is bounded however many there are.
+a task holds of them is bounded however many there are: the numbers of a
+block's words and, for each different window, where it stands among them (about
+30 bytes a window).
 
 Words: A-Z is lower-cased and everything in ASCII but letters and digits
 separates.  Defined results: a null or wordless text has no words and is never
@@ -45,29 +50,67 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8").translate(WORDS).split()
 
 
-def windows(items: list[tuple[str, str | None]], width: int) -> dict[tuple[bytes, ...], list[int]]:
-    """Every distinct window of the items, with the positions in ``items`` of those it is from."""
-    out: dict[tuple[bytes, ...], list[int]] = {}
-    for i, (_, text) in enumerate(items):
-        w = tuple(words(text))
-        for at in range(max(1, len(w) - width + 1) if w else 0):
-            of = out.setdefault(w[at: at + width], [])
-            if not of or of[-1] != i:
-                of.append(i)
-    return out
-
-
-INDEX = "shard long, term binary, positions binary, doc binary"
-
-
-def build_index(docs: DataFrame, terms: set[bytes], gap: int, text: str, row: list[str]) -> DataFrame:
-    """Rows (shard, term, positions) and, with a null term, (shard, null,
+class Windows:
+    """The different windows of a block of items, as places in one array of word numbers."""
+
+    def __init__(self, items: list[tuple[str, str | None]], width: int):
+        self.names = [i for i, _ in items]
+        found = [words(text) for _, text in items]
+        self.terms = sorted({t for w in found for t in w})
+        number = {t: i for i, t in enumerate(self.terms)}
+        sizes = np.array([len(w) for w in found], dtype=np.int64)
+        self.words = np.fromiter((number[t] for w in found for t in w), dtype=np.int32, count=int(sizes.sum()))
+        begins = np.cumsum(sizes) - sizes
+        held: dict[bytes, int] = {}
+        starts, lengths, of = [], [], []  # of: (window, item)
+        for i, (begin, n) in enumerate(zip(begins.tolist(), sizes.tolist(), strict=True)):
+            length = min(n, width)
+            for at in range(begin, begin + max(1, n - width + 1) if n else begin):
+                window = held.setdefault(self.words[at:at + length].tobytes(), len(starts))
+                if window == len(starts):
+                    starts.append(at)
+                    lengths.append(length)
+                of.append((window, i))
+        self.starts, self.lengths = np.array(starts, dtype=np.int32), np.array(lengths, dtype=np.int16)
+        # the items of each window, and the windows of which a term is the rarest, as runs
+        pairs = np.unique(np.array(of, dtype=np.int32).reshape(-1, 2), axis=0)
+        self.items, self.item_runs = pairs[:, 1].copy(), np.searchsorted(pairs[:, 0], np.arange(len(starts) + 1)).astype(np.int32)
+        often, rarest = np.zeros(len(self.terms), dtype=np.int64), np.zeros(len(starts), dtype=np.int32)
+        for n in np.unique(self.lengths).tolist():
+            same = np.flatnonzero(self.lengths == n)
+            for at in (same[k:k + 100_000] for k in range(0, len(same), 100_000)):
+                rows = np.sort(self.words[self.starts[at][:, None] + np.arange(n)], axis=1)
+                first = np.c_[np.ones(len(rows), dtype=bool), rows[:, 1:] != rows[:, :-1]]
+                often += np.bincount(rows[first], minlength=len(often))
+        for n in np.unique(self.lengths).tolist():
+            same = np.flatnonzero(self.lengths == n)
+            for at in (same[k:k + 100_000] for k in range(0, len(same), 100_000)):
+                rows = self.words[self.starts[at][:, None] + np.arange(n)]
+                rarest[at] = rows[np.arange(len(at)), often[rows].argmin(axis=1)]
+        self.by_rarest = np.argsort(rarest, kind="stable").astype(np.int32)
+        self.rarest_runs = np.searchsorted(rarest[self.by_rarest], np.arange(len(self.terms) + 1)).astype(np.int32)
+
+    def of_rarest(self, term: int) -> list[int]:
+        return self.by_rarest[self.rarest_runs[term]:self.rarest_runs[term + 1]].tolist()
+
+    def of_window(self, window: int) -> list[str]:
+        return [self.names[i] for i in self.items[self.item_runs[window]:self.item_runs[window + 1]].tolist()]
+
+    def window(self, window: int) -> list[int]:
+        at = self.starts[window]
+        return self.words[at:at + self.lengths[window]].tolist()
+
+
+INDEX = "shard long, term int, positions binary, doc binary"
+
+
+def build_index(docs: DataFrame, names: list[bytes], gap: int, text: str, row: list[str]) -> DataFrame:
+    """Rows (shard, term's place in ``names``, positions) and, with a null term, (shard, null,
     beginnings of the documents, the documents' own columns); written to the
     shared folder.  ``gap`` free positions between documents keep a window or a
     proximity match from reaching into the next one."""
     ship(docs.sparkSession)
-    numbers = {t: i for i, t in enumerate(sorted(terms))}
-    names = sorted(terms)
+    numbers = {t: i for i, t in enumerate(names)}
 
     def postings(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pyarrow as pa
@@ -97,7 +140,7 @@ def build_index(docs: DataFrame, terms: set[bytes], gap: int, text: str, row: li
             tails = np.r_[heads[1:], len(found)] if len(heads) else heads
             yield pd.DataFrame({
                 "shard": shard,
-                "term": [names[found[h]] for h in heads] + [None],
+                "term": pd.array([*found[heads].tolist(), None], dtype="Int32"),
                 "positions": [places[a:b].astype(np.int32).tobytes() for a, b in zip(heads, tails, strict=True)]
                 + [starts.tobytes()],
                 "doc": [None] * len(heads) + [sink.getvalue().to_pybytes()],
@@ -133,12 +176,9 @@ def _near(lists: list[np.ndarray], slop: int) -> np.ndarray:
 HITS = "n_words long, n_hit long, starts binary, items array<string>, near array<string>"
 
 
-def search(index: DataFrame, items: list[tuple[str, str | None]], width: int, slop: int, schema: str) -> DataFrame:
+def search(index: DataFrame, asked: Windows, slop: int, schema: str) -> DataFrame:
     """Matches of each document: its own columns, n_words, the hit positions
     (binary, 64-bit) and the ids of the items found exactly and by proximity."""
-    asked = list(windows(items, width).items())
-    names = [i for i, _ in items]
-
     def matches(shard: pd.DataFrame) -> pd.DataFrame:
         import pyarrow as pa
 
@@ -146,20 +186,20 @@ def search(index: DataFrame, items: list[tuple[str, str | None]], width: int, sl
         own = pa.ipc.open_stream(head["doc"]).read_all().to_pandas()
         starts, counts = np.frombuffer(head["positions"], dtype=np.int64), own.pop("__n").to_numpy()
         rest = shard[shard["term"].notna()]
-        lists = {bytes(t): np.frombuffer(p, dtype=np.int32) for t, p in zip(rest["term"], rest["positions"], strict=True)}
+        lists = {int(t): np.frombuffer(p, dtype=np.int32) for t, p in zip(rest["term"], rest["positions"], strict=True)}
         hit = np.zeros(int(starts[-1] + counts[-1]) if len(starts) else 0, dtype=bool)
         exact: list[set[str]] = [set() for _ in starts]
         near: list[set[str]] = [set() for _ in starts]
-        for window, of in asked:
-            of_terms = [lists.get(t) for t in window]
+        for window in (w for term in lists for w in asked.of_rarest(term)):
+            of_terms = [lists.get(t) for t in asked.window(window)]
             if any(x is None for x in of_terms):
                 continue
             begin = _match(of_terms)
-            for i in range(len(window) if len(begin) else 0):
+            for i in range(len(of_terms) if len(begin) else 0):
                 hit[begin + i] = True
             for into, places in ((exact, begin), (near, _near(of_terms, slop))):
                 for d in np.unique(np.searchsorted(starts, places, side="right") - 1).tolist():
-                    into[d].update(names[i] for i in of)
+                    into[d].update(asked.of_window(window))
         own["n_words"] = counts
         inside = [np.flatnonzero(hit[s: s + n]) for s, n in zip(starts.tolist(), counts.tolist(), strict=True)]
         own["n_hit"] = [len(x) for x in inside]
@@ -197,12 +237,12 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 13, slop: int
     row = ["doc_id", "text_key"]
     found = []
     for block in item_blocks(items, item_id, item_text, block_bytes):
-        terms = {t for w in windows(block, width) for t in w}
-        index = build_index(kept, terms, gap=max(width, slop) + 1, text="text", row=row)
-        found.append(search(index, block, width, slop, schema))
+        asked = Windows(block, width)
+        index = build_index(kept, asked.terms, gap=max(width, slop) + 1, text="text", row=row)
+        found.append(search(index, asked, slop, schema))
     if not found:
-        index = build_index(kept, set(), gap=1, text="text", row=row)
-        found.append(search(index, [], width, slop, schema))
+        asked = Windows([], width)
+        found.append(search(build_index(kept, [], gap=1, text="text", row=row), asked, slop, schema))
     if len(found) == 1:
         return found[0].drop("starts", "text_key")
     return _over_blocks([stage(f, "matches") for f in found])
