@@ -366,7 +366,7 @@ def with_counts(left: pa.Table, right: pa.Table) -> pa.Table:
         "count_sum", pa.array(sums[1], pa.int64())).append_column("groups_sha256", docs["groups_sha256"])
 
 
-def alignments(docs: DataFrame, a_path: str, pattern: str, b_path: str, block_bytes: int = 2 << 20,
+def alignments(docs: DataFrame, a_path: str, pattern: str, b_path: str, block_bytes: int = 1 << 20,
                doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(one row per row of ``docs`` with its numbers and groups_sha256; the corpus-wide
     counts: a, b, n, is_best)."""
