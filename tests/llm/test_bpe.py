@@ -53,3 +53,15 @@ def test_other_columns_stay(odd):
     out = bpe.encode_documents(odd, WORD_BPE)
     assert {"doc_id", "lang", "fp", "size"} <= set(out.columns)
     assert out.columns.count("n_tokens") == 1
+
+
+def test_every_code_point_is_split_as_the_library_does(library):
+    own = bpe.WordBpe(WORD_BPE)
+    points = [c for c in range(1, 0x33500) if not 0xD800 <= c < 0xE000] + list(range(0xE0000, 0xE0200))
+    texts = [f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}" for c in points]
+    wrong = []
+    for i in range(0, len(texts), 20_000):
+        want = library.encode_batch_fast(texts[i:i + 20_000], add_special_tokens=False)
+        wrong += [hex(points[i + k]) for k, e in enumerate(want)
+                  if np.frombuffer(own.encode(texts[i + k]), "<u4").tolist() != e.ids]
+    assert not wrong

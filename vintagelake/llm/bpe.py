@@ -32,6 +32,28 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CONTROLS = regex.compile(r"[\x1c-\x1f]")
 
 
+def unassigned() -> list[str]:
+    """Characters that have no meaning in this Python's Unicode tables."""
+    return [chr(c) for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) == "Cn"]
+
+
+@lru_cache(maxsize=1)
+def newer_tables() -> tuple[regex.Pattern, dict[int, str]]:
+    """Where the tokenizers library knows another Unicode than ``regex`` and Python: characters
+    that are letters or digits to ``regex`` and not to it, and capitals that only it
+    turns to lower case.  Both are among the characters unassigned here; the library
+    is asked, as its tables are not published."""
+    from tokenizers import Regex, normalizers, pre_tokenizers
+
+    spare = unassigned()
+    doubted = regex.findall(r"[\p{L}\p{N}]", "".join(spare))
+    pieces = pre_tokenizers.Split(Regex(r"[\p{L}\p{N}]"), "isolated").pre_tokenize_str(f" {' '.join(doubted)} ")
+    foreign = set(doubted) - {p for p, _ in pieces}
+    lower = normalizers.Lowercase().normalize_str(" ".join(spare)).split(" ")
+    case = {ord(c): low for c, low in zip(spare, lower, strict=True) if c != low}
+    return regex.compile("[" + "".join(map(regex.escape, sorted(foreign))) + "]" if foreign else r"(?!)"), case
+
+
 def byte_symbols() -> list[str]:
     """One printable character per byte: printable Latin-1 stands for itself, the rest follow from U+0100."""
     out, extra = [], 0x100
@@ -88,7 +110,8 @@ class WordBpe:
         for t, i in [*vocab.items(), *self.special.items()]:
             self.token[i] = t
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words = regex.compile(split["pattern"]["Regex"].replace(r"\s", SPACE)).findall
+        self.split = regex.compile(split["pattern"]["Regex"].replace(r"\s", SPACE))
+        self.foreign, self.case = newer_tables()
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.first = [vocab[s] for s in byte_symbols()]
         self.last = [vocab[s + suffix] for s in byte_symbols()]
@@ -123,6 +146,12 @@ class WordBpe:
             sym = [s for s in sym if s >= 0]
         return struct.pack(f"<{len(sym)}I", *sym)
 
+    def words(self, chunk: str) -> list[str]:
+        if chunk.isascii() or not self.foreign.search(chunk):
+            return self.split.findall(chunk)
+        masked = self.foreign.sub("\u2603", chunk)  # any character that is neither letter nor digit
+        return [chunk[m.start():m.end()] for m in self.split.finditer(masked)]
+
     def words_of_chunk(self, chunk: str) -> bytes:
         return b"".join(map(self.word_ids, self.words(chunk)))
 
@@ -137,6 +166,8 @@ class WordBpe:
                 out.append(struct.pack("<I", self.special[part]))
             else:
                 part = lower_each(unicodedata.normalize("NFC", part))
+                if not part.isascii():
+                    part = part.translate(self.case)
                 # no word holds white space; str.split also cuts at four controls that are none
                 chunks = self.words(part) if CONTROLS.search(part) else part.split()
                 out.extend(map(self.chunk_ids, chunks))
