@@ -61,3 +61,41 @@ def test_marks_are_not_needed():
     want = "\n".join(["T", ("word " * 60).strip(), "Yes."])
     assert html_text.main_text(page) == want
     assert html_text.main_text(page.replace("article", "div")) == want
+
+
+def test_many_unmatched_ends_and_unclosed_elements_take_linear_time():
+    import time
+
+    body = "<article><p>" + "words of the article " * 40 + "</p></article>"
+    for junk in ("</b>" * 50_000, "<i>" * 20_000 + "</b>" * 50_000, "<span>" * 50_000 + "<p>" * 10, "</div>" * 50_000):
+        began = time.process_time()
+        assert "words of the article" in html_text.main_text(f"<body>{junk}{body}</body>")
+        assert time.process_time() - began < 3  # a second here, twice that on a busy machine
+
+
+def test_smoothing_and_regions_by_definition():
+    import math
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(6)
+    for _ in range(60):
+        ratios = [rnd.choice([0.0, 0.5, 3.0, 40.0, 200.0]) * rnd.random() for _ in range(rnd.randrange(1, 40))]
+        sigma, deviations = rnd.choice([0.5, 1.0, 2.0]), 1.5
+        level = []
+        for i in range(len(ratios)):
+            near = [(math.exp(-0.5 * ((i - j) / sigma) ** 2), ratios[j]) for j in range(len(ratios)) if abs(i - j) <= math.ceil(3 * sigma)]
+            level.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
+        assert html_text.smooth(np.array(ratios), sigma).tolist() == pytest.approx(level)
+        mean = sum(level) / len(level)
+        spread = math.sqrt(sum((x - mean) ** 2 for x in level) / len(level))
+        threshold = min(mean, max(mean - deviations * spread, 0.15 * max(level)))
+        if any(abs(x - threshold) < 1e-9 for x in level):
+            continue
+        inside = [x >= threshold and r >= threshold / 2 for x, r in zip(level, ratios, strict=True)]
+        held = [i for i, x in enumerate(inside) if x]
+        for a, b in zip(held, held[1:]):
+            if b - a <= 3:
+                inside[a:b] = [True] * (b - a)
+        assert html_text.regions(np.array(ratios), sigma, deviations).tolist() == inside

@@ -29,6 +29,7 @@ space; blocks are joined by one newline in page order; nothing is cut.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 from typing import NamedTuple
 
@@ -93,6 +94,7 @@ class Blocks(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.open: list[Open] = []
+        self.names: Counter[str] = Counter()  # of the open elements
         self.skipping = self.silent = self.doubted = self.in_links = self.opened = 0
         # of lines in parts that may hold the article, and in those that never do
         self.text: tuple[list[str], list[str]] = ([], [])
@@ -123,6 +125,7 @@ class Blocks(HTMLParser):
             self.silent -= was.silent
             self.doubted -= was.doubted
             self.in_links -= was.tag == "a"
+            self.names[was.tag] -= 1
         del self.open[i:]
 
     def handle_starttag(self, tag, attrs):
@@ -133,7 +136,7 @@ class Blocks(HTMLParser):
         if tag in VOID:
             return
         # elements whose end may be left out
-        if tag in NO_NESTING or tag in ENDS_P:
+        if tag in NO_NESTING and self.names[tag] or tag in ENDS_P and self.names["p"]:
             for i in range(len(self.open) - 1, -1, -1):
                 name = self.open[i].tag
                 if name == tag and tag in NO_NESTING or name == "p" and tag in ENDS_P:
@@ -161,6 +164,7 @@ class Blocks(HTMLParser):
         container = outer.container
         if tag in CONTAINERS:
             container = 0 if tag in ("body", "html") else self.opened
+        self.names[tag] += 1
         self.open.append(Open(tag, skips, silent, doubted, article, container))
         self.skipping += skips
         self.silent += silent
@@ -175,6 +179,8 @@ class Blocks(HTMLParser):
         self.count_tag(tag)
         if tag in BLOCKS:
             self.end_block()
+        if not self.names[tag]:  # an end without a beginning: nothing to look for
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i].tag == tag:
                 self.pop_to(i)
