@@ -35,6 +35,9 @@ def ship(spark: SparkSession) -> None:
     sc._vintagelake_shipped = True
 
 
+#: Folders that ``stage`` has made in this application, in order.
+MADE: list[str] = []
+
 #: Spark drops a query's shuffle files at its end when this is set.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -48,6 +51,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, "vintagelake-llm", f"{label}-{uuid.uuid4().hex}")
+    MADE.append(path)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
@@ -68,6 +72,18 @@ def drop_stage(df: DataFrame) -> None:
             delete_path(df.sparkSession, folder)
 
 
+def drop_made_since(spark: SparkSession, n: int, keep: DataFrame) -> None:
+    """Delete the folders that were staged after the first ``n``, but for the one behind ``keep``.
+    For a run whose last result is written: nothing reads the others any more."""
+    from vintagelake.session import delete_path
+
+    held = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for f in keep.inputFiles()}
+    for path in MADE[n:]:
+        if path.rsplit("/", 1)[-1] not in held:
+            delete_path(spark, path)
+            MADE.remove(path)
+
+
 def text_bytes(docs: DataFrame, col: str = "text") -> int:
     """UTF-8 bytes of a text column, summed over all rows (one number comes back)."""
     return int(docs.agg(F.sum(F.octet_length(F.col(col))).alias("b")).first()["b"] or 0)
