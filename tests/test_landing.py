@@ -215,3 +215,62 @@ def test_observed_counts_of_an_empty_load(spark):
     empty.observe(seen, *P.load_metrics("x")).write.format("noop").mode("overwrite").save()
     assert seen.get["n_rows"] == 0 and seen.get["min_month"] is None
     assert empty.agg(F.count("*")).first()[0] == 0
+
+
+def test_days_of_landed_reports_come_from_names_and_keys(spark, tmp_path):
+    from vintagelake.streaming import landed_days
+
+    days = [f"2024-04-{d:02d}" for d in (1, 8, 15)]
+    put(tmp_path / "in", "x", *[{"report_date": d, "page": d, "payload": page(1.0, day=d)} for d in days],
+        {"report_date": "2024-04-22", "page": "empty", "payload": "[]"})
+    for name, lands in (("appended", land), ("keyed", land_keyed)):
+        target = str(tmp_path / name)
+        lands(spark, str(tmp_path / "in"), target, "report").awaitTermination()
+        found = landed_days(spark, target)
+        assert sorted(str(r.report_date) for r in found.collect()) == days
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "value" not in plan and "subRegion" not in plan  # no data file of rows is read
+        assert (name == "keyed") == ("Relation" in plan.replace("LocalRelation", ""))
+
+
+def test_published_versions_are_whole_or_not_there(spark, tmp_path):
+    from vintagelake.sinks import publish_table, read_published
+
+    path, schema = str(tmp_path / "t"), "source string, n int"
+
+    def frame(n):
+        return spark.createDataFrame([("a", n), ("b", n)], schema)
+
+    def held():
+        return sorted(tuple(r) for r in read_published(spark, path, schema).collect())
+
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, path, schema)
+    publish_table(frame(0), path, ["source"])
+    begun = read_published(spark, path, schema)  # a reader that has planned, and reads during the next refresh
+    publish_table(frame(1), path, ["source"])
+    assert sorted(tuple(r) for r in begun.collect()) == [("a", 0), ("b", 0)] and held() == [("a", 1), ("b", 1)]
+    # a refresh that breaks off while it writes, and one that ends before its mark
+    with pytest.raises(Exception, match="broken"):
+        publish_table(frame(2).withColumn("n", F.raise_error(F.lit("broken")).cast("int")), path)
+    frame(3).write.parquet(f"{path}/versions/{2:012d}-unmarked")
+    assert held() == [("a", 1), ("b", 1)]
+    with pytest.raises(ValueError):
+        publish_table(frame(4).limit(0), path)
+    assert held() == [("a", 1), ("b", 1)]
+    publish_table(read_published(spark, path, schema).withColumn("n", F.col("n") + 10), path)  # from itself
+    assert held() == [("a", 11), ("b", 11)]
+    publish_table(frame(5), path)
+    assert held() == [("a", 5), ("b", 5)] and len(list_folder(spark, f"{path}/_published")) == 2
+    assert len(list_folder(spark, f"{path}/versions")) == 2  # the one that never was whole is gone too
+
+
+def test_job_publishes_its_table(spark, tmp_path):
+    from vintagelake.sinks import read_published
+
+    put(tmp_path / "landing" / "report", "x", report(page(10.0)))
+    cfg = JobConfig(landing=str(tmp_path / "landing"), published=str(tmp_path / "t"), as_of="2024-05-06", payload_format="json")
+    summary = {r.source: r.n_rows for r in run(spark, cfg).collect()}
+    schema = "reportDate string, month string, location string, value double, source string"
+    rows = read_published(spark, cfg.published, schema)
+    assert rows.count() == summary[None] > 0 and 10.0 in [r.value for r in rows.collect()]

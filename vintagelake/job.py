@@ -24,13 +24,14 @@ from vintagelake.schemas import SINK_COLUMNS
 from vintagelake.operators.combine import sink_rows
 from vintagelake.operators.reshape import observed_values, wide_view
 from vintagelake.plans import providers
-from vintagelake.sinks import full_refresh_jdbc, full_refresh_table, run_summary, write_csv_snapshot
+from vintagelake.sinks import (full_refresh_jdbc, full_refresh_table, publish_table, read_published, run_summary,
+                               write_csv_snapshot)
 from vintagelake.sources import dims
 from vintagelake.session import local_frame, path_exists
 from vintagelake.sources.payloads import (load_metrics, of_item, read_payloads, release_index_outcomes,
                                           release_series_outcomes, report_outcomes)
 from vintagelake.sources.tables import read_editions_jdbc
-from vintagelake.streaming.landing import read_landed
+from vintagelake.streaming.landing import landed_days, read_landed
 
 #: Counts and ranges of a report load.
 LOAD_SCHEMA = ("min_report_date date, max_report_date date, min_month date, max_month date, n_rows long, "
@@ -42,6 +43,7 @@ LOAD_COLUMNS = [c.split()[0] for c in LOAD_SCHEMA.split(", ")]
 class JobConfig:
     landing: str                       # folder with the landed tables below
     target: str | None = None          # parquet target (full refresh)
+    published: str | None = None       # versioned parquet target (sinks.publish_table)
     jdbc: dict[str, str] | None = None  # url, dbtable, user, ... (full refresh)
     csv_folder: str | None = None      # edition snapshot folder
     as_of: str = ""                    # report calendar as-of date (never the clock)
@@ -146,7 +148,7 @@ def build(spark: SparkSession, cfg: JobConfig, stage=providers.stage,
             payloads["report"], hierarchy, renames, cfg.report_start, cfg.as_of, item=dims.REPORT_ITEM, stage=stage)
     elif "report" in landed:
         builders["report"] = lambda: providers.report_provider(
-            landed["report"].where(of_item(dims.REPORT_ITEM)).drop("item"), landed["report"].select("report_date"),
+            landed["report"].where(of_item(dims.REPORT_ITEM)).drop("item"), landed_days(spark, cfg.path("report_rows")),
             hierarchy, renames, cfg.report_start, cfg.as_of, stage=stage)
     if editions is not None:
         # fixed ids reach the scan as an IN filter; a custom dimension is a semi-join
@@ -182,6 +184,9 @@ def run(spark: SparkSession, cfg: JobConfig) -> DataFrame:
             full_refresh_table(rows, cfg.target, partition_by=["source"])
             # later sinks read the written table instead of computing the union again
             rows = spark.read.schema(rows.schema).parquet(cfg.target).select(*SINK_COLUMNS)
+        if cfg.published:
+            version = publish_table(rows, cfg.published, partition_by=["source"])
+            rows = read_published(spark, cfg.published, rows.schema, version).select(*SINK_COLUMNS)
         if cfg.jdbc:
             opts = dict(cfg.jdbc)
             full_refresh_jdbc(rows, opts.pop("url"), opts.pop("dbtable"), opts)
@@ -200,6 +205,7 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--landing", required=True)
     ap.add_argument("--target")
+    ap.add_argument("--published", help="versioned target: readers always see one whole version")
     ap.add_argument("--jdbc", help="JSON object of JDBC options incl. url and dbtable")
     ap.add_argument("--csv-folder")
     ap.add_argument("--as-of", required=True)
@@ -215,7 +221,7 @@ def main(argv: list[str] | None = None) -> None:
     a = ap.parse_args(argv)
     from vintagelake.session import get_spark
     spark = get_spark(app="vintagelake-job")
-    cfg = JobConfig(landing=a.landing, target=a.target, jdbc=json.loads(a.jdbc) if a.jdbc else None,
+    cfg = JobConfig(landing=a.landing, target=a.target, published=a.published, jdbc=json.loads(a.jdbc) if a.jdbc else None,
                     csv_folder=a.csv_folder, as_of=a.as_of, run_date=a.run_date,
                     release_start=a.release_start, report_start=a.report_start,
                     label_format=a.label_format, payload_format=a.payload_format, debug=a.debug,

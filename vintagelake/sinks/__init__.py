@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from vintagelake.functions import qcol
 from vintagelake.operators.combine import refuse_empty, sink_order
-from vintagelake.session import delete_path, path_exists, rename_path
+from vintagelake.session import delete_path, list_folder, make_file, path_exists, rename_path
 
 
 def full_refresh_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
@@ -64,6 +65,57 @@ def full_refresh_table(df: DataFrame, path: str, partition_by: list[str] | None
     return path
 
 
+def _published(spark: SparkSession, path: str) -> list[str]:
+    """Names of the whole versions, the newest last."""
+    return list_folder(spark, f"{path}/_published")
+
+
+def publish_table(df: DataFrame, path: str, partition_by: list[str] | None = None, allow_empty: bool = False,
+                  keep: int = 2) -> str:
+    """A full refresh that readers never see half of, on any store.
+
+    Each refresh writes a folder of its own, ``versions/<number>-<id>``, which is
+    never changed; an empty file of the same name in ``_published``, made last,
+    says that it is whole.  ``read_published`` takes the newest.  Nothing is
+    renamed, so there is no moment without a table; a refresh that breaks off
+    leaves the version before it.  Of older versions ``keep`` - 1 stay, for readers
+    that have begun with one.  Returns the name of the version.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    before = _published(spark, path)
+    name = f"{int(before[-1].split('-')[0]) + 1 if before else 0:012d}-{uuid.uuid4().hex}"
+    folder = f"{path}/versions/{name}"
+    writer = df.write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    try:
+        writer.parquet(folder)
+        if not allow_empty:
+            refuse_empty(spark.read.schema(df.schema).parquet(folder))
+    except Exception:
+        delete_path(spark, folder)
+        raise
+    make_file(spark, f"{path}/_published/{name}")
+    # also versions without a mark, of refreshes that broke off, once a later one is whole
+    kept = {*before[len(before) - keep + 1:], name} if keep > 1 else {name}
+    newest = name.split("-")[0]
+    for old in list_folder(spark, f"{path}/versions"):
+        if old not in kept and old.split("-")[0] < newest:
+            delete_path(spark, f"{path}/_published/{old}")
+            delete_path(spark, f"{path}/versions/{old}")
+    return name
+
+
+def read_published(spark: SparkSession, path: str, schema: StructType | str, version: str | None = None) -> DataFrame:
+    """The newest whole version of a table, or a given one."""
+    path = path.rstrip("/")
+    names = _published(spark, path)
+    if not names:
+        raise FileNotFoundError(f"{path} has no published version")
+    whole = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    return spark.read.schema(whole).parquet(f"{path}/versions/{version or names[-1]}").select(*[qcol(c) for c in whole.names])
+
+
 def write_vintage_table(df: DataFrame, path: str) -> str:
     """Canonical vintage table partitioned by source and report month, so that
     reads filtered on either prune whole folders."""
