@@ -274,3 +274,20 @@ def test_job_publishes_its_table(spark, tmp_path):
     schema = "reportDate string, month string, location string, value double, source string"
     rows = read_published(spark, cfg.published, schema)
     assert rows.count() == summary[None] > 0 and 10.0 in [r.value for r in rows.collect()]
+
+
+def test_rows_are_not_shuffled_to_leave_out_replaced_payloads(spark, tmp_path):
+    from vintagelake.plans import providers
+
+    target = str(tmp_path / "rows")
+    for i, at in enumerate((EARLY, LATE)):
+        put(tmp_path / "in", str(i), report(page(float(i)), "p", at), report(page(9.0), f"own{i}", at))
+        land_keyed(spark, str(tmp_path / "in"), target, "report").awaitTermination()
+    plan = read_landed(spark, target, "report", stage=providers.stage)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    put(tmp_path / "landing" / "report", "x", report(page(10.0), "p", EARLY), report(page(20.0), "p", LATE))
+    cfg = JobConfig(landing=str(tmp_path / "landing"), as_of="2024-05-06", payload_format="json")
+    opened = open_all(spark, cfg).tables["report"]
+    held = P.held_payloads(opened, schemas.PAYLOAD_KEYS["report"], stage=providers.stage)
+    plan = held._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and held.count() == 1

@@ -89,7 +89,7 @@ def _payloads(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
             for k, schema in kinds.items() if _exists(spark, cfg.path(k))}
 
 
-def _landed(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
+def _landed(spark: SparkSession, cfg: JobConfig, stage) -> dict[str, DataFrame]:
     """The tables of parsed rows that ``streaming.landing`` writes (``<kind>_rows``), by kind:
     keyed ones, or appended ones."""
     kinds = {"release_index": schemas.RELEASE_INDEX, "release_series": schemas.LANDED_RELEASE_SERIES,
@@ -98,7 +98,7 @@ def _landed(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     def read(kind: str) -> DataFrame:
         path = cfg.path(f"{kind}_rows")
         if _exists(spark, f"{path}/keys"):
-            return read_landed(spark, path, kind)
+            return read_landed(spark, path, kind, stage=stage)
         return spark.read.schema(kinds[kind]).parquet(path)
 
     return {k: read(k) for k in kinds if _exists(spark, cfg.path(f"{k}_rows"))}
@@ -134,7 +134,7 @@ def build(spark: SparkSession, cfg: JobConfig, stage=providers.stage,
     series_dim, custom_series = _dim(spark, cfg, "series_dim", schemas.SERIES_DIM, lambda: dims.series_dim(spark))
     hierarchy, _ = _dim(spark, cfg, "hierarchy", schemas.HIERARCHY, lambda: dims.hierarchy(spark, cfg.rollups))
     renames, _ = _dim(spark, cfg, "renames", schemas.RENAME_DIM, lambda: dims.rename_dim(spark))
-    landed, editions = _landed(spark, cfg), _editions(spark, cfg)
+    landed, editions = _landed(spark, cfg, stage), _editions(spark, cfg)
     first = 3 if cfg.debug else None
     builders = {}
     if {"release_index", "release_series"} <= set(payloads):

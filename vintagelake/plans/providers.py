@@ -256,8 +256,8 @@ def open_payloads(kind: str, payloads: DataFrame, bad_rows: str = "drop_payload"
 def release_provider_from_opened(index: DataFrame, series: DataFrame, dataset_dim: DataFrame, start_date,
                                  debug_first: int | None = None, stage=stage) -> DataFrame:
     """Release provider over ``open_payloads`` of indexes and series; of each key the payload landed last holds."""
-    index = P.held_payloads(index, schemas.PAYLOAD_KEYS["release_index"])
-    series = P.held_payloads(series, schemas.PAYLOAD_KEYS["release_series"])
+    index = P.held_payloads(index, schemas.PAYLOAD_KEYS["release_index"], stage=stage)
+    series = P.held_payloads(series, schemas.PAYLOAD_KEYS["release_series"], stage=stage)
     return release_provider(P.release_index_rows(index), P.release_series_rows(series), dataset_dim, start_date,
                             debug_first, stage=stage)
 
@@ -281,7 +281,7 @@ def report_provider_from_opened(opened: DataFrame, hierarchy: DataFrame, renames
     when a page for that day has at least one record, of whatever item; ``item``
     selects records of the reports so found.  Of the pages landed for one
     (report_date, page) the last one holds; a page without a name always does."""
-    held = P.held_payloads(opened, schemas.PAYLOAD_KEYS["report"])
+    held = P.held_payloads(opened, schemas.PAYLOAD_KEYS["report"], stage=stage)
     rows = P.report_records(held).where(P.of_item(item)).drop("item")
     return report_provider(rows, P.opened_with_records(held), hierarchy, renames, start_date, as_of,
                            fallback_days, row_limit=row_limit, stage=stage)

@@ -308,7 +308,7 @@ def _landed_twice(spark, base, kind, payloads, spoiled):
     for at, df in (("2024-01-01", first.withColumn("payload", spoiled)), ("2024-01-02", payloads)):
         df.withColumn("landed_at", F.lit(at).cast("timestamp")).write.mode("append").parquet(source)
         land_keyed(spark, source, target, kind, fmt="parquet").awaitTermination()
-    return read_landed(spark, target, kind)
+    return read_landed(spark, target, kind, stage=providers.stage)
 
 
 @register("report_from_landed")
