@@ -4,6 +4,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
+from tests.llm.conftest import make_docs
 from vintagelake.llm import tokens
 from vintagelake.llm.queries import BYTE_BPE
 
@@ -71,3 +72,39 @@ def test_empty_table_and_wrong_rule(none):
     assert tokens.per_section(tokens.count_tokens(none, BYTE_BPE, public_tokenizers.PATTERN)).count() == 0
     with pytest.raises(ValueError):
         tokens.count_tokens(none, BYTE_BPE, public_tokenizers.PATTERN, rule="other")
+
+
+@pytest.mark.parametrize("rule", tokens.RULES)
+def test_fields_of_a_row_from_one_encoding(spark, odd, odd_rows, rule):
+    """Against every token's characters counted one by one."""
+    coding, _ = tokens.encoder(BYTE_BPE, public_tokenizers.PATTERN)
+    rows = [r for r in odd_rows if r[1] is None or len(r[1]) < 5000]
+    docs = make_docs(spark, rows)
+    got = tokens.count_fields(docs, ["text", "lang", "source"], BYTE_BPE, public_tokenizers.PATTERN, rule).collect()
+    assert len(got) == len(rows) and "fp" in got[0].asDict()
+    for r in got:
+        parts = [r[f] or "" for f in ("text", "lang", "source")]
+        joined = "\n".join(parts)
+        ids = coding.encode_ordinary(joined)
+        assert r["n_tokens"] == len(ids)
+        field_of, at = [], 0
+        for k, part in enumerate(parts):
+            field_of += [k] * len(part) + [None] * (k < 2)
+        want, at, data = [0.0] * 3, 0, joined.encode()
+        for i in ids:
+            piece = coding.decode_single_token_bytes(i)
+            first = len(data[:at].decode(errors="ignore")) if at else 0
+            stop = len(data[:at + len(piece)].decode(errors="ignore"))
+            at += len(piece)
+            own = [field_of[c] for c in range(first, max(stop, first + 1)) if c < len(field_of) and field_of[c] is not None]
+            if not own:
+                continue
+            if rule == "share":
+                for k in own:
+                    want[k] += 1 / len(own)
+            else:
+                k = own[0] if rule == "start" else max(sorted(set(own)), key=own.count)
+                want[k] += 1
+        if joined.isascii():
+            assert [r["field_tokens"][f] for f in ("text", "lang", "source")] == pytest.approx(want)
+        assert sum(r["field_tokens"].values()) <= len(ids) + 1e-9

@@ -135,6 +135,28 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str, rule: str = "ma
         *own, "__counts.n_tokens", "__counts.sections")
 
 
+def count_fields(docs: DataFrame, fields: list[str], vocabulary: str, pattern: str, rule: str = "majority",
+                 separator: str = "\n") -> DataFrame:
+    """Every row of ``docs`` with n_tokens (of its fields joined by ``separator``, encoded
+    once) and field_tokens, a map from each field's name to its share of them.
+
+    A null field is empty; an empty one has 0 tokens.  Tokens that hold nothing but
+    separators count for the row only.
+    """
+    texts = [F.coalesce(docs[f].cast("string"), F.lit("")) for f in fields]
+    spans, at = [], F.lit(0)
+    for text in texts:
+        stop = at + F.char_length(text)
+        spans.append(F.struct(at.alias("start"), stop.alias("stop")))
+        at = stop + F.lit(len(separator))
+    own = [c for c in docs.columns if c.lower() not in ("n_tokens", "field_tokens", "__fields")]
+    joined = docs.select(F.struct(*[docs[c] for c in own]).alias("__fields"), F.concat_ws(separator, *texts).alias("text"),
+                         F.array(*spans).alias("spans"))
+    counted = count_tokens(joined, vocabulary, pattern, rule, sections="spans")
+    by_field = F.map_from_arrays(F.array(*[F.lit(f) for f in fields]), F.transform("sections", lambda s: s["n_tokens"]))
+    return counted.select("__fields.*", "n_tokens", by_field.alias("field_tokens"))
+
+
 def per_section(counted: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """One row per section; a document without sections has one row with a null section."""
     return counted.select(F.col(doc_id).alias("doc_id"), F.col("n_tokens").alias("doc_tokens"),
