@@ -38,7 +38,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 from collections.abc import Iterator
 from functools import lru_cache
 
