@@ -38,7 +38,7 @@ def unassigned() -> list[str]:
 
 
 @lru_cache(maxsize=1)
-def newer_tables() -> tuple[regex.Pattern, dict[int, str]]:
+def newer_tables() -> tuple[frozenset[str], dict[str, str]]:
     """Where the tokenizers library knows another Unicode than ``regex`` and Python: characters
     that are letters or digits to ``regex`` and not to it, and capitals that only it
     turns to lower case.  Both are among the characters unassigned here; the library
@@ -50,8 +50,7 @@ def newer_tables() -> tuple[regex.Pattern, dict[int, str]]:
     pieces = pre_tokenizers.Split(Regex(r"[\p{L}\p{N}]"), "isolated").pre_tokenize_str(f" {' '.join(doubted)} ")
     foreign = set(doubted) - {p for p, _ in pieces}
     lower = normalizers.Lowercase().normalize_str(" ".join(spare)).split(" ")
-    case = {ord(c): low for c, low in zip(spare, lower, strict=True) if c != low}
-    return regex.compile("[" + "".join(map(regex.escape, sorted(foreign))) + "]" if foreign else r"(?!)"), case
+    return frozenset(foreign), {c: low for c, low in zip(spare, lower, strict=True) if c != low}
 
 
 def byte_symbols() -> list[str]:
@@ -147,12 +146,15 @@ class WordBpe:
         return struct.pack(f"<{len(sym)}I", *sym)
 
     def words(self, chunk: str) -> list[str]:
-        if chunk.isascii() or not self.foreign.search(chunk):
+        if chunk.isascii() or self.foreign.isdisjoint(chunk):
             return self.split.findall(chunk)
-        masked = self.foreign.sub("\u2603", chunk)  # any character that is neither letter nor digit
+        # in their place any character that is neither letter nor digit
+        masked = "".join("\u2603" if c in self.foreign else c for c in chunk)
         return [chunk[m.start():m.end()] for m in self.split.finditer(masked)]
 
     def words_of_chunk(self, chunk: str) -> bytes:
+        if not chunk.isascii() and not self.case.keys().isdisjoint(chunk):
+            chunk = "".join(self.case.get(c, c) for c in chunk)
         return b"".join(map(self.word_ids, self.words(chunk)))
 
     def encode(self, text: str) -> bytes:
@@ -166,8 +168,6 @@ class WordBpe:
                 out.append(struct.pack("<I", self.special[part]))
             else:
                 part = lower_each(unicodedata.normalize("NFC", part))
-                if not part.isascii():
-                    part = part.translate(self.case)
                 # no word holds white space; str.split also cuts at four controls that are none
                 chunks = self.words(part) if CONTROLS.search(part) else part.split()
                 out.extend(map(self.chunk_ids, chunks))
