@@ -34,7 +34,7 @@ sections = [
                                                              S.available_reports(spark, base),
                                                              S.CALENDAR_START, S.CALENDAR_AS_OF)),
 ]
-for key in ["edition_provider", "release_provider", "report_provider", "rows_per_report_cap",
+for key in ["edition_provider", "release_provider", "report_provider", "rollup_guard", "rows_per_source", "rows_per_report_cap",
             "report_date_snap", "series_scan", "map_explode"]:
     sections.append((f"query `{key}`", lambda key=key: queries()[key](spark, base)))
 
