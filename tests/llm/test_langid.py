@@ -151,3 +151,42 @@ def test_texts_of_no_learnt_language_are_not_recognised(spark):
     lines = [t for r in docs.limit(200).collect() if r["text"] for t in r["text"].split("\n") if 20 < len(t) < 60]
     assert len(lines) > 20 and all(model.predict(t)[2] for t in lines)
     assert model.predict("123 456") == ("und", 0.0, False) and model.predict(None) == ("und", 0.0, False)
+
+
+GREEK = "το κόκκινο ψάρι κολυμπά κάτω από το σκοτεινό νερό ενώ επτά βάρκες περνούν".split()
+
+
+def test_every_document_is_learnt_from(spark):
+    """Of a language's documents all but the 500 first by id hash are in Greek letters: a
+    model of a sample of 500 has not seen one."""
+    rnd = random.Random(6)
+    ids = spark.range(1000).where(~langid.is_held_out(langid.F.col("id"), 5))
+    place = langid.F.shiftrightunsigned(langid.F.xxhash64("id"), 11) / langid.F.lit(float(1 << 53))
+    ordered = [r["id"] for r in ids.orderBy(place, "id").collect()]
+    assert len(ordered) > 650
+    rows = [(i, prose(rnd, 30) if at < 500 else prose(rnd, 30, GREEK), "en", "s") for at, i in enumerate(ordered)]
+    rows += [(2000 + i, prose(rnd, 30, OTHER), "de", "s") for i in range(700)]
+    docs = make_docs(spark, rows)
+    models = [langid.fit(docs, per_shard=200), langid.fit(docs.repartition(7), per_shard=200), langid.fit(docs)]
+    for model in models:
+        for _ in range(5):
+            lang, score, recognised = model.predict(prose(rnd, 30, GREEK))
+            assert lang == "en" and score > 0.9 and recognised
+        assert model.predict(prose(rnd, 30, OTHER))[0] == "de" and model.predict(prose(rnd, 30))[0] == "en"
+    text = prose(rnd, 9, GREEK + OTHER)
+    assert models[0].predict(text) == pytest.approx(models[1].predict(text))  # whatever the partitions
+
+
+def test_a_rare_language_is_not_diluted_by_shards_without_it(spark):
+    rnd = random.Random(7)
+    rows = [(i, prose(rnd, 20), "en", "s") for i in range(600)] + [(1000 + i, prose(rnd, 20, GREEK), "el", "s") for i in range(6)]
+    model = langid.fit(make_docs(spark, rows), per_shard=20)
+    assert all(model.predict(prose(rnd, 20, GREEK))[0] == "el" for _ in range(5))
+
+
+def test_temperature_over_rows_is_that_of_arrays(spark):
+    rng = np.random.default_rng(3)
+    logits, classes = 3 * rng.normal(size=(60, 3)), rng.integers(0, 3, 60)
+    rows = [("abc"[c], x.tolist()) for c, x in zip(classes, logits, strict=True)]
+    docs = spark.createDataFrame(rows, "lang string, logits array<double>").repartition(5)
+    assert langid.temperature_over(docs, ["a", "b", "c"]) == pytest.approx(langid.temperature(logits, classes), rel=1e-3)
