@@ -291,3 +291,19 @@ def test_rows_are_not_shuffled_to_leave_out_replaced_payloads(spark, tmp_path):
     held = P.held_payloads(opened, schemas.PAYLOAD_KEYS["report"], stage=providers.stage)
     plan = held._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and held.count() == 1
+
+
+@pytest.mark.parametrize("fold", [False, True])
+def test_a_day_is_written_by_few_tasks(spark, tmp_path, fold):
+    """As many files as days and tasks together, not their product; no row is lost."""
+    days = [f"2024-04-{d:02d}" for d in range(1, 26)]
+    for i in range(8):
+        put(tmp_path / "in", f"x{i}", *[{**report(page(float(i), day=d), f"p{i}", EARLY), "report_date": d} for d in days])
+    land_keyed(spark, str(tmp_path / "in"), str(tmp_path / "out"), "report").awaitTermination()
+    if fold:
+        compact(spark, str(tmp_path / "out"), "report")
+    part = tmp_path / "out" / "rows" / ("part=c" if fold else "part=b")
+    files = [f for at, _, names in os.walk(f"{part}{0:012d}") for f in names if f.endswith(".parquet")]
+    assert len(files) <= len(days) + 8  # the tests' shuffle partitions
+    rows = read_landed(spark, str(tmp_path / "out"), "report").groupBy("report_date").agg(F.sum("value").alias("v"), F.count("*").alias("n")).collect()
+    assert sorted(str(r.report_date) for r in rows) == days and {(r.v, r.n) for r in rows} == {(28.0, 8)}
