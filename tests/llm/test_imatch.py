@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 import regex
 import xxhash
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import make_docs
 from vintagelake.llm import imatch
@@ -138,3 +139,41 @@ def test_hashing_terms_once_per_document(odd):
     """No array of all terms beside its own explosion: that hashed every term once for each term."""
     plan = imatch.fingerprints(odd)._jdf.queryExecution().optimizedPlan().toString()
     assert "array_min" not in plan
+
+
+def test_lambdas_are_not_nested_scale_by_scale(spark, odd):
+    """Deep loops of interpreted lambdas in one expression cost executors' memory: two levels at most."""
+    key = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "100000")
+    try:
+        plan = imatch.fingerprints(odd)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    depth = deepest = 0
+    opened = []  # of each open bracket, whether a lambda's
+    for found in regex.finditer(r"(lambdafunction)?\(|\)", plan):
+        if found.group() == ")":
+            if opened:
+                depth -= opened.pop()
+        else:
+            opened.append(found.group(1) is not None)
+            depth += opened[-1]
+            deepest = max(deepest, depth)
+    assert 1 <= deepest <= 2
+
+
+def test_likeness_counts_all_densities(spark):
+    """Equal and compared hashes are counted up to the 18 of a density."""
+    rnd = random.Random(4)
+    rows = []
+    for _ in range(300):
+        a = ["%04x" % rnd.randrange(1 << 16)] + [rnd.choice([imatch.EMPTY, "0001", "0002"]) for _ in range(imatch.SUBSETS - 1)]
+        b = [x if rnd.random() < 0.7 else rnd.choice([imatch.EMPTY, "0001", "0002"]) for x in a]
+        rows.append((a, b))
+    rows += [(["0000"] + ["0001"] * 90, ["0003"] + ["0001"] * 90), (["0000"] + ["0001"] * 90, ["0000"] + ["0002"] * 90),
+             ([imatch.EMPTY] * 91, [imatch.EMPTY] * 91), (["0000"] + [imatch.EMPTY] * 90, ["0001"] + [imatch.EMPTY] * 90)]
+    got = spark.createDataFrame(rows, "a array<string>, b array<string>").select(
+        "a", "b", imatch.likeness(F.col("a"), F.col("b")).alias("near")).collect()
+    for a, b, near in got:
+        assert near == pytest.approx(alike(a, b))

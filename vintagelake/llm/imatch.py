@@ -25,6 +25,8 @@ row is its own next.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -55,50 +57,61 @@ def lexicon(docs: DataFrame, low: float, high: float, text: str = "text") -> Dat
     return stage(counts.where(F.col("df").between(max(2.0, low * n), max(2.0, high * n))).select("term"), "lexicon")
 
 
-def hashes(kept: Column) -> Column:
-    """Hash of each subset's terms.  ``kept``: the sorted ids of a document's
-    terms, 64-bit hashes of which every repeat reads 10 bits of its own (after six
-    repeats the hashes are hashed again): a term is in the repeat's subset of
-    scale s if the lowest s of them are 0, so that a subset is filtered from the
-    next larger one."""
+def with_hashes(docs: DataFrame, kept: str, out: str) -> DataFrame:
+    """``docs`` with the hash of each subset's terms in a column ``out``.  ``kept``:
+    the sorted ids of a document's terms, 64-bit hashes of which every repeat reads
+    10 bits of its own (after six repeats the hashes are hashed again): a term is in
+    the repeat's subset of scale s if the lowest s of them are 0, so that a subset is
+    filtered from the next larger one.
+
+    A scale's subsets of all repeats are one column, made by a projection of its
+    own: no lambda holds another scale's, so that what is evaluated for a row stays
+    two loops deep at most."""
     def short(chosen: Column) -> Column:
         return F.when(F.size(chosen) == 0, F.lit(EMPTY)).otherwise(
             F.lower(F.lpad(F.hex(F.xxhash64(chosen).bitwiseAND(F.lit(0xFFFF))), 4, "0")))
 
-    def masked(larger: Column, scale: int, shift: Column) -> Column:
-        mask = F.call_function("shiftleft", F.lit((1 << scale) - 1).cast("long"), shift)
-        return F.filter(larger, lambda t: t.bitwiseAND(mask) == 0)
+    def filtered(ids: Column, scale: int, at: int) -> Column:
+        mask = (1 << scale) - 1 << 10 * at
+        return F.filter(ids, lambda t: t.bitwiseAND(F.lit(mask).cast("long")) == 0)
 
-    def nested(larger: Column, shift: Column, scales: tuple[int, ...]) -> Column:
-        def go_on(c: Column) -> Column:
-            own = F.array(short(c))
-            return F.concat(own, nested(c, shift, scales[1:])) if scales[1:] else own
+    def first(ids: Column) -> Column:
+        return F.array(*[filtered(ids, SCALES[0], at) for at in range(PER_HASH)])
 
-        # computed once, then used by name
-        return F.get(F.transform(F.array(masked(larger, scales[0], shift)), go_on), F.lit(0))
+    def following(scale: int) -> Callable[[Column], Column]:
+        return lambda own: F.array(*[filtered(F.get(own, F.lit(at)), scale, at) for at in range(PER_HASH)])
 
-    shifts = F.array(*[F.lit(10 * r) for r in range(PER_HASH)])
-    hashed = F.transform(F.sequence(F.lit(0), F.lit(HASHES - 1)), lambda k: F.when(k == 0, kept).otherwise(
-        F.sort_array(F.transform(kept, lambda t: F.xxhash64(t, k)))))
-    each = F.transform(hashed, lambda ids: F.flatten(F.transform(shifts, lambda shift: nested(ids, shift, SCALES))))
-    return F.concat(F.array(short(kept)), F.flatten(each))
+    def rehashed(k: int) -> Column:
+        return F.sort_array(F.transform(kept, lambda t: F.xxhash64(t, F.lit(k))))
+
+    docs = docs.withColumn("__hashed", F.array(F.col(kept), *[rehashed(k) for k in range(1, HASHES)]))
+    docs = docs.withColumn(f"__scale{SCALES[0]}", F.transform("__hashed", first))
+    for larger, scale in zip(SCALES, SCALES[1:], strict=False):
+        docs = docs.withColumn(f"__scale{scale}", F.transform(f"__scale{larger}", following(scale)))
+    prints = F.arrays_zip(*[F.transform(F.flatten(f"__scale{s}"), short) for s in SCALES])
+    each = F.transform(prints, lambda z: F.array(*[z[str(i)] for i in range(len(SCALES))]))
+    return docs.withColumn(out, F.concat(F.array(short(F.col(kept))), F.flatten(each))).drop(
+        "__hashed", *[f"__scale{s}" for s in SCALES])
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Largest share of equal hashes at one density, among subsets that keep a
     term of either document (at least ``FEW`` of them); 1 for equal lists."""
-    same = F.zip_with(a, b, lambda x, y: F.when((x != EMPTY) | (y != EMPTY), (x == y).cast("int")))
+    # for each density how many hashes to compare, and how many are equal: one number, 5 bits for each (18 at most)
+    same = F.zip_with(a, b, lambda x, y: F.when((x != EMPTY) | (y != EMPTY), F.when(x == y, 33).otherwise(1)).otherwise(0))
+    placed = F.transform(F.slice(same, 2, SUBSETS - 1), lambda x, at: F.call_function(
+        "shiftleft", x.cast("long"), F.pmod(at, F.lit(len(SCALES))) * 10))
+    counts = F.aggregate(placed, F.lit(0).cast("long"), lambda n, x: n + x)
 
     def best(of: Column) -> Column:
-        out = F.lit(0.0)
-        for i in range(len(SCALES)):
-            each = F.filter(of, lambda x, at: (at > 0) & (F.pmod(at - 1, F.lit(len(SCALES))) == i) & x.isNotNull())
-            share = F.get(F.transform(F.array(each), lambda e: F.when(
-                F.size(e) >= FEW, F.aggregate(e, F.lit(0), lambda n, x: n + x) / F.size(e)).otherwise(F.lit(0.0))), F.lit(0))
-            out = F.greatest(out, share)
-        return out
+        def five(at: int) -> Column:
+            return F.shiftrightunsigned(of, at).bitwiseAND(F.lit(31))
+
+        return F.greatest(F.lit(0.0), *[F.when(five(10 * i) >= FEW, five(10 * i + 5) / five(10 * i)).otherwise(F.lit(0.0))
+                                        for i in range(len(SCALES))])
 
-    return F.when(a == b, F.lit(1.0)).otherwise(F.get(F.transform(F.array(same), best), F.lit(0)))
+    # counted once, then used by name
+    return F.when(a == b, F.lit(1.0)).otherwise(F.get(F.transform(F.array(counts), best), F.lit(0)))
 
 
 def in_blocks(docs: DataFrame, block_bytes: int, cells: int = 1 << 16) -> tuple[DataFrame, int]:
@@ -172,8 +185,8 @@ def fingerprints(docs: DataFrame, low: float = 0.002, high: float = 0.1, block_b
         F.min(F.when(F.col("term").isNotNull(), F.struct(place, F.xxhash64("term").alias("id"))))["id"].alias("spare"))
     kept = F.when(F.size("used") > 0, F.sort_array("used")).when(
         F.col("spare").isNotNull(), F.array("spare")).otherwise(F.array().cast("array<long>"))
-    printed = chosen.select("block", "place", "version", "doc_id", "n_chars", "edited_sha256",
-                            F.get(F.transform(F.array(kept), hashes), F.lit(0)).alias("print"))
+    printed = with_hashes(chosen.select("block", "place", "version", "doc_id", "n_chars", "edited_sha256",
+                                        kept.alias("kept")), "kept", "print")
 
     def of(v: int) -> Column:
         return F.max(F.when(F.col("version") == v, F.col("print")))
